@@ -14,12 +14,14 @@ import heapq
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import gather, ragged, text_bytes
+from textquarry.llm.words import PrefixHash
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
@@ -67,7 +69,7 @@ class Vocabulary:
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 where it makes none."""
-        keys = left * self.size + right
+        keys = left.astype(np.int64) * self.size + right
         at = self._slot(keys)
         out = np.full(len(keys), -1, np.int64)
         open_ = np.arange(len(keys))
@@ -97,9 +99,9 @@ def replay(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> tup
     words = len(offsets) - 1
     place = np.arange(n) + np.repeat(np.arange(words), np.diff(offsets)) + 1
     size = n + words + 1
-    sym = np.full(size, -1, np.int64)
+    sym = np.full(size, -1, np.int32)
     sym[place] = vocabulary.byte_ids[data]
-    nxt, prv = np.arange(1, size + 1), np.arange(-1, size - 1)
+    nxt, prv = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
     index: dict[int, list[np.ndarray]] = {}
     queue: list[int] = []
 
@@ -124,7 +126,7 @@ def replay(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> tup
                 index[rank] = [part]
                 heapq.heappush(queue, rank)
 
-    first = np.flatnonzero((sym[:-1] >= 0) & (sym[1:] >= 0))
+    first = np.flatnonzero((sym[:-1] >= 0) & (sym[1:] >= 0)).astype(np.int32)
     note(first, vocabulary.pair_ranks(sym[first], sym[first + 1]))
     while queue:
         rank = heapq.heappop(queue)
@@ -159,20 +161,108 @@ def replay(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> tup
     return sym[live], before[bounds]
 
 
-def encode(texts: list[str | None], vocabulary: Vocabulary, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all texts, end to end, and the n+1 offsets by text; a null text has none."""
-    number: dict[str, int] = {}
-    spots, cuts = [], np.zeros(len(texts) + 1, np.int64)
-    for k, text in enumerate(texts):
-        parts = pattern.findall(text) if text else ()
-        spots.append(np.fromiter((number.setdefault(w, len(number)) for w in parts), np.int64, len(parts)))
-        cuts[k + 1] = cuts[k] + len(parts)
-    data, offsets = text_bytes(pa.array(number.keys(), pa.large_string()))
-    ids, bounds = replay(data, offsets, vocabulary)
-    words = np.concatenate(spots) if spots else np.zeros(0, np.int64)
-    lengths = np.diff(bounds)[words]
-    flat = ids[gather(bounds[:-1][words], lengths)]
-    return flat, np.concatenate([[0], np.cumsum(lengths)])[cuts]
+_L, _N, _S, _O = 0, 1, 2, 3
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """Class of every code point under the pattern: letter, number, white space, other."""
+    points = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\x00" for c in range(0x110000))
+    out = np.full(0x110000, _O, np.uint8)
+    for kind, pattern in ((_L, r"\p{L}+"), (_N, r"\p{N}+"), (_S, r"\s+")):
+        for m in regex.finditer(pattern, points):
+            out[m.start() : m.end()] = kind
+    return out
+
+
+def _byte_classes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of the code point at each byte of valid UTF-8, and which bytes start one."""
+    table = _classes()
+    kind = table[x]
+    if not (x >= 128).any():
+        return kind, np.ones(len(x), bool)
+    lead = (x & 0xC0) != 0x80
+    wide = np.flatnonzero(x >= 0xC0)
+    y = np.concatenate([x, np.zeros(3, np.uint8)]).astype(np.int64)
+    a, b, c, d = y[wide], y[wide + 1] & 63, y[wide + 2] & 63, y[wide + 3] & 63
+    point = np.where(a < 0xE0, ((a & 31) << 6) | b, np.where(a < 0xF0, ((a & 15) << 12) | (b << 6) | c, ((a & 7) << 18) | (b << 12) | (c << 6) | d))
+    kind[wide] = table[np.minimum(point, 0x10FFFF)]
+    follow = np.flatnonzero(~lead)
+    starts = np.flatnonzero(lead)
+    kind[follow] = kind[starts[np.searchsorted(starts, follow, "right") - 1]]
+    return kind, lead
+
+
+_SUFFIXES = {b"s": 1, b"t": 1, b"m": 1, b"d": 1, b"re": 2, b"ve": 2, b"ll": 2}
+
+
+def pre_tokens(x: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Byte positions where pre-tokens of PATTERN start; texts lie end to end, n+1 ``offsets`` bound them."""
+    n = len(x)
+    if not n:
+        return np.zeros(0, np.int64)
+    kind, lead = _byte_classes(x)
+    first = np.zeros(n, bool)  # starts of texts
+    first[offsets[:-1][offsets[:-1] < n]] = True
+    start = first.copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    # the last character of a run of white space that more follows: a blank joins what follows, others stand alone
+    space = kind == _S
+    ends = np.flatnonzero(space[:-1] & ~space[1:] & ~first[1:])
+    if len(ends):
+        head = ends.copy()
+        back = ~lead[head]
+        while back.any():
+            head[back] -= 1
+            back = ~lead[head]
+        start[head] = True
+        blank = x[ends] == 32
+        start[ends[blank] + 1] = False
+    # 's, 't, 're, 've, 'm, 'll, 'd where the apostrophe starts a pre-token of its own
+    mark = np.flatnonzero((x[:-1] == 39) & (kind[1:] == _L) & start[:-1] & ~first[1:])
+    if len(mark):
+        two = np.concatenate([x, np.zeros(2, np.uint8)])
+        limit = offsets[np.searchsorted(offsets, mark, "right")]
+        for p, end, c, d in zip(mark.tolist(), limit.tolist(), two[mark + 1].tolist(), two[mark + 2].tolist()):
+            size = 1 if c in b"stmd" else 2 if bytes((c, d)) in _SUFFIXES and p + 3 <= end else 0
+            if size:
+                start[p + 1] = False
+                if p + 1 + size < end and kind[p + 1 + size] == _L:
+                    start[p + 1 + size] = True
+    return np.flatnonzero(start)
+
+
+def _cut_by_pattern(texts: list[str | None], pattern: str) -> np.ndarray:
+    compiled, out, at = regex.compile(pattern), [], 0
+    for text in texts:
+        for part in compiled.findall(text or ""):
+            out.append(at)
+            at += len(part.encode())
+    return np.array(out, np.int64)
+
+
+def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token ids of all texts, end to end, the n+1 offsets by text, and the decoded bytes; a null text has none."""
+    x, offsets = text_bytes(text)
+    starts = pre_tokens(x, offsets) if pattern == PATTERN else _cut_by_pattern(text.to_pylist(), pattern)
+    lengths = np.diff(np.append(starts, len(x)))
+    # equal words share one replay; words are told apart by length and a 64-bit hash of their bytes
+    sums = PrefixHash(x)
+    word, names = pd.factorize(sums.hash(starts, starts + lengths))
+    one = np.empty(len(names), np.int64)
+    one[word[::-1]] = np.arange(len(word))[::-1]  # the first place of each
+    sizes = lengths[one]
+    ids, bounds = replay(x[gather(starts[one], sizes)], np.concatenate([[0], np.cumsum(sizes)]), vocabulary)
+    counts = np.diff(bounds)[word]
+    flat = ids[gather(bounds[:-1][word], counts)]
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    flat_cuts = cuts[np.searchsorted(starts, offsets)]
+    back = vocabulary.decode(flat)
+    if len(back) != len(x) or (back != x).any():  # two words with one hash: replay every word by itself
+        flat, bounds = replay(x, np.append(starts, len(x)), vocabulary)
+        flat_cuts = bounds[np.searchsorted(starts, offsets)]
+        back = vocabulary.decode(flat)
+    return flat, flat_cuts, back
 
 
 def chunks(batches, size: int = CHUNK_BYTES):
@@ -202,12 +292,11 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
     """
 
     def run(batches):
-        vocabulary, compiled = load_vocabulary(path), regex.compile(pattern)
+        vocabulary = load_vocabulary(path)
         for table in chunks(batches, chunk_bytes):
             text = table["text"].combine_chunks()
-            flat, cuts = encode(text.to_pylist(), vocabulary, compiled)
+            flat, cuts, back = encode(text, vocabulary, pattern)
             raw, offsets = text_bytes(text)
-            back = vocabulary.decode(flat)
             sums = np.concatenate([[0], np.cumsum(vocabulary.lengths[flat])])[cuts]
             ok = np.diff(sums) == np.diff(offsets)
             if ok.all() and len(back) == len(raw):

@@ -72,6 +72,20 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return held
 
 
+class PrefixHash:
+    """64-bit hashes of any byte range of an array, each from two prefix sums."""
+
+    def __init__(self, data: np.ndarray):
+        up, self._down = _power(len(data) + 1)
+        self._sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLE[data] * up[: len(data)], out=self._sums[1:])
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from ``start`` to before ``end``; the length takes part."""
+        body = (self._sums[end] - self._sums[start]) * self._down[start]
+        return mix64(body + mix64((end - start).astype(np.uint64)))
+
+
 class Words:
     """Word boundaries of folded texts, and hashes of any run of words from prefix sums."""
 
@@ -81,13 +95,11 @@ class Words:
         #: spaces[first[d] : first[d + 1]] are those of document d; it has one word fewer than spaces
         self.first = np.searchsorted(self.spaces, offsets)
         self.counts = np.maximum(np.diff(self.first) - 1, 0)
-        up, self._down = _power(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_TABLE[data] * up[: len(data)], out=self._sums[1:])
+        self._prefix = PrefixHash(data)
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of the bytes from the space at ``start`` to that at ``end``, both included."""
-        return mix64((self._sums[end + 1] - self._sums[start]) * self._down[start])
+        return self._prefix.hash(start, end + 1)
 
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all ``width``-word runs, and the n+1 offsets by document.
