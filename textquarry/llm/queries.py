@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import decontam, exact_dedup, langid
+from textquarry.llm import bpe, decontam, exact_dedup, langid, near_dedup
 from textquarry.llm.words import GAP_PATTERN
 
 
@@ -16,6 +16,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_repeats(_table(spark, sf_dir, "documents"))
 
@@ -24,8 +28,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op4_exact_dedup, op6_decontamination)}
+    return {f.__name__: f for f in (op1_language_id, op3_byte_bpe, op4_exact_dedup, op6_decontamination, op7_near_dedup)}
 
 
 OLD_SOURCES = """
