@@ -82,3 +82,11 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int
     """Join with ``right`` broadcast if ``rows`` (counted when not given) stay small, by a shuffle otherwise."""
     n = right.count() if rows is None else rows
     return left.join(F.broadcast(right) if n * row_bytes <= BROADCAST_BYTES else right, on, how)
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many trailing underscores as it takes to clash with no column, letter case apart."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
