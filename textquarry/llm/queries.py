@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import bpe, decontam, exact_dedup, langid, near_dedup
+from textquarry.llm import bpe, decontam, exact_dedup, langid, near_dedup, secrets, sharding
 from textquarry.llm.words import GAP_PATTERN
 
 
@@ -16,6 +16,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shuffled(_table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"))
 
@@ -32,8 +36,12 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op3_byte_bpe, op4_exact_dedup, op6_decontamination, op7_near_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_byte_bpe, op4_exact_dedup, op6_decontamination, op7_near_dedup, op10_secret_scan)}
 
 
 OLD_SOURCES = """
