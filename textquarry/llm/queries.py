@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import bpe, decontam, exact_dedup, langid, near_dedup, secrets, sharding
+from textquarry.llm import bpe, decontam, exact_dedup, langid, near_dedup, secrets, sharding, substrings
 from textquarry.llm.words import GAP_PATTERN
 
 
@@ -36,12 +36,16 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.cut_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_byte_bpe, op4_exact_dedup, op6_decontamination, op7_near_dedup, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_byte_bpe, op4_exact_dedup, op6_decontamination, op7_near_dedup, op9_substring_dedup, op10_secret_scan)}
 
 
 OLD_SOURCES = """
