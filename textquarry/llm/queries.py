@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import bpe, decontam, exact_dedup, langid, near_dedup, secrets, sharding, substrings
+from textquarry.llm import bpe, chat, decontam, exact_dedup, html, langid, near_dedup, secrets, sharding, substrings
 from textquarry.llm.words import GAP_PATTERN
 
 
@@ -28,6 +28,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +40,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.cut_repeats(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +53,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_byte_bpe, op4_exact_dedup, op6_decontamination, op7_near_dedup, op9_substring_dedup, op10_secret_scan)}
+    found = (
+        op1_language_id,
+        op2_sharding,
+        op3_byte_bpe,
+        op4_exact_dedup,
+        op5_html_extraction,
+        op6_decontamination,
+        op7_near_dedup,
+        op8_chat_formatting,
+        op9_substring_dedup,
+        op10_secret_scan,
+    )
+    return {f.__name__: f for f in found}
 
 
 OLD_SOURCES = """
