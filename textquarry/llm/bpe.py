@@ -26,7 +26,7 @@ from textquarry.llm.words import PrefixHash
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 2 << 20
 
 ENCODED = "doc_id bigint, n_tokens bigint, token_ids array<int>, decoded_ok boolean"
 
