@@ -59,12 +59,17 @@ def _share(part: Column, whole: Column, none: float | None = None) -> Column:
     return X.score(F.when(whole > 0, part / whole).otherwise(F.lit(none).cast("double")))
 
 
+def _among(words: Column | str, listed: list[str]) -> Column:
+    """How many of the words are in the list."""
+    return F.size(F.filter(words, lambda w: w.isin(listed)))
+
+
 def phrase_count(words: Column, phrases: list[str]) -> Column:
     """Windows of the words that are in the list, over all phrase lengths."""
     found = F.lit(0)
     for n in sorted({1 + p.count(" ") for p in phrases}):
         some = [p for p in phrases if 1 + p.count(" ") == n]
-        found = found + F.size(F.filter(X.ngrams(words, n), lambda g, some=some: g.isin(some)))
+        found = found + _among(X.ngrams(words, n), some)
     return found
 
 
@@ -90,7 +95,7 @@ def _curly() -> Column:
 def _stop_words() -> Column:
     out = F.lit(None).cast("int")
     for lang, words in sorted(STOP_WORDS.items()):
-        out = F.when(F.col("_lang") == lang, F.size(F.filter("_raw", lambda w, words=words: w.isin(words)))).otherwise(out)
+        out = F.when(F.col("_lang") == lang, _among("_raw", words)).otherwise(out)
     return F.when(_n_words() == 0, F.lit(0.0)).otherwise(X.score(out / _n_raw()))
 
 
