@@ -107,10 +107,11 @@ def _sketch(text: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.BinaryType())
 def _shingle_set(text: pa.Array) -> pa.Array:
-    """Sorted distinct shingle hashes of 8 bytes each."""
+    """Sorted distinct shingles as 32-bit hashes."""
     out = []
     for n, w in _folded_runs(text):
         x, cuts = w.shingles(SHINGLE)
+        x = (x >> np.uint64(32)).astype(np.uint32)
         out += [np.unique(x[cuts[k] : cuts[k + 1]]).tobytes() for k in range(n)]
     return pa.array(out, pa.binary())
 
@@ -119,7 +120,7 @@ def _shingle_set(text: pa.Array) -> pa.Array:
 def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     out = []
     for a, b in zip(left, right):
-        x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+        x, y = np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32)
         common = len(x) + len(y) - len(np.union1d(x, y))
         out.append(common / max(1, len(x) + len(y) - common))
     return pa.array(out, pa.float64())
