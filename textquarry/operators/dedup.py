@@ -97,7 +97,7 @@ def signatures(norm: Column, n: int = PERMUTATIONS, ngram: int = NGRAM) -> Colum
 
 
 def bands(signature: Column, threshold: float, n: int = PERMUTATIONS) -> Column:
-    """array<string> of hex band keys, big-endian; slots beyond the last full band are not used."""
+    """array<string> of hex band keys, big-endian, of a signature column; slots beyond the last full band are not used."""
     count, rows = optimal_bands(threshold, n)
     parts = F.transform(signature, lambda v: F.lpad(F.hex(v), 8, "0"))
     keys = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.array_join(F.slice(parts, i * rows + 1, rows), ""))
@@ -125,11 +125,11 @@ def clusters(edges: DataFrame) -> DataFrame:
 
 def signed(id_int: Column) -> Column:
     """Unsigned 64-bit id as a signed one that sorts alike, for ``clusters``."""
-    return (id_int.cast("decimal(20,0)") - F.lit(1 << 63).cast("decimal(20,0)")).cast("bigint")
+    return (id_int.cast("decimal(20,0)") - F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("bigint")
 
 
 def unsigned(node: Column) -> Column:
-    return (node.cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")).cast("decimal(20,0)")
+    return (node.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("decimal(20,0)")
 
 
 def attach_clusters(docs: DataFrame, found: DataFrame, node: str) -> DataFrame:
