@@ -10,6 +10,8 @@ are repeats; runs of them are the maximal spans.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,12 +24,12 @@ from textquarry.plans.runtime import join_checked, with_row_id, write_shared
 
 LENGTH = 50
 SEED = 10
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 #: Words of one reference shard; an automaton takes about 400 bytes a word.
 SHARD_WORDS = 100_000
 
-SEEDS = "_rid bigint, seed bigint, place int, low int, n int"
-SEGMENTS = "_rid bigint, seed bigint, low int, n int, same bigint, words binary"
+SEEDS = "_rid bigint, seed bigint, low int, n int, same bigint"
+SEGMENTS = "_rid bigint, seed bigint, same bigint, words binary"
 SPANS = "seed bigint, same bigint, low int, n int, owner bigint"
 
 
@@ -113,12 +115,12 @@ def _window_seeds(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def seeds_of(w: Words, length: int = LENGTH, seed: int = SEED):
-    """Document, seed hash, word place of the seed, first window and number of windows of every seed of folded texts."""
+    """Document, seed hash, first window, number of windows and hash of the segment's words, of every seed of folded texts."""
     x, cuts = w.shingles(seed)
     width = length - seed + 1
     empty = np.zeros(0, np.int64)
     if len(x) < width:
-        return empty, empty.astype(np.uint64), empty, empty, empty
+        return empty, empty.astype(np.uint64), empty, empty, empty.astype(np.uint64)
     at = _window_seeds(x, width)
     runs_of = np.maximum(np.where(w.counts >= length, w.counts - length + 1, 0), 0)
     window = gather(cuts[:-1], runs_of)
@@ -129,7 +131,9 @@ def seeds_of(w: Words, length: int = LENGTH, seed: int = SEED):
     first = np.flatnonzero(head)
     n = np.diff(np.append(first, len(window)))
     doc = doc[first]
-    return doc, x[chosen[first]], chosen[first] - cuts[doc], window[first] - cuts[doc], n
+    low = window[first] - cuts[doc]
+    at = w.first[doc] + low
+    return doc, x[chosen[first]], low, n, w.span_hash(w.spaces[at], w.spaces[at + n + length - 1])
 
 
 def find_seeds(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
@@ -141,8 +145,9 @@ def find_seeds(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataF
             data, offsets = text_bytes(batch.column(1))
             for a, b in runs(offsets, RUN_BYTES):
                 w = Words(*fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
-                doc, key, place, low, n = seeds_of(w, length, seed)
-                yield pa.RecordBatch.from_arrays([pa.array(rid[a + doc], pa.int64()), pa.array(key.view(np.int64), pa.int64()), *(pa.array(v.astype(np.int32), pa.int32()) for v in (place, low, n))], ["_rid", "seed", "place", "low", "n"])
+                doc, key, low, n, same = seeds_of(w, length, seed)
+                columns = [pa.array(rid[a + doc], pa.int64()), pa.array(key.view(np.int64), pa.int64()), pa.array(low.astype(np.int32), pa.int32()), pa.array(n.astype(np.int32), pa.int32()), pa.array(same.view(np.int64), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["_rid", "seed", "low", "n", "same"])
 
     return docs.select("_rid", framed().alias("text")).mapInArrow(run, SEEDS)
 
@@ -157,22 +162,20 @@ def cut_segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             held = batch.column(2)
             bounds = held.offsets.to_numpy().astype(np.int64) - held.offsets[0].as_py()
             flat = held.flatten()
-            key, low, n = (flat.field(k).to_numpy().astype(np.int64) for k in range(3))
+            key, same, low, n = (flat.field(k).to_numpy().astype(np.int64) for k in range(4))
             for a, b in runs(offsets, RUN_BYTES):
                 w = Words(*fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
                 word, cuts = w.shingles(1)
+                words = (word >> np.uint64(32)).astype(np.uint32)
                 lo, hi = bounds[a], bounds[b]
                 doc = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
                 start, size = cuts[doc] + low[lo:hi], n[lo:hi] + length - 1
-                first, last = w.spaces[w.first[doc] + low[lo:hi]], w.spaces[w.first[doc] + low[lo:hi] + size]
-                same = w.span_hash(first, last).view(np.int64)
-                words = (word >> np.uint64(32)).astype(np.uint32)
                 for c in range(0, len(doc), 4096):
                     d = slice(c, c + 4096)
                     ends = np.concatenate([[0], np.cumsum(size[d])])
                     flat_words = words[gather(start[d], size[d])]
                     content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends * 4), pa.py_buffer(flat_words)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(rid[a + doc[d]], pa.int64()), pa.array(key[lo:hi][d], pa.int64()), pa.array(low[lo:hi][d].astype(np.int32), pa.int32()), pa.array(n[lo:hi][d].astype(np.int32), pa.int32()), pa.array(same[d], pa.int64()), content], ["_rid", "seed", "low", "n", "same", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array(rid[a + doc[d]], pa.int64()), pa.array(key[lo:hi][d], pa.int64()), pa.array(same[lo:hi][d], pa.int64()), content], ["_rid", "seed", "same", "words"])
 
     return docs.select("_rid", framed().alias("text"), "seeds").mapInArrow(run, SEGMENTS)
 
@@ -213,58 +216,55 @@ def match_segments(firsts: DataFrame, shards: int, length: int = LENGTH) -> Data
 def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
     """_rid, low, n, owner: runs of repeated windows (first word, number of windows) and an earlier document with them."""
     found = write_shared(find_seeds(docs, length, seed), "seeds")
-    shared = found.groupBy("seed").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b")).where("a < b").select("seed")
-    held = join_checked(found, write_shared(shared, "shared"), "seed", "left_semi", 16)
-    by_doc = write_shared(held.groupBy("_rid").agg(F.collect_list(F.struct("seed", "low", "n")).alias("seeds")), "by-doc")
-    rows = by_doc.agg(F.sum(F.size("seeds")).alias("n")).first()["n"] or 0
-    chosen = join_checked(docs.select("_rid", "text"), by_doc, "_rid", "inner", 16, rows)
-    segments = write_shared(cut_segments(chosen, length), "segments")
-    groups = segments.groupBy("seed", "same").agg(F.min("_rid").alias("_rid"))
-    several = write_shared(groups, "groups")
-    open_ = several.groupBy("seed").agg(F.count("*").alias("k")).where("k > 1").select("seed")
-    firsts = segments.join(several, ["seed", "same", "_rid"], "left_semi").join(open_, "seed", "left_semi").dropDuplicates(["seed", "same", "_rid"])
-    total = segments.agg(F.sum(F.octet_length("words")).alias("b")).first()["b"] or 0
-    matched = write_shared(match_segments(firsts, max(1, -(-int(total) // (4 * shard_words))), length), "matched")
-    owned = several.withColumnRenamed("_rid", "first_rid")
-    plain = segments.select("_rid", "seed", "same", F.col("low").alias("base"), F.col("n").alias("all"))
-    rest = plain.join(owned, ["seed", "same"])
-    whole = rest.where("_rid <> first_rid").select("_rid", F.col("base").alias("low"), F.col("all").alias("n"), F.col("first_rid").alias("owner"))
-    part = rest.where("_rid = first_rid").join(matched, ["seed", "same"]).select("_rid", (F.col("base") + F.col("low")).alias("low"), "n", "owner")
-    return whole.unionByName(part)
+    seen = found.groupBy("seed").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min("same").alias("s"), F.max("same").alias("t"))
+    shared = seen.where("a < b").select("seed", (F.col("s") != F.col("t")).alias("differ"))
+    held = write_shared(found.join(shared, "seed"), "shared")
+    groups = write_shared(held.groupBy("seed", "same").agg(F.min("_rid").alias("first"), F.first("differ").alias("differ")), "groups")
+    # distinct segments of seeds with several are matched by automata, where their first document holds them first
+    open_ = groups.where("differ").select("seed", "same", F.col("first").alias("_rid"))
+    once = held.where("differ").groupBy("seed", "same", "_rid").agg(F.min(F.struct("low", "n")).alias("at")).join(open_, ["seed", "same", "_rid"], "left_semi")
+    by_doc = write_shared(once.groupBy("_rid").agg(F.collect_list(F.struct("seed", "same", "at.low", "at.n")).alias("seeds")), "by-doc")
+    size = by_doc.agg(F.sum(F.size("seeds")).alias("n"), F.sum(F.aggregate("seeds", F.lit(0).cast("bigint"), lambda t, x: t + x["n"] + length)).alias("w")).first()
+    chosen = join_checked(docs.select("_rid", "text"), by_doc, "_rid", "inner", 48, size["n"] or 0)
+    shards = max(1, -(-int(size["w"] or 0) // shard_words))
+    matched = write_shared(match_segments(cut_segments(chosen, length), shards, length), "matched")
+    copies = held.join(groups.drop("differ"), ["seed", "same"]).where("_rid <> first").select("_rid", "low", "n", F.col("first").alias("owner"))
+    base = held.where("differ").select("_rid", "seed", "same", F.col("low").alias("base")).join(open_, ["seed", "same", "_rid"], "left_semi")
+    part = base.join(matched, ["seed", "same"]).select("_rid", (F.col("base") + F.col("low")).alias("low"), "n", "owner")
+    return copies.unionByName(part)
 
 
 SPAN = T.StructType([T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("words", T.IntegerType())]))), T.StructField("text", T.StringType())])
 
 
-def word_bytes(text: str) -> np.ndarray:
-    """Start and end of every folded word of a text, in characters of the text as it is."""
-    marks, at = [], None
-    for k, ch in enumerate(text):
-        inside = ch.isascii() and ch.isalnum() or not ch.isascii()
-        if inside and at is None:
-            at = k
-        elif not inside and at is not None:
-            marks.append((at, k))
-            at = None
-    if at is not None:
-        marks.append((at, len(text)))
-    return np.array(marks, np.int64).reshape(-1, 2)
+_FOLDED_WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
+
+
+def word_marks(text: str) -> list[tuple[int, int]]:
+    """Start and end of every folded word, in characters of the text as it is."""
+    return [m.span() for m in _FOLDED_WORD.finditer(text)]
 
 
 def cut_spans(length: int):
     @F.arrow_udf(SPAN)
     def cut(text: pa.Array, windows: pa.Array) -> pa.Array:
+        bounds = windows.offsets.to_numpy()
+        flat = windows.flatten()
+        lows, highs = flat.field(0).to_numpy(), flat.field(0).to_numpy() + flat.field(1).to_numpy() - 1 + length
+        bounds = bounds - bounds[0]
         out = []
-        for t, runs_ in zip(text.to_pylist(), windows.to_pylist()):
-            marks, spans, kept, at = word_bytes(t), [], [], 0
+        for k, t in enumerate(text):
+            t = t.as_py()
+            marks, spans, kept, at = word_marks(t), [], [], 0
+            rows = slice(int(bounds[k]), int(bounds[k + 1]))
             merged: list[list[int]] = []
-            for low, high in sorted((r["low"], r["low"] + r["n"] - 1 + length) for r in runs_):
+            for low, high in sorted(zip(lows[rows].tolist(), highs[rows].tolist())):
                 if merged and low <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], high)
                 else:
                     merged.append([low, high])
             for low, high in merged:
-                start, end = int(marks[low, 0]), int(marks[high - 1, 1])
+                start, end = marks[low][0], marks[high - 1][1]
                 spans.append({"start": start, "end": end, "words": high - low})
                 kept.append(t[at:start])
                 at = end
