@@ -44,7 +44,7 @@ def test_normal_words_and_lines(rows):
         assert r["_raw"] == re.findall(r"\w+|[^\w\s]+", t)
         spans = [(x["text"], x["start"], x["end"]) for x in r["_lines"]]
         assert "".join(s for s, _, _ in spans) == t
-        assert [(a, b) for _, a, b in spans] == [m.span() for m in re.finditer(r"[^\n]*\n|[^\n]+$", t)]
+        assert [(a, b) for _, a, b in spans] == [m.span() for m in re.finditer(r"[^\n]+\n?|\n", t)]
 
 
 def test_document_signals(rows):

@@ -45,15 +45,15 @@ def trim_space(c: Column) -> Column:
     return F.regexp_replace(c, rf"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
-def normalize(c: Column, remove_punct: bool = True, lowercase: bool = True, nfd_unicode: bool = True, white_space: bool = True) -> Column:
-    """Punctuation deleted, lower case, single spaces, decomposed: in this order, each step optional."""
-    if remove_punct:
+def normalize(c: Column, *, signs: bool = False, case: bool = False, squeeze: bool = True, decompose: bool = True) -> Column:
+    """Punctuation deleted (unless ``signs`` stay), lower case (unless ``case`` stays), single spaces, decomposed: in this order."""
+    if not signs:
         c = F.translate(c, PUNCTUATION, "")
-    if lowercase:
+    if not case:
         c = F.lower(c)
-    if white_space:
+    if squeeze:
         c = F.trim(F.regexp_replace(c, rf"[{SPACE}]+", " "))
-    return nfd(c) if nfd_unicode else c
+    return nfd(c) if decompose else c
 
 
 def norm_words(norm: Column) -> Column:
@@ -124,12 +124,17 @@ def feature_bucket(gram: Column, buckets: int) -> Column:
     return (F.conv(F.substring(F.md5(gram), 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
 
 
+#: Year and week of a crawl as they stand in paths.
+SNAPSHOT = r"\b([0-9]{4}-[0-9]{2})\b"
+
+
 def snapshot_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"\b(\d{4}-\d{2})\b", 1)
+    return F.regexp_extract(path, SNAPSHOT, 1)
 
 
 def uri_id_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"\b\d{4}-\d{2}\b/.*", 0)
+    """The path from the snapshot on."""
+    return F.regexp_extract(path, SNAPSHOT + "/.*", 0)
 
 
 def bucket_code(bucket: Column) -> Column:

@@ -153,7 +153,7 @@ for _n in DUPE:
 
 
 def _line_norm(line: Column) -> Column:
-    return X.normalize(line, nfd_unicode=False)
+    return X.normalize(line, decompose=False)
 
 
 @line_signal("rps_lines_javascript_counts")

@@ -35,23 +35,39 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This session's folder inside the shared one; it goes when the driver's JVM ends."""
+    sc = spark.sparkContext
+    path = f"{shared_dir(spark)}/textquarry-{sc.applicationId}"
+    if getattr(sc, "_textquarry_dir", None) != path:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        sc._textquarry_dir = path
+    return path
+
+
+def put_shared(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a small file into the session's shared folder; its path."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(f"{session_dir(spark)}/{name}")
+    out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+    return at.toString()
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends at durable files."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{session_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def drop_shared(df: DataFrame) -> None:
-    """Delete the files behind a table that ``write_shared`` made, once nothing reads it any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def _plan_nodes(node) -> list[str]:
     names, todo = [], [node]
     while todo:
