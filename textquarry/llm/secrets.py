@@ -30,7 +30,7 @@ VALUE = re.compile(r"[A-Za-z0-9+/_=.~\-]{16,}")
 IDENTIFIERS = (
     "null none true false undefined return import from class def function const let var static public private "
     "config settings options default example sample changeme placeholder your_api_key_here insert_token_here "
-    "xxxxxxxxxxxxxxxx ................ ---------------- ________________ 0000000000000000 1234567890123456 "
+    + " ".join(c * 16 for c in "x.-_0") + " 1234567890123456 "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef "
     "process.env.SECRET_KEY os.environ.get getenv request.headers authorization_code access_token refresh_token "
     "client_id client_secret api_key password_hash token_type expires_in username localhost application/json "
