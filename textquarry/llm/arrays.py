@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+try:
+    _trim = ctypes.CDLL(ctypes.util.find_library("c") or "libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
 #: Texts are handled in runs of about this many bytes; one longer text makes a run of its own.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 19
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -58,3 +65,10 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def release() -> None:
+    """Give memory back to the system after a batch: a reused worker else keeps what its largest batch took."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)

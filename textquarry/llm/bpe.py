@@ -20,13 +20,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.arrays import gather, ragged, text_bytes
+from textquarry.llm.arrays import gather, ragged, release, text_bytes
 from textquarry.llm.words import PrefixHash
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 ENCODED = "doc_id bigint, n_tokens bigint, token_ids array<int>, decoded_ok boolean"
 
@@ -307,7 +307,7 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
             null = np.asarray(text.is_null())
             at = 0
             while at < len(ok):  # a few documents a batch: their ids are large
-                end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + (2 << 20), "right")) - 1)
+                end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + (1 << 19), "right")) - 1)
                 end = min(end, len(ok))
                 ids = ragged(flat[cuts[at] : cuts[end]].astype(np.int32), cuts[at : end + 1] - cuts[at], pa.int32())
                 if null[at:end].any():
@@ -316,5 +316,7 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
                 good = pa.array(ok[at:end], pa.bool_(), mask=null[at:end])
                 yield pa.RecordBatch.from_arrays([table["doc_id"].slice(at, end - at).combine_chunks(), count, ids, good], ["doc_id", "n_tokens", "token_ids", "decoded_ok"])
                 at = end
+            del table, text, flat, cuts, back, raw, ids
+            release()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ENCODED)

@@ -14,14 +14,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.arrays import mix64, runs, text_bytes
+from textquarry.llm.arrays import mix64, release, runs, text_bytes
 from textquarry.llm.words import fold_bytes, fold_text, framed
 
 NGRAM = 10
 MIN_WORDS = 5
 TABLE_BITS = 18
 LANE_BYTES = 256
-RUN_BYTES = 8 << 20
+RUN_BYTES = 1 << 21
 #: Test strings searched by one pass; a larger benchmark is split by item and searched in several.
 PATTERN_BYTES = 64 << 20
 
@@ -161,6 +161,7 @@ def _hits(held: Broadcast):
         for a, b in runs(offsets, RUN_BYTES):
             x, cuts = fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             rows += [[{"item": i, "windows": c} for i, c in sorted(found.items())] for found in held.value.hits(x, cuts)]
+        release()
         return pa.array(rows, pa.list_(pa.struct([("item", pa.int64()), ("windows", pa.int64())])))
 
     return hits

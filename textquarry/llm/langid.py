@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textquarry.llm.arrays import runs, text_bytes
+from textquarry.llm.arrays import release, runs, text_bytes
 
 BUCKETS = 1 << 13
 TRAIN_TEXTS_PER_LANG = 2000
@@ -163,7 +163,9 @@ def with_verdict(docs: DataFrame, model=None, column: str = "_verdict") -> DataF
 
     @F.arrow_udf(VERDICT)
     def verdict(text: pa.Array) -> pa.Array:
-        return infer(text, names, like)
+        out = infer(text, names, like)
+        release()
+        return out
 
     return docs.withColumn(column, verdict(F.lower("text")))
 

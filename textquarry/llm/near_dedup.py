@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textquarry.llm.arrays import mix64, ragged, runs, text_bytes
+from textquarry.llm.arrays import mix64, ragged, release, runs, text_bytes
 from textquarry.llm.words import Words, fold_bytes, framed
 from textquarry.operators.components import connected_components
 from textquarry.plans.runtime import join_checked, with_row_id, write_shared
@@ -24,7 +24,7 @@ SLOTS = 128
 BANDS = 32
 SHINGLE = 3
 THRESHOLD = 0.5
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 
 _STEP = 0x9E3779B97F4A7C15
 _FRACTION = np.uint64(25)
@@ -101,6 +101,7 @@ def _sketch(text: pa.Array) -> pa.Array:
         words.append(w.counts)
     if not same:
         same, words, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [pa.array([], pa.list_(pa.int64()))]
+    release()
     arrays = [pa.array(np.concatenate(same), pa.int64()), pa.array(np.concatenate(words).astype(np.int32), pa.int32()), pa.concat_arrays(keys)]
     return pa.StructArray.from_arrays(arrays, names=["same", "words", "keys"])
 
@@ -113,6 +114,7 @@ def _shingle_set(text: pa.Array) -> pa.Array:
         x, cuts = w.shingles(SHINGLE)
         x = (x >> np.uint64(32)).astype(np.uint32)
         out += [np.unique(x[cuts[k] : cuts[k + 1]]).tobytes() for k in range(n)]
+    release()
     return pa.array(out, pa.binary())
 
 
