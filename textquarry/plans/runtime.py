@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: A side is broadcast only when its measured rows times its estimated row width stay below this.
 BROADCAST_BYTES = 64 << 20
 
+_ARROW_BYTES, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 #: Plan nodes that keep both the rows and their order of a file scan; anything else may reorder rows on a retry.
 _STABLE_NODES = {"Project", "Filter", "LogicalRelation", "Relation", "SubqueryAlias", "View"}
 
@@ -100,6 +102,15 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int
     return left.join(F.broadcast(right) if n * row_bytes <= BROADCAST_BYTES else right, on, how)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of text UDFs to a few MB, unless the session names a bound of its own.
+
+    Spark's default of 64 MB is held several times over by every task, in the JVM and in its Python worker.
+    """
+    if spark.conf.get(_ARROW_BYTES, _ARROW_DEFAULT) == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_BYTES, "4m")
+
+
 def unused_name(df: DataFrame, name: str) -> str:
     """``name`` with as many trailing underscores as it takes to clash with no column, letter case apart."""
     taken = {c.lower() for c in df.columns}
