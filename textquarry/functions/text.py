@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import string
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +28,14 @@ def score(x: Column) -> Column:
     return F.round(x.cast("double"), DIGITS)
 
 
-@F.pandas_udf(T.StringType())
-def _nfd_series(s):  # pragma: no cover - runs in workers
-    import pandas as pd
-
-    return pd.Series([unicodedata.normalize("NFD", x) if x is not None and not x.isascii() else x for x in s], dtype=object)
+@F.arrow_udf(T.StringType())
+def _nfd(column: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(column, form="NFD")
 
 
 def nfd(c: Column) -> Column:
     """Canonical decomposition."""
-    return _nfd_series(c)
+    return _nfd(c)
 
 
 def trim_space(c: Column) -> Column:
@@ -71,17 +68,21 @@ def lines(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(LINE), F.lit(0))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _running(sizes):  # pragma: no cover - runs in workers
-    import pandas as pd
-
-    return pd.Series([None if x is None else np.cumsum(x).astype(np.int32) for x in sizes])
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _running(sizes: pa.Array) -> pa.Array:
+    """Running sums of every list."""
+    counts = np.diff(sizes.offsets.to_numpy()) if len(sizes) else np.zeros(0, np.int64)
+    flat = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    sums = np.concatenate([[0], np.cumsum(flat)])
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    own = sums[1:] - np.repeat(sums[cuts[:-1]], counts)
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(own, pa.int32()))
 
 
 def line_spans(text: Column) -> Column:
     """array<struct<text,start,end>> of the lines; offsets count characters of the text as it is."""
     own = lines(text)
-    ends = _running(F.transform(own, F.length))
+    ends = _running(F.coalesce(F.transform(own, F.length), F.array().cast("array<int>")))
     return F.transform(F.arrays_zip(own.alias("line"), ends.alias("end")), lambda x: F.struct(x["line"].alias("text"), (x["end"] - F.length(x["line"])).alias("start"), x["end"].alias("end")))
 
 
