@@ -14,17 +14,17 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textquarry.llm.arrays import gather, ragged, runs, text_bytes
+from textquarry.llm.arrays import gather, release, runs, text_bytes
 from textquarry.llm.words import Words, fold_bytes, framed
 from textquarry.plans.runtime import join_checked, with_row_id, write_shared
 
 LENGTH = 50
 SEED = 10
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 #: Words of one reference shard; an automaton takes about 400 bytes a word.
 SHARD_WORDS = 100_000
 
@@ -148,6 +148,7 @@ def find_seeds(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataF
                 doc, key, low, n, same = seeds_of(w, length, seed)
                 columns = [pa.array(rid[a + doc], pa.int64()), pa.array(key.view(np.int64), pa.int64()), pa.array(low.astype(np.int32), pa.int32()), pa.array(n.astype(np.int32), pa.int32()), pa.array(same.view(np.int64), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["_rid", "seed", "low", "n", "same"])
+            release()
 
     return docs.select("_rid", framed().alias("text")).mapInArrow(run, SEEDS)
 
@@ -176,6 +177,7 @@ def cut_segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     flat_words = words[gather(start[d], size[d])]
                     content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends * 4), pa.py_buffer(flat_words)]).cast(pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(rid[a + doc[d]], pa.int64()), pa.array(key[lo:hi][d], pa.int64()), pa.array(same[lo:hi][d], pa.int64()), content], ["_rid", "seed", "same", "words"])
+            release()
 
     return docs.select("_rid", framed().alias("text"), "seeds").mapInArrow(run, SEGMENTS)
 
@@ -245,34 +247,27 @@ def word_marks(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _FOLDED_WORD.finditer(text)]
 
 
-def cut_spans(length: int):
-    @F.arrow_udf(SPAN)
-    def cut(text: pa.Array, windows: pa.Array) -> pa.Array:
-        bounds = windows.offsets.to_numpy()
-        flat = windows.flatten()
-        lows, highs = flat.field(0).to_numpy(), flat.field(0).to_numpy() + flat.field(1).to_numpy() - 1 + length
-        bounds = bounds - bounds[0]
-        out = []
-        for k, t in enumerate(text):
-            t = t.as_py()
-            marks, spans, kept, at = word_marks(t), [], [], 0
-            rows = slice(int(bounds[k]), int(bounds[k + 1]))
-            merged: list[list[int]] = []
-            for low, high in sorted(zip(lows[rows].tolist(), highs[rows].tolist())):
-                if merged and low <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], high)
-                else:
-                    merged.append([low, high])
-            for low, high in merged:
-                start, end = marks[low][0], marks[high - 1][1]
-                spans.append({"start": start, "end": end, "words": high - low})
-                kept.append(t[at:start])
-                at = end
-            out.append({"spans": spans, "text": "".join([*kept, t[at:]])})
-        span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32())])
-        return pa.array(out, pa.struct([("spans", pa.list_(span)), ("text", pa.string())]))
+def _cut_spans(text: pa.Array, ranges: pa.Array) -> pa.Array:
+    bounds = ranges.offsets.to_numpy()
+    flat = ranges.flatten()
+    lows, highs = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+    bounds = bounds - bounds[0]
+    out = []
+    for k, t in enumerate(text):
+        t = t.as_py()
+        marks, spans, kept, at = word_marks(t), [], [], 0
+        rows = slice(int(bounds[k]), int(bounds[k + 1]))
+        for low, high in sorted(zip(lows[rows].tolist(), highs[rows].tolist())):
+            start, end = marks[low][0], marks[high - 1][1]
+            spans.append({"start": start, "end": end, "words": high - low})
+            kept.append(t[at:start])
+            at = end
+        out.append({"spans": spans, "text": "".join([*kept, t[at:]])})
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32())])
+    return pa.array(out, pa.struct([("spans", pa.list_(span)), ("text", pa.string())]))
+
 
-    return cut
+cut_spans = F.arrow_udf(_cut_spans, SPAN)
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
@@ -290,9 +285,13 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Data
     ids = rows.select(F.col("_rid").alias("owner"), F.col("doc_id").alias("owner_id"))
     owners = windows.select("_rid", "owner").distinct()
     named = owners.join(ids, "owner").groupBy("_rid").agg(F.array_sort(F.collect_set("owner_id")).alias("found_in"))
-    spans = windows.groupBy("_rid").agg(F.collect_list(F.struct("low", "n")).alias("windows")).join(named, "_rid")
-    spans = write_shared(spans, "spans")
-    total = windows.count()
-    cut = join_checked(rows, spans, "_rid", "inner", 32, total).select("doc_id", "found_in", cut_spans(length)("text", "windows").alias("c"))
+    runs_ = Window.partitionBy("_rid").orderBy("low", "high")
+    ranges = windows.select("_rid", "low", (F.col("low") + F.col("n") + (length - 1)).alias("high"))
+    reach = F.max("high").over(runs_.rowsBetween(Window.unboundedPreceding, -1))
+    islands = ranges.withColumn("open", F.when(reach >= F.col("low"), 0).otherwise(1)).withColumn("island", F.sum("open").over(runs_.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = islands.groupBy("_rid", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    spans = write_shared(merged.groupBy("_rid").agg(F.collect_list(F.struct("low", "high")).alias("spans")).join(named, "_rid"), "spans")
+    total = spans.agg(F.sum(F.size("spans") + F.size("found_in")).alias("n")).first()["n"] or 0
+    cut = join_checked(rows, spans, "_rid", "inner", 48, total).select("doc_id", "found_in", cut_spans("text", "spans").alias("c"))
     words = F.aggregate("c.spans", F.lit(0).cast("bigint"), lambda a, s: a + s["words"])
     return cut.select("doc_id", F.size("c.spans").alias("n_spans"), words.alias("words_removed"), "c.spans", "found_in", "c.text")
