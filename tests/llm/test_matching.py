@@ -161,9 +161,10 @@ def test_substrings_against_brute_force(spark, corpus):
                 covered[i : i + length] = [True] * length
         if any(covered):
             want.append((sum(covered), b" ".join(x for x, c in zip(w, covered) if not c)))
-    got = [(r["words_removed"], b" ".join(fold_text(r["text"]).split())) for r in substrings.cut_repeats(docs).collect()]
-    assert sorted(x[0] for x in got) == sorted(x[0] for x in want)
-    assert sorted(got) == sorted(want)
+    for hot in (substrings.HOT_SEED, 3, 0):
+        got = [(r["words_removed"], b" ".join(fold_text(r["text"]).split())) for r in substrings.cut_repeats(docs, hot=hot).collect()]
+        assert sorted(x[0] for x in got) == sorted(x[0] for x in want)
+        assert sorted(got) == sorted(want)
 
 
 def test_automaton_against_brute_force():

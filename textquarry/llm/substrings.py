@@ -5,7 +5,8 @@ words. Winnowing picks a seed, the smallest hash of SEED-word runs, in every win
 equal places, so only seeds that two documents share can lie in a repeat. The segments around shared seeds are dealt
 to shards by seed. Each shard reads its segments in document order: an online suffix automaton of the documents so far
 gives the matching statistics of the next one, whose new words then extend it. Windows whose statistic reaches LENGTH
-are repeats; runs of them are the maximal spans.
+are repeats; runs of them are the maximal spans. Segments of a seed that is too frequent for one shard are compared
+window by window instead, with the same result.
 """
 
 from __future__ import annotations
@@ -27,9 +28,12 @@ SEED = 10
 RUN_BYTES = 1 << 19
 #: Words of one reference shard; an automaton takes about 400 bytes a word.
 SHARD_WORDS = 100_000
+#: A seed that occurs more often would make its shard too large: its windows are grouped by hash, one by one.
+HOT_SEED = 4096
 
 SEEDS = "_rid bigint, seed bigint, low int, n int, same bigint"
 SEGMENTS = "_rid bigint, seed bigint, same bigint, words binary"
+WINDOWS = "_rid bigint, seed bigint, same bigint, at int, window bigint"
 SPANS = "seed bigint, same bigint, low int, n int, owner bigint"
 
 
@@ -153,35 +157,53 @@ def find_seeds(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataF
     return docs.select("_rid", framed().alias("text")).mapInArrow(run, SEEDS)
 
 
+def _segments(batches, length: int):
+    """Folded texts of a run with document, word start and number of windows of the listed segments, and their keys."""
+    for batch in batches:
+        rid = batch.column(0).to_numpy()
+        data, offsets = text_bytes(batch.column(1))
+        held = batch.column(2)
+        bounds = held.offsets.to_numpy().astype(np.int64) - held.offsets[0].as_py()
+        key, same, low, n = (held.flatten().field(k).to_numpy().astype(np.int64) for k in range(4))
+        for a, b in runs(offsets, RUN_BYTES):
+            w = Words(*fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+            own = slice(int(bounds[a]), int(bounds[b]))
+            doc = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
+            for c in range(0, len(doc), 4096):
+                d = slice(c, c + 4096)
+                yield w, doc[d], low[own][d], n[own][d], rid[a + doc[d]], key[own][d], same[own][d]
+        release()
+
+
 def cut_segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Word hashes of the segment around each listed seed; ``docs`` has _rid, text and the array ``seeds``."""
 
     def run(batches):
-        for batch in batches:
-            rid = batch.column(0).to_numpy()
-            data, offsets = text_bytes(batch.column(1))
-            held = batch.column(2)
-            bounds = held.offsets.to_numpy().astype(np.int64) - held.offsets[0].as_py()
-            flat = held.flatten()
-            key, same, low, n = (flat.field(k).to_numpy().astype(np.int64) for k in range(4))
-            for a, b in runs(offsets, RUN_BYTES):
-                w = Words(*fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
-                word, cuts = w.shingles(1)
-                words = (word >> np.uint64(32)).astype(np.uint32)
-                lo, hi = bounds[a], bounds[b]
-                doc = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
-                start, size = cuts[doc] + low[lo:hi], n[lo:hi] + length - 1
-                for c in range(0, len(doc), 4096):
-                    d = slice(c, c + 4096)
-                    ends = np.concatenate([[0], np.cumsum(size[d])])
-                    flat_words = words[gather(start[d], size[d])]
-                    content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends * 4), pa.py_buffer(flat_words)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(rid[a + doc[d]], pa.int64()), pa.array(key[lo:hi][d], pa.int64()), pa.array(same[lo:hi][d], pa.int64()), content], ["_rid", "seed", "same", "words"])
-            release()
+        for w, doc, low, n, rid, key, same in _segments(batches, length):
+            word, cuts = w.shingles(1)
+            size = n + length - 1
+            ends = np.concatenate([[0], np.cumsum(size)])
+            flat = (word[gather(cuts[doc] + low, size)] >> np.uint64(32)).astype(np.uint32)
+            content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends * 4), pa.py_buffer(flat)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(key, pa.int64()), pa.array(same, pa.int64()), content], ["_rid", "seed", "same", "words"])
 
     return docs.select("_rid", framed().alias("text"), "seeds").mapInArrow(run, SEGMENTS)
 
 
+def cut_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """A hash of every window of the listed segments, with its place in the segment."""
+
+    def run(batches):
+        for w, doc, low, n, rid, key, same in _segments(batches, length):
+            at = gather(np.zeros(len(doc), np.int64), n)
+            first = np.repeat(w.first[doc] + low, n) + at
+            window = w.span_hash(w.spaces[first], w.spaces[first + length]).view(np.int64)
+            columns = [pa.array(np.repeat(v, n), pa.int64()) for v in (rid, key, same)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(at.astype(np.int32), pa.int32()), pa.array(window, pa.int64())], ["_rid", "seed", "same", "at", "window"])
+
+    return docs.select("_rid", framed().alias("text"), "seeds").mapInArrow(run, WINDOWS)
+
+
 def match_segments(firsts: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:
     """Runs of repeated windows of each distinct segment against the segments of earlier documents in its shard."""
 
@@ -215,21 +237,34 @@ def match_segments(firsts: DataFrame, shards: int, length: int = LENGTH) -> Data
     return firsts.withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards))).groupBy("shard").applyInArrow(run, SPANS)
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
+def _listed(docs: DataFrame, segments: DataFrame) -> tuple[DataFrame, int]:
+    """Documents with the array of their segments, and the number of segments."""
+    by_doc = write_shared(segments.groupBy("_rid").agg(F.collect_list(F.struct("seed", "same", "at.low", "at.n")).alias("seeds")), "by-doc")
+    n = by_doc.agg(F.sum(F.size("seeds")).alias("n")).first()["n"] or 0
+    return join_checked(docs.select("_rid", "text"), by_doc, "_rid", "inner", 48, n), n
+
+
+def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard_words: int = SHARD_WORDS, hot: int = HOT_SEED) -> DataFrame:
     """_rid, low, n, owner: runs of repeated windows (first word, number of windows) and an earlier document with them."""
     found = write_shared(find_seeds(docs, length, seed), "seeds")
-    seen = found.groupBy("seed").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min("same").alias("s"), F.max("same").alias("t"))
-    shared = seen.where("a < b").select("seed", (F.col("s") != F.col("t")).alias("differ"))
+    seen = found.groupBy("seed").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min("same").alias("s"), F.max("same").alias("t"), F.count("*").alias("k"))
+    shared = seen.where("a < b").select("seed", (F.col("s") != F.col("t")).alias("differ"), (F.col("k") > hot).alias("hot"))
     held = write_shared(found.join(shared, "seed"), "shared")
     groups = write_shared(held.groupBy("seed", "same").agg(F.min("_rid").alias("first"), F.first("differ").alias("differ")), "groups")
-    # distinct segments of seeds with several are matched by automata, where their first document holds them first
+    # distinct segments of seeds with several are matched where their first document holds them first
     open_ = groups.where("differ").select("seed", "same", F.col("first").alias("_rid"))
-    once = held.where("differ").groupBy("seed", "same", "_rid").agg(F.min(F.struct("low", "n")).alias("at")).join(open_, ["seed", "same", "_rid"], "left_semi")
-    by_doc = write_shared(once.groupBy("_rid").agg(F.collect_list(F.struct("seed", "same", "at.low", "at.n")).alias("seeds")), "by-doc")
-    size = by_doc.agg(F.sum(F.size("seeds")).alias("n"), F.sum(F.aggregate("seeds", F.lit(0).cast("bigint"), lambda t, x: t + x["n"] + length)).alias("w")).first()
-    chosen = join_checked(docs.select("_rid", "text"), by_doc, "_rid", "inner", 48, size["n"] or 0)
-    shards = max(1, -(-int(size["w"] or 0) // shard_words))
-    matched = write_shared(match_segments(cut_segments(chosen, length), shards, length), "matched")
+    once = held.where("differ").groupBy("seed", "same", "_rid", "hot").agg(F.min(F.struct("low", "n")).alias("at")).join(open_, ["seed", "same", "_rid"], "left_semi")
+    once = write_shared(once, "once")
+    chosen, _ = _listed(docs, once.where("NOT hot"))
+    words = once.where("NOT hot").agg(F.sum(F.col("at.n") + length).alias("w")).first()["w"] or 0
+    matched = match_segments(cut_segments(chosen, length), max(1, -(-int(words) // shard_words)), length)
+    chosen, n = _listed(docs, once.where("hot"))
+    if n:
+        windows = write_shared(cut_windows(chosen, length), "windows")
+        owners = windows.groupBy("window").agg(F.min("_rid").alias("owner"), F.max("_rid").alias("last")).where("owner < last").drop("last")
+        again = windows.join(owners, "window").where("owner < _rid")
+        matched = matched.unionByName(again.select("seed", "same", F.col("at").alias("low"), F.lit(1).alias("n"), "owner"))
+    matched = write_shared(matched, "matched")
     copies = held.join(groups.drop("differ"), ["seed", "same"]).where("_rid <> first").select("_rid", "low", "n", F.col("first").alias("owner"))
     base = held.where("differ").select("_rid", "seed", "same", F.col("low").alias("base")).join(open_, ["seed", "same", "_rid"], "left_semi")
     part = base.join(matched, ["seed", "same"]).select("_rid", (F.col("base") + F.col("low")).alias("low"), "n", "owner")
@@ -270,7 +305,7 @@ def _cut_spans(text: pa.Array, ranges: pa.Array) -> pa.Array:
 cut_spans = F.arrow_udf(_cut_spans, SPAN)
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT_SEED) -> DataFrame:
     """Documents with repeated spans: doc_id, n_spans, words_removed, spans (start, end, words), found_in, text.
 
     Of passages of ``length`` words or more that documents share, the first document (in the table's order) keeps its
@@ -281,7 +316,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Data
     gives no rows; columns but doc_id and text play no part.
     """
     rows = with_row_id(docs.select("doc_id", "text"))
-    windows = write_shared(repeated_windows(rows, length, seed), "windows")
+    windows = write_shared(repeated_windows(rows, length, seed, hot=hot), "windows")
     ids = rows.select(F.col("_rid").alias("owner"), F.col("doc_id").alias("owner_id"))
     owners = windows.select("_rid", "owner").distinct()
     named = owners.join(ids, "owner").groupBy("_rid").agg(F.array_sort(F.collect_set("owner_id")).alias("found_in"))
