@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from textquarry.functions.lexicons import BAD_WORDS, DOMAIN_CATEGORIES, STOP_WORDS
+from textquarry.functions.lexicons import BAD_WORDS, CATEGORIES, DOMAIN_CATEGORIES, STOP_WORDS
 from textquarry.functions.text import BREAK, BULLETS, LINE, PUNCTUATION, RAW_WORD, SENTENCE, SPACE
 from textquarry.operators import dedup
 
@@ -153,6 +153,9 @@ PATHS = """paths AS (SELECT doc_id, concat('2023-', lpad(CAST(1 + doc_id % 50 AS
 DOMAINS = "VALUES " + ", ".join(f"({q(d)}, {q(c)})" for d, c in DOMAIN_CATEGORIES)
 
 FLAT = f"regexp_replace(text, {q(BREAK)}, ' ', 'g')"
+CATEGORY_SETS = f"""cats(c) AS (VALUES {", ".join(f"({q(c)})" for c in CATEGORIES)}),
+  combos AS (SELECT [c] AS s FROM cats UNION ALL SELECT list_append(s, c) AS s FROM combos, cats WHERE c > s[-1]),
+  idx AS (SELECT CAST(row_number() OVER (ORDER BY len(s), s) - 1 AS INTEGER) AS category_id, array_to_string(s, ',') AS categories FROM combos)"""
 ELLIPSIS_END = rf"(\.\.\.|…)[{SPACE}]*$"
 
 
@@ -178,6 +181,10 @@ def oracle_sql() -> dict[str, str]:
         "text_span": f"SELECT doc_id, array_to_string(list_filter(string_split(translate(translate(text, concat('ABCDEFGHIJKLMNOPQRSTUVWXYZ', chr(10)), 'abcdefghijklmnopqrstuvwxyz '), {q(PUNCTUATION)}, ''), ' '), lambda w: w <> '')[3:22], ' ') AS span FROM documents",
         "sha1_hash32": f"SELECT doc_id, CAST({little_endian('sha1(text)', 4)} AS BIGINT) AS h FROM documents",
         "doc_id_hash": f"SELECT doc_id, CAST({little_endian('sha1(id)', 8)} AS VARCHAR) AS id_int FROM (SELECT doc_id, concat(source, '/', doc_id) AS id FROM documents)",
+        "category_index": f"WITH RECURSIVE {CATEGORY_SETS} SELECT category_id, categories FROM idx",
+        "rps_doc_ut1_blacklist": f"""WITH RECURSIVE {CATEGORY_SETS}, pairs(domain, category) AS ({DOMAINS}),
+  sets AS (SELECT domain, string_agg(DISTINCT category, ',' ORDER BY category) AS categories FROM pairs GROUP BY domain)
+SELECT page_id, {HOST} AS domain, CAST(i.category_id AS DOUBLE) AS score FROM pages p LEFT JOIN sets s ON s.domain = {HOST} LEFT JOIN idx i ON i.categories = s.categories""",
         "domain_categories": f"""WITH pairs(domain, category) AS ({DOMAINS})
 SELECT domain, string_agg(DISTINCT category, ',' ORDER BY category) AS categories FROM pairs GROUP BY domain""",
         "sig_passthrough": f"WITH {BASE} SELECT doc_id, CAST(n_chars AS DOUBLE) AS ccnet_length, CAST(len(ln) AS DOUBLE) AS ccnet_nlines FROM docs",

@@ -220,7 +220,7 @@ def blacklist_left_join(spark, sf_dir):
 @query
 def rps_doc_ut1_blacklist(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1).alias("domain"))
-    return pages.join(F.broadcast(_domains(spark)), "domain", "left").select("page_id", F.col("category_id").cast("double").alias("score"))
+    return pages.join(F.broadcast(_domains(spark)), "domain", "left").select("page_id", "domain", F.col("category_id").cast("double").alias("score"))
 
 
 @query
