@@ -18,11 +18,12 @@ def stratified(docs: DataFrame, n: int, stratum: str, bucket: str, order: list[s
     """The first rows of every (stratum, bucket): an equal quota for each stratum, split over its buckets by ``shares``."""
     strata = docs.select(stratum).distinct().count()
     quota = max(1, n // max(1, strata))
-    limit = F.lit(0)
+    limit, most = F.lit(0), 0
     for name, share in (shares or SHARES).items():
-        limit = F.when(F.col(bucket) == name, int(quota * share)).otherwise(limit)
+        limit, most = F.when(F.col(bucket) == name, int(quota * share)).otherwise(limit), max(most, int(quota * share))
     place = F.row_number().over(Window.partitionBy(stratum, bucket).orderBy(*order))
-    return docs.withColumn("_n", place).where(F.col("_n") <= limit).drop("_n")
+    # the literal bound lets Spark drop rows beyond it before the shuffle
+    return docs.withColumn("_n", place).where(F.col("_n") <= most).where(F.col("_n") <= limit).drop("_n")
 
 
 def first_n(docs: DataFrame, n: int, order: list[str]) -> DataFrame:

@@ -117,9 +117,14 @@ def _gram_counts(n: int) -> Query:
 _QUERIES |= {"ngrams_2": _gram_counts(2), "ngrams_3": _gram_counts(3)}
 
 
+def _by_line(rows: DataFrame, lines: Column) -> DataFrame:
+    """doc_id, line_no, x for every line; the outer form keeps Spark from computing the lines once more as a filter."""
+    return rows.select("doc_id", F.posexplode_outer(lines).alias("line_no", "x")).where("line_no IS NOT NULL")
+
+
 @query
 def split_lines(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id", F.posexplode(X.line_spans(F.col("text"))).alias("line_no", "x"))
+    rows = _by_line(docs(spark, sf_dir), X.line_spans(F.col("text")))
     return rows.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), F.col("x.text").alias("line"))
 
 
@@ -188,7 +193,7 @@ def _line_signal(name: str) -> Query:
     def run(spark, sf_dir):
         rows = signals.prepared(docs(spark, sf_dir))
         rows = rows.withColumn("s", signals.line_scores(name)) if name in signals.LINE_SIGNALS else signals.numeric_lines(rows, "s")
-        return rows.select("doc_id", F.posexplode("s").alias("line_no", "x")).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), F.col("x.score").alias("score"))
+        return _by_line(rows, F.col("s")).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), F.col("x.score").alias("score"))
 
     return run
 
