@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import gather, ragged, release, text_bytes
 from textquarry.llm.words import PrefixHash
+from textquarry.plans.runtime import small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
@@ -319,4 +320,5 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
             del table, text, flat, cuts, back, raw, ids
             release()
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ENCODED)

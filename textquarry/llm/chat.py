@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textquarry.plans.runtime import small_batches
+
 ENVELOPE = "content string, tool_calls array<struct<id:string,name:string,arguments:string>>, tool_call_id string, tools array<struct<name:string,parameters:string>>"
 _REFERENCE = re.compile(r"\$\{([^{}]+)\}")
 
@@ -191,6 +193,7 @@ def format_chats(messages: DataFrame) -> DataFrame:
     by number, null numbers last, then by role and text; repeated rows show as often as they occur. Rows with a null
     conv_id form one conversation. An empty table gives no rows; columns but conv_id, turn, role and text play no part.
     """
+    small_batches(messages.sparkSession)
     rows = messages.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
     maybe = F.col("role").isin("system", "assistant", "tool") & F.ltrim("text").startswith("{")
     parsed = rows.withColumn("e", F.when(maybe, F.from_json("text", ENVELOPE)))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import mix64, release, runs, text_bytes
 from textquarry.llm.words import fold_bytes, fold_text, framed
+from textquarry.plans.runtime import small_batches
 
 NGRAM = 10
 MIN_WORDS = 5
@@ -173,6 +174,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str = "_hits", ngra
     Null and empty texts hold nothing; so does every text where the benchmark is empty. Items of fewer than MIN_WORDS
     words or without item_id are no test strings; equal items are all named. Texts are searched whole.
     """
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     parts = [_hits(sc.broadcast(x))(framed()) for x in searchers(benchmark, ngram)]
     none = F.array().cast(HITS)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import release, runs, text_bytes
+from textquarry.plans.runtime import small_batches
 
 BUCKETS = 1 << 13
 TRAIN_TEXTS_PER_LANG = 2000
@@ -159,6 +160,7 @@ def with_verdict(docs: DataFrame, model=None, column: str = "_verdict") -> DataF
     row every text is ``und``. Equal texts get equal verdicts, and ties of shares keep the order of the names. Very
     long texts are read whole. Texts of fewer than MIN_GRAMS trigrams are told apart by the languages alone.
     """
+    small_batches(docs.sparkSession)
     names, like = model or train(docs)
 
     @F.arrow_udf(VERDICT)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from textquarry.llm.arrays import mix64, ragged, release, runs, text_bytes
 from textquarry.llm.words import Words, fold_bytes, framed
 from textquarry.operators.components import connected_components
-from textquarry.plans.runtime import join_checked, with_row_id, write_shared
+from textquarry.plans.runtime import join_checked, small_batches, with_row_id, write_shared
 
 SLOTS = 128
 BANDS = 32
@@ -142,6 +142,7 @@ def near_edges(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     against the smallest; a member that fails is verified against all the others, so that the components are those of
     all verified pairs of a bucket, whatever its size.
     """
+    small_batches(docs.sparkSession)
     sketch = write_shared(docs.select("_rid", _sketch(framed()).alias("s")).select("_rid", "s.*").where("words > 0"), "sketch")
     same = sketch.groupBy("same", "words").agg(F.min("_rid").alias("dst"), F.count("*").alias("n")).where("n > 1")
     copies = write_shared(join_checked(sketch.select("_rid", "same", "words"), same, ["same", "words"], "inner", 48).where("_rid <> dst").select(F.col("_rid").alias("src"), "dst"), "copies")

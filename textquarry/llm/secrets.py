@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textquarry.plans.runtime import small_batches
+
 CONTEXT = 80
 MIN_LENGTH = 16
 #: Marginal compressed bytes for each byte of a candidate: random keys lie above 0.9, identifiers below 0.65.
@@ -91,6 +93,8 @@ def secret_spans(docs: DataFrame, column: str = "_secrets", least: float = MIN_N
     Texts without a sensitive word beside a long run of token characters never leave the JVM and are not returned.
     """
 
+    small_batches(docs.sparkSession)
+
     @F.arrow_udf(FOUND)
     def found(text: pa.Array) -> pa.Array:
         novelty = Novelty()

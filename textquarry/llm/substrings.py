@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from textquarry.llm.arrays import gather, release, runs, text_bytes
 from textquarry.llm.words import Words, fold_bytes, framed
-from textquarry.plans.runtime import join_checked, with_row_id, write_shared
+from textquarry.plans.runtime import join_checked, small_batches, with_row_id, write_shared
 
 LENGTH = 50
 SEED = 10
@@ -246,6 +246,7 @@ def _listed(docs: DataFrame, segments: DataFrame) -> tuple[DataFrame, int]:
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard_words: int = SHARD_WORDS, hot: int = HOT_SEED) -> DataFrame:
     """_rid, low, n, owner: runs of repeated windows (first word, number of windows) and an earlier document with them."""
+    small_batches(docs.sparkSession)
     found = write_shared(find_seeds(docs, length, seed), "seeds")
     seen = found.groupBy("seed").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min("same").alias("s"), F.max("same").alias("t"), F.count("*").alias("k"))
     shared = seen.where("a < b").select("seed", (F.col("s") != F.col("t")).alias("differ"), (F.col("k") > hot).alias("hot"))
