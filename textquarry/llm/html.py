@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textquarry.plans.runtime import small_batches
+
 TRAIN_PAGES = 2000
 BATCH_CHARS = 4 << 20
 
@@ -263,7 +265,10 @@ def count(f: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def train(pages: DataFrame, limit: int = TRAIN_PAGES) -> Model:
     """Model fitted on at most ``limit`` labelled pages: those with the smallest hashes among pages with content marks."""
     marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)[\s>]"))
-    sample = marked.select(F.xxhash64("html").alias("h"), "html").dropDuplicates(["h"]).orderBy("h").limit(limit)
+    keyed = marked.select(F.xxhash64("html").alias("h"), "html")
+    last = keyed.select("h").distinct().orderBy("h").limit(limit).agg(F.max("h").alias("h")).first()["h"]
+    # the pages are read again below the bound: only hashes were sorted, no page but the sample's is shuffled
+    sample = keyed.where(F.lit(False) if last is None else F.col("h") <= F.lit(last)).dropDuplicates(["h"])
 
     def run(batches):
         for batch in batches:
@@ -319,6 +324,7 @@ def extract_pages(pages: DataFrame, model: Model | None = None) -> DataFrame:
     potentials are even and every text node is kept. Repeated rows give equal results; a page is read whole;
     columns beyond page_id, url and html play no part. An empty table gives no rows.
     """
+    small_batches(pages.sparkSession)
     fitted = model or train(pages)
 
     @F.arrow_udf(RESULT)
