@@ -159,14 +159,11 @@ class Forest:
         texts = [x for t in trees for x in t.text]
         self.label = np.array([x for t in trees for x in t.label], np.int8)
         self.leaf = np.array([x is not None for x in texts], bool)
-        depth = np.zeros(n, np.int32)
-        flat = parent.tolist()
-        level = [0] * n
+        level, flat = [0] * n, parent.tolist()
         for k in range(n):
             if flat[k] != k:
                 level[k] = level[flat[k]] + 1
-        depth[:] = level
-        self.levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max(initial=0)) + 1)] if n and depth.max() < 64 else _by_level(depth)
+        self.levels = _by_level(np.array(level, np.int32))
         chars = np.array([len(x) if x else 0 for x in texts], np.int64)
         marks = np.array([len(_SENTENCE.findall(x)) if x else 0 for x in texts], np.int64)
         link = np.array([t == "a" for t in tags], bool)
