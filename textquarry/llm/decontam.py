@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import mix64, release, runs, text_bytes
 from textquarry.llm.words import fold_bytes, fold_text, framed
-from textquarry.plans.runtime import small_batches
+from textquarry.plans.runtime import small_batches, unused_name
 
 NGRAM = 10
 MIN_WORDS = 5
@@ -189,4 +189,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFram
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """The documents that hold no test string, all columns unchanged."""
-    return with_hits(docs, benchmark, "_hits__", ngram).where(F.size("_hits__") == 0).drop("_hits__")
+    hits = unused_name(docs, "_hits")
+    return with_hits(docs, benchmark, hits, ngram).where(F.size(hits) == 0).drop(hits)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import release, runs, text_bytes
-from textquarry.plans.runtime import small_batches
+from textquarry.plans.runtime import small_batches, unused_name
 
 BUCKETS = 1 << 13
 TRAIN_TEXTS_PER_LANG = 2000
@@ -179,4 +179,5 @@ def identify(docs: DataFrame, model=None) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model=None) -> DataFrame:
     """The documents with a recognised language, all columns unchanged."""
-    return with_verdict(docs, model, "_verdict__").where("NOT _verdict__.rejected").drop("_verdict__")
+    verdict = unused_name(docs, "_verdict")
+    return with_verdict(docs, model, verdict).where(~F.col(verdict)["rejected"]).drop(verdict)

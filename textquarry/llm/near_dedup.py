@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from textquarry.llm.arrays import mix64, ragged, release, runs, text_bytes
 from textquarry.llm.words import Words, fold_bytes, framed
 from textquarry.operators.components import connected_components
-from textquarry.plans.runtime import join_checked, small_batches, with_row_id, write_shared
+from textquarry.plans.runtime import join_checked, small_batches, unused_name, with_row_id, write_shared
 
 SLOTS = 128
 BANDS = 32
@@ -189,6 +189,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without near duplicates and one of each group, all columns unchanged."""
-    rows = with_row_id(docs)
-    gone = write_shared(near_groups(rows, threshold).where("NOT kept").select("_rid"), "near")
-    return join_checked(rows, gone, "_rid", "left_anti", 16).drop("_rid")
+    rid = unused_name(docs, "_rid")
+    rows = with_row_id(docs, rid)
+    narrow = rows.select(F.col(rid).alias("_rid"), "doc_id", "text")
+    gone = write_shared(near_groups(narrow, threshold).where("NOT kept").select(F.col("_rid").alias(rid)), "near")
+    return join_checked(rows, gone, rid, "left_anti", 16).drop(rid)
