@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from textquarry.llm.arrays import mix64
 from textquarry.plans.runtime import join_checked, with_row_id, write_shared
 
+#: Digests of one shard, historical and new ones together.
 SLOTS_PER_SHARD = 1 << 20
 GAMMA = 2.0
 LEVELS = 48
@@ -145,10 +146,10 @@ def repeats(docs: DataFrame, old: Column) -> DataFrame:
     flagged = docs.withColumn("_old", F.coalesce(old, F.lit(False)))
     keys = digests(flagged)
     history = write_shared(first_of(keys.where("_old")), "history")
-    known = history.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // SLOTS_PER_SHARD))
+    fresh = write_shared(first_of(keys.where("NOT _old")), "fresh")
+    known, new = history.count(), fresh.count()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(known + new) // SLOTS_PER_SHARD))
     index = write_shared(build_index(history, shards), "mph")
-    fresh = first_of(keys.where("NOT _old"))
     sizes = fresh.select("digest", F.col("rid").alias("own"), "n")
     found = look_up(fresh, index, shards).join(sizes, "digest").where("member OR n > 1")
     named = F.when(F.col("member"), "history").otherwise("group").alias("found_in")
