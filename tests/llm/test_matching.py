@@ -11,7 +11,7 @@ from textquarry.llm import decontam, exact_dedup, near_dedup, secrets, substring
 from textquarry.llm.words import fold_text
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-EXTRA = SCHEMA + ", _rid string, seed string, shard int, `text_` string"
+EXTRA = SCHEMA + ", _rid string, seed string, shard int, _old int, _hits string, _RID_ int, duplicate_of string"
 
 
 def table(spark, rows, schema=SCHEMA):
@@ -65,7 +65,7 @@ def test_exact_against_brute_force(spark, corpus):
         want += [(x[3], some[0][3]) for x in some[1:]]
     key = lambda p: tuple((x is None, x or 0) for x in p)
     assert sorted(got, key=key) == sorted(want, key=key)
-    kept = exact_dedup.drop_exact_repeats(table(spark, corpus, EXTRA.replace("_rid", "_other")))
+    kept = exact_dedup.drop_exact_repeats(table(spark, corpus, EXTRA))
     assert kept.count() == len(corpus) - len(want)
 
 
@@ -134,7 +134,7 @@ def test_near_groups_against_brute_force(spark, corpus):
     assert sorted(found, key=key) == sorted(want, key=key)
     for head, members in got.items():
         assert [d for d, kept, _ in members if kept] == [head] and {n for _, _, n in members} == {len(members)}
-    kept = near_dedup.keep_one(table(spark, corpus, EXTRA.replace("_rid", "_other")))
+    kept = near_dedup.keep_one(table(spark, corpus, EXTRA))
     assert kept.count() == len(corpus) - sum(len(v) - 1 for v in want)
     assert {r["doc_id"] for r in kept.where("text IS NULL OR text = ''").collect()} == {400, 401, 402, 403}
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import mix64
-from textquarry.plans.runtime import join_checked, with_row_id, write_shared
+from textquarry.plans.runtime import join_checked, unused_name, with_row_id, write_shared
 
 #: Digests of one shard, historical and new ones together.
 SLOTS_PER_SHARD = 1 << 20
@@ -134,17 +134,16 @@ def look_up(fresh: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     return left.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(probe, FOUND)
 
 
-def repeats(docs: DataFrame, old: Column) -> DataFrame:
+def repeats(docs: DataFrame) -> DataFrame:
     """The documents to remove: _rid, doc_id, winner_rid, duplicate_of, found_in ('history' or 'group').
 
-    ``docs`` has _rid; ``old`` tells the historical rows. Of each text one row stays: a historical one if there is
+    ``docs`` has _rid, doc_id, text and _old, which tells the historical rows (null: not). Of each text one row stays: a historical one if there is
     any, else a new one; among these the smallest doc_id, null ids last, and of repeated rows the first. Null texts
     repeat nothing and stay; empty texts are texts like any other. Texts of any length are hashed and compared whole.
-    An empty table gives no rows; columns beyond doc_id, text and what ``old`` reads play no part.
+    An empty table gives no rows.
     """
     spark = docs.sparkSession
-    flagged = docs.withColumn("_old", F.coalesce(old, F.lit(False)))
-    keys = digests(flagged)
+    keys = digests(docs)
     history = write_shared(first_of(keys.where("_old")), "history")
     fresh = write_shared(first_of(keys.where("NOT _old")), "fresh")
     known, new = history.count(), fresh.count()
@@ -181,12 +180,15 @@ def historical_sources(docs: DataFrame) -> Column:
 def exact_repeats(docs: DataFrame, old: Column | None = None) -> DataFrame:
     """doc_id, duplicate_of, found_in of every removed document."""
     old = historical_sources(docs) if old is None else old
-    return repeats(with_row_id(docs), old).select("doc_id", "duplicate_of", "found_in")
+    rows = with_row_id(docs.select("doc_id", "text", F.coalesce(old, F.lit(False)).alias("_old")))
+    return repeats(rows).select("doc_id", "duplicate_of", "found_in")
 
 
 def drop_exact_repeats(docs: DataFrame, old: Column | None = None) -> DataFrame:
     """The documents that stay, all columns unchanged."""
     old = historical_sources(docs) if old is None else old
-    rows = with_row_id(docs)
-    gone = write_shared(repeats(rows, old).select("_rid"), "removed")
-    return join_checked(rows, gone, "_rid", "left_anti", 16).drop("_rid")
+    rid = unused_name(docs, "_rid")
+    rows = with_row_id(docs, rid)
+    narrow = rows.select(F.col(rid).alias("_rid"), "doc_id", "text", F.coalesce(old, F.lit(False)).alias("_old"))
+    gone = write_shared(repeats(narrow).select(F.col("_rid").alias(rid)), "removed")
+    return join_checked(rows, gone, rid, "left_anti", 16).drop(rid)
