@@ -20,14 +20,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.arrays import gather, ragged, release, text_bytes
+from textquarry.llm.arrays import gather, ragged, release, runs, text_bytes
 from textquarry.llm.words import PrefixHash
 from textquarry.plans.runtime import small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 2 << 20
 
 ENCODED = "doc_id bigint, n_tokens bigint, token_ids array<int>, decoded_ok boolean"
 
@@ -245,11 +245,17 @@ def _cut_by_pattern(texts: list[str | None], pattern: str) -> np.ndarray:
 def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token ids of all texts, end to end, the n+1 offsets by text, and the decoded bytes; a null text has none."""
     x, offsets = text_bytes(text)
-    starts = pre_tokens(x, offsets) if pattern == PATTERN else _cut_by_pattern(text.to_pylist(), pattern)
-    lengths = np.diff(np.append(starts, len(x)))
     # equal words share one replay; words are told apart by length and a 64-bit hash of their bytes
-    sums = PrefixHash(x)
-    word, names = pd.factorize(sums.hash(starts, starts + lengths))
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for a, b in runs(offsets):  # these steps hold several numbers a byte, the others only a few a word
+        part, own = x[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        at = pre_tokens(part, own) if pattern == PATTERN else _cut_by_pattern(text.slice(a, b - a).to_pylist(), pattern)
+        hashes.append(PrefixHash(part).hash(at, np.append(at[1:], len(part)) if len(at) else at))
+        places.append(at + offsets[a])
+    starts = np.concatenate(places)
+    lengths = np.diff(np.append(starts, len(x)))
+    word, names = pd.factorize(np.concatenate(hashes))
+    del hashes
     one = np.empty(len(names), np.int64)
     one[word[::-1]] = np.arange(len(word))[::-1]  # the first place of each
     sizes = lengths[one]
