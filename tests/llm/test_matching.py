@@ -229,6 +229,43 @@ def test_secrets(spark):
     assert all(any(t[r["start"] : r["end"]] in (key, key[:20]) for t in texts[r["doc_id"]]) and r["novelty"] >= secrets.MIN_NOVELTY for r in got)
 
 
+def test_secrets_in_many_forms(spark):
+    draw = random.Random(3)
+    key = "".join(draw.choice("0123456789abcdef") for _ in range(40))
+    basic, short, odd = "dXNlcjpYeDcjS3EhMm1aOTkw+Q==", "x7#Kq!2mZ", "a!4h8f69k9ReBaMd688GQ8"
+    forms = [
+        ('SECRET_KEY = "{}"', key),
+        ('secretKey: "{}"', key),
+        ('API_KEY_PROD = "{}"', key),
+        ('setPassword("{}")', key),
+        ("setPassword({})", key),
+        ("Authorization: Basic {}", basic),
+        ('token = b"{}"', key),
+        ('password = os.getenv("P", "{}")', key),
+        ('"{}"  # the token', key),
+        ('password = "{}"', short),
+        ('password = "{}"', odd),
+        ("password={}", odd),
+        ('{{"password":"{}","user":"bob"}}', short),
+        ("https://h.example.com/p?api_key={}&x=1", key),
+        ("password={}", "x7(Kq&2mZ"),
+        ('password = "{}"', "xkqzvbnm"),
+        ('token = "{0}"' + " it" * 18 + ' token = "{0}"', key),
+    ]
+    rows = [(k, f"one line before\n{form.format(value)}\none after it", "s") for k, (form, value) in enumerate(forms)]
+    clean = [
+        "The secret of the Mississippi expedition, 1894-95, was the passenger who kept the passwords.",
+        "token = lexer.next()",
+        "def login(self, username: str, password: str) -> Optional[Token]:",
+        'password = os.environ["DB_PASSWORD"]',
+        'token = jwt.encode(payload, SECRET_KEY, algorithm="HS256")',
+        "token expires 2024-01-15T10:00:00Z",
+    ]
+    rows += [(100 + k, t, "s") for k, t in enumerate(clean)]
+    got = sorted((r["doc_id"], rows[r["doc_id"]][1][r["start"] : r["end"]] if r["doc_id"] < 100 else "") for r in secrets.secrets(table(spark, rows)).collect())
+    assert got == [(k, value) for k, (form, value) in enumerate(forms) for _ in range(1 + ("{0}" in form))]
+
+
 def test_empty_tables(spark):
     none = table(spark, [(1, "x", "s")]).limit(0)
     bench = spark.createDataFrame([], "item_id bigint, text string")

@@ -1,6 +1,7 @@
 """Secret scan by dictionary-primed zstandard novelty.
 
-A candidate is a run of token characters that stands beside a sensitive word. How new it is, is measured in
+A candidate is a token-like string in the window around a sensitive word: a quoted string, or a run without white space
+and without the signs that split expressions, which may hold signs and need not follow the word at once. How new it is, is measured in
 compressed bytes: zstandard, primed with a dictionary of identifiers and of words of the text around, compresses
 the surrounding text once without and once with the candidate. Identifiers, words and repeated values cost
 next to nothing; a random key, in which nothing matches, costs a byte for each character. Candidates whose cost is at
@@ -10,6 +11,7 @@ least the share ``least`` of their own length are reported.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 import zstandard
@@ -20,13 +22,32 @@ from pyspark.sql import types as T
 from textquarry.plans.runtime import small_batches
 
 CONTEXT = 80
-MIN_LENGTH = 16
+#: A candidate starts or ends at most so many characters from a sensitive word.
+WINDOW = 80
+MIN_LENGTH = 6
+#: From this length on any string of token characters may be a key; shorter ones have to look like one, see ``_plausible``.
+LONG = 16
 #: Marginal compressed bytes for each byte of a candidate: random keys lie above 0.9, identifiers below 0.65.
 MIN_NOVELTY = 0.75
 
-SENSITIVE = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|bearer|credentials?|client[_-]?secret|signature)\b[\"']?\s*(?:=>|:=|=|:|\s)\s*[\"'`]?")
-_JVM_FILTER = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth(orization)?|bearer|credentials?|signature)[\"']?\s*[=:\s][=:>\s]*[\"'`]?[A-Za-z0-9+/_=.~-]{16,}"
-VALUE = re.compile(r"[A-Za-z0-9+/_=.~\-]{16,}")
+#: Sensitive words, also as parts of longer identifiers. Python and the JVM read the pattern alike.
+WORDS = (
+    r"(?i:client[_-]?secret|pass(?:word|wd|phrase|code|key)|passwort|pwd|secret|token|(?:api|access|private|auth|signing|encryption)[_-]?key|authorization|bearer|credentials?|signature)"
+    r"|(?i:pass|auth)(?![a-z])"
+)
+SENSITIVE = re.compile(WORDS, re.ASCII)
+#: Quoted strings without white space, else runs without white space and quotes.
+_RUN = re.compile(r""""((?:[^"\\\s]|\\\S)*)"|'((?:[^'\\\s]|\\\S)*)'|`([^`\s]*)`|([^\s"'`]+)""")
+_PIECE = re.compile(r"""[^()\[\]{}<>,;&?|\s"'`]+""")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=.~\-]+")
+_NAME = re.compile(r"[A-Za-z_$@-][\w.$-]*(?:=>|:=|={1,3}|:)(?=[^=:/])")
+_SIGNS = re.compile(r"[^\w\s._/:@,-]")
+#: Times and mail addresses: novel, but no secrets where a sensitive word only stands near.
+_PLAIN = re.compile(r"\d{4}-\d\d-\d\dT[\d:.]+(?:Z|[+-][\d:]+)?|[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+#: What may stand between a sensitive word and its own value: the rest of the identifier, a separator or call, a scheme, a prefix.
+_DIRECT = re.compile(r"""\w*["'`\])]*\s*(=>|:=|[=:(]+|(?=\s))\s*(?:(?i:basic|bearer|digest|token)\s+)?[rbuf@$]{0,2}["'`]?""")
+#: The same within one line, with whatever leads to a quoted value.
+_SAME_LINE = re.compile(r"""\w*["'`\])]*\s*[=:(][^\n;]*""")
 
 #: Words and identifiers that source code and settings are full of; the dictionary every candidate is measured with.
 IDENTIFIERS = (
@@ -64,33 +85,104 @@ class Novelty:
         return self._size(dictionary, before[-16:] + value + after[:16]) - self._size(dictionary, frame)
 
 
+def _regions(text: str, words: list[re.Match]) -> list[list[int]]:
+    """The windows around the sensitive words, widened to whole runs and merged."""
+    out: list[list[int]] = []
+    for m in words:
+        a, b, done = max(0, m.start() - WINDOW), min(len(text), m.end() + WINDOW), out[-1][1] if out else 0
+        while a > done and not text[a - 1].isspace():
+            a -= 1
+        if b > done:
+            while b < len(text) and not text[b].isspace():
+                b += 1
+        if out and a <= done:
+            out[-1][1] = max(done, b)
+        else:
+            out.append([a, b])
+    return out
+
+
+def _classes(value: str) -> tuple[bool, bool, bool, bool]:
+    """Whether a string holds lower case, upper case, digits, and signs that no identifier, path or address has."""
+    return *(any(map(kind, value)) for kind in (str.islower, str.isupper, str.isdigit)), bool(_SIGNS.search(value))
+
+
+def _plausible(value: str, gap: str | None, quoted: bool) -> bool:
+    """Whether a string is token-like. ``gap`` is the text between a sensitive word and the string, None if the word follows.
+
+    The value of the word itself may be any quoted literal; elsewhere words and numbers of prose are no candidates.
+    """
+    if len(value) < MIN_LENGTH:
+        return False
+    lower, upper, digit, sign = _classes(value)
+    letter, classes = any(map(str.isalpha, value)), lower + upper + digit + sign
+    direct = _DIRECT.fullmatch(gap) if gap is not None else None
+    if direct and (len(value) >= LONG or (direct.group(1) and (quoted or classes >= 2 and (digit or sign)))):
+        return True
+    if quoted and classes >= 2 and gap is not None and _SAME_LINE.fullmatch(gap):
+        return True
+    return digit and letter and (len(value) >= LONG or len(value) >= 8 and classes >= 3) and not _PLAIN.fullmatch(value)
+
+
 def scan(text: str | None, novelty: Novelty, least: float = MIN_NOVELTY) -> list[dict]:
     """Reported strings of one text, by position (character offsets)."""
-    out, done = [], -1
-    if not text:
-        return out
-    for m in SENSITIVE.finditer(text):
-        v = VALUE.match(text, m.end())
-        if not v or v.start() <= done:
-            continue
-        value = v.group().rstrip(".=-~") or v.group()
-        if len(value) < MIN_LENGTH:
-            continue
-        done = v.start()
-        a, b = v.start(), v.start() + len(value)
+    out: list[dict] = []
+    words = list(SENSITIVE.finditer(text)) if text else []
+    starts, ends = [m.start() for m in words], [m.end() for m in words]
+
+    def report(a: int, b: int, quoted: bool) -> bool:
+        """Report text[a:b] if it is token-like and novel."""
+        k = bisect_right(ends, a) - 1
+        before = k >= 0 and a - ends[k] <= WINDOW
+        if not before:
+            k = bisect_left(starts, b)
+            if k == len(words) or starts[k] - b > WINDOW:
+                return False
+        value = text[a:b]
+        if not _plausible(value, text[ends[k] : a] if before else None, quoted):
+            return False
         raw = value.encode()
-        cost = novelty.cost(text[max(0, a - CONTEXT) : a].encode(), raw, text[b : b + CONTEXT].encode())
+        # without copies of the value first: the edge of the context would leave a part of one
+        ahead = text[max(0, a - CONTEXT - len(value)) : a].replace(value, "")[-CONTEXT:]
+        behind = text[b : b + CONTEXT + len(value)].replace(value, "")[:CONTEXT]
+        cost = novelty.cost(ahead.encode(), raw, behind.encode())
         share = cost / len(raw)
-        if share >= least:
-            word = re.match(r"[A-Za-z_\-]+", m.group()).group().lower()
-            out.append({"start": a, "end": b, "novel_bytes": cost, "novelty": round(share, 4), "keyword": word})
+        if share < least:
+            return False
+        out.append({"start": a, "end": b, "novel_bytes": cost, "novelty": round(share, 4), "keyword": words[k].group().lower()})
+        return True
+
+    def trimmed(a: int, b: int) -> tuple[int, int]:
+        """Without punctuation around it and the name that it is given to."""
+        b = a + len(text[a:b].rstrip(".,:;!?-~"))
+        name = _NAME.match(text, a, b)
+        return (name.end() if name else a), b
+
+    for left, right in _regions(text, words) if words else ():
+        for run in _RUN.finditer(text, left, right):
+            quoted = run.lastindex < 4
+            a, b = run.span(run.lastindex)
+            if quoted and report(a, b, True):
+                continue
+            found = False
+            for piece in _PIECE.finditer(text, a, b):
+                x, y = trimmed(*piece.span())
+                if report(x, y, quoted and x == a):
+                    found = True
+                    continue
+                for part in _TOKEN.finditer(text, x, y):
+                    found |= part.span() != (x, y) and report(*part.span(), False)
+            if not (quoted or found):  # signs that split expressions may belong to a value
+                x, y = trimmed(a, b)
+                if not _PIECE.fullmatch(text, x, y) and text[y - 1 : y] not in ")]}>" and sum(_classes(text[x:y])) >= 3:
+                    report(x, y, False)
     return out
 
 
 def secret_spans(docs: DataFrame, column: str = "_secrets", least: float = MIN_NOVELTY) -> DataFrame:
     """Rows that may hold a secret, with the reported strings of each as an array in ``column``.
 
-    Texts without a sensitive word beside a long run of token characters never leave the JVM and are not returned.
+    Texts without a sensitive word never leave the JVM and are not returned.
     """
 
     small_batches(docs.sparkSession)
@@ -102,7 +194,7 @@ def secret_spans(docs: DataFrame, column: str = "_secrets", least: float = MIN_N
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("novel_bytes", pa.int32()), ("novelty", pa.float64()), ("keyword", pa.string())]))
         return pa.array(rows, kind)
 
-    return docs.where(F.col("text").rlike(_JVM_FILTER)).withColumn(column, found("text"))
+    return docs.where(F.col("text").rlike(WORDS)).withColumn(column, found("text"))
 
 
 def secrets(docs: DataFrame, least: float = MIN_NOVELTY) -> DataFrame:
