@@ -266,6 +266,22 @@ def test_secrets_in_many_forms(spark):
     assert got == [(k, value) for k, (form, value) in enumerate(forms) for _ in range(1 + ("{0}" in form))]
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", "0123456789ABCDEF", "0123456789", "01", "acgt", "abcdefghijklmnopqrstuvwxyz"])
+def test_long_secrets_of_small_alphabets(alphabet):
+    draw, novelty = random.Random(8), secrets.Novelty()
+    for length in (64, 96, 128, 256, 512):
+        for form in ('x = 3\nSECRET_KEY = "{}"\ny = 4', "ein Text und token={} und mehr davon"):
+            key = "".join(draw.choice(alphabet) for _ in range(length))
+            text = form.format(key)
+            assert [text[r["start"] : r["end"]] for r in secrets.scan(text, novelty)] == [key]
+
+
+def test_long_strings_that_are_not_random():
+    novelty = secrets.Novelty()
+    for value in ("0" * 200, "0123456789abcdef" * 8, "deadbeef" * 16, "ab" * 100, "/usr/local/bin/example/config/settings/default/options/access_token/password_hash"):
+        assert not secrets.scan(f'token = "{value}"', novelty), value
+
+
 def test_empty_tables(spark):
     none = table(spark, [(1, "x", "s")]).limit(0)
     bench = spark.createDataFrame([], "item_id bigint, text string")

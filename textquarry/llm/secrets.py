@@ -4,14 +4,17 @@ A candidate is a token-like string in the window around a sensitive word: a quot
 and without the signs that split expressions, which may hold signs and need not follow the word at once. How new it is, is measured in
 compressed bytes: zstandard, primed with a dictionary of identifiers and of words of the text around, compresses
 the surrounding text once without and once with the candidate. Identifiers, words and repeated values cost
-next to nothing; a random key, in which nothing matches, costs a byte for each character. Candidates whose cost is at
-least the share ``least`` of their own length are reported.
+next to nothing; a random key, in which nothing matches, costs what any random string of its length and alphabet does:
+about a byte for each character of a short one, its entropy where zstandard codes literals. Candidates whose cost is at
+least the share ``least`` of what the cheapest of such strings costs in their place are reported.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from random import Random
+from string import ascii_letters, ascii_lowercase, ascii_uppercase, digits, hexdigits
 
 import pyarrow as pa
 import zstandard
@@ -27,8 +30,15 @@ WINDOW = 80
 MIN_LENGTH = 6
 #: From this length on any string of token characters may be a key; shorter ones have to look like one, see ``_plausible``.
 LONG = 16
-#: Marginal compressed bytes for each byte of a candidate: random keys lie above 0.9, identifiers below 0.65.
+#: Marginal compressed bytes for each byte that random strings cost: random keys lie about 1, identifiers below 0.65.
 MIN_NOVELTY = 0.75
+#: Random strings that a candidate is compared with, and the length from which their cost is taken from a shorter one's.
+DRAWS = 5
+MAX_DRAWN = 1 << 14
+#: A string of LITERALS bytes or more (from there on zstandard codes literals) shows a small alphabet by itself.
+LITERALS, SMALL_ALPHABET = 64, 16
+#: Alphabets of random keys; the smallest that holds all of another string is its own.
+ALPHABETS = [bytes(x, "ascii") for x in (digits, hexdigits[:16], digits + "ABCDEF", ascii_lowercase, ascii_uppercase, digits + ascii_lowercase, digits + ascii_uppercase, ascii_letters, ascii_letters + digits, ascii_letters + digits + "+/=_-.~")]
 
 #: Sensitive words, also as parts of longer identifiers. Python and the JVM read the pattern alike.
 WORDS = (
@@ -40,7 +50,7 @@ SENSITIVE = re.compile(WORDS, re.ASCII)
 _RUN = re.compile(r""""((?:[^"\\\s]|\\\S)*)"|'((?:[^'\\\s]|\\\S)*)'|`([^`\s]*)`|([^\s"'`]+)""")
 _PIECE = re.compile(r"""[^()\[\]{}<>,;&?|\s"'`]+""")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=.~\-]+")
-_NAME = re.compile(r"[A-Za-z_$@-][\w.$-]*(?:=>|:=|={1,3}|:)(?=[^=:/])")
+_NAME = re.compile(r"[A-Za-z_$@-][\w.$-]*(?:=>|:=|={1,3}|:)(?!//|[=:]|$)")
 _SIGNS = re.compile(r"[^\w\s._/:@,-]")
 #: Times and mail addresses: novel, but no secrets where a sensitive word only stands near.
 _PLAIN = re.compile(r"\d{4}-\d\d-\d\dT[\d:.]+(?:Z|[+-][\d:]+)?|[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
@@ -65,6 +75,16 @@ IDENTIFIERS = (
 FOUND = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("novel_bytes", T.IntegerType()), T.StructField("novelty", T.DoubleType()), T.StructField("keyword", T.StringType())]))
 
 
+def random_like(value: bytes) -> list[bytes]:
+    """Random strings of the length and alphabet of ``value``, always the same ones; with its other bytes where no alphabet has them all."""
+    alphabet = next((x for x in ALPHABETS if not value.translate(None, x)), bytes(sorted({*ALPHABETS[-1], *value})))
+    if len(value) >= LITERALS and 1 < len(own := bytes(sorted({*value}))) <= SMALL_ALPHABET:
+        alphabet = own
+    size = min(len(value), MAX_DRAWN)
+    draw = Random(len(value) * 256 + len(alphabet))
+    return [bytes(draw.choices(alphabet, k=size)) for _ in range(DRAWS)]
+
+
 class Novelty:
     """Marginal compressed size of a string against its surroundings and the identifier dictionary."""
 
@@ -77,12 +97,20 @@ class Novelty:
         compressor = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
         return len(compressor.compress(data))
 
-    def cost(self, before: bytes, value: bytes, after: bytes) -> int:
-        """Bytes that ``value`` adds: the whole less the surroundings alone. A copy of it nearby doesn't make it known."""
+    def cost(self, before: bytes, value: bytes, after: bytes) -> tuple[int, float]:
+        """Bytes that ``value`` adds, the whole less the surroundings alone, and those that the cheapest of random strings like it adds.
+
+        A copy of the value nearby doesn't make it known.
+        """
         before, after = before.replace(value, b""), after.replace(value, b"")
         dictionary = self._dictionary + before + b"\n" + after
-        frame = before[-16:] + after[:16]
-        return self._size(dictionary, before[-16:] + value + after[:16]) - self._size(dictionary, frame)
+        alone = self._size(dictionary, before[-16:] + after[:16])
+
+        def added(x: bytes) -> int:
+            return self._size(dictionary, before[-16:] + x + after[:16]) - alone
+
+        drawn = random_like(value)
+        return added(value), min(map(added, drawn)) * len(value) / len(drawn[0])  # some are coded, some stay plain
 
 
 def _regions(text: str, words: list[re.Match]) -> list[list[int]]:
@@ -145,8 +173,8 @@ def scan(text: str | None, novelty: Novelty, least: float = MIN_NOVELTY) -> list
         # without copies of the value first: the edge of the context would leave a part of one
         ahead = text[max(0, a - CONTEXT - len(value)) : a].replace(value, "")[-CONTEXT:]
         behind = text[b : b + CONTEXT + len(value)].replace(value, "")[:CONTEXT]
-        cost = novelty.cost(ahead.encode(), raw, behind.encode())
-        share = cost / len(raw)
+        cost, usual = novelty.cost(ahead.encode(), raw, behind.encode())
+        share = cost / max(usual, 1.0)
         if share < least:
             return False
         out.append({"start": a, "end": b, "novel_bytes": cost, "novelty": round(share, 4), "keyword": words[k].group().lower()})
