@@ -276,6 +276,17 @@ def test_long_secrets_of_small_alphabets(alphabet):
             assert [text[r["start"] : r["end"]] for r in secrets.scan(text, novelty)] == [key]
 
 
+def test_secrets_are_measured_with_the_words_of_the_whole_text():
+    novelty, far = secrets.Novelty(), "\nx = 1" * 60 + "\n"
+    names = "class CustomerSession(Base): ...\nclass ValidatorFactory(Base): ...\nclass InternalOrder(Base): ...\nclass RepositoryAdapter(Base): ...\n"
+    for value in ("CustomerSessionValidatorFactory", "InternalOrderRepositoryAdapter"):
+        assert secrets.scan(f'token = "{value}"', novelty)
+        assert not secrets.scan(f'{names}{far}token = "{value}"{far}', novelty), value
+    for value in ("xkqzvbnmwrtp", "a!Kqzvbnm#Wrtpsdf"):  # copies of a secret are no words of the text
+        text = f'{names}{value}{far}{value}{far}password = "{value}"{far}{value}'
+        assert [text[r["start"] : r["end"]] for r in secrets.scan(text, novelty)] == [value]
+
+
 def test_long_strings_that_are_not_random():
     novelty = secrets.Novelty()
     for value in ("0" * 200, "0123456789abcdef" * 8, "deadbeef" * 16, "ab" * 100, "/usr/local/bin/example/config/settings/default/options/access_token/password_hash"):

@@ -2,7 +2,7 @@
 
 A candidate is a token-like string in the window around a sensitive word: a quoted string, or a run without white space
 and without the signs that split expressions, which may hold signs and need not follow the word at once. How new it is, is measured in
-compressed bytes: zstandard, primed with a dictionary of identifiers and of words of the text around, compresses
+compressed bytes: zstandard, primed with a dictionary of identifiers and of words of the whole text, compresses
 the surrounding text once without and once with the candidate. Identifiers, words and repeated values cost
 next to nothing; a random key, in which nothing matches, costs what any random string of its length and alphabet does:
 about a byte for each character of a short one, its entropy where zstandard codes literals. Candidates whose cost is at
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from random import Random
 from string import ascii_letters, ascii_lowercase, ascii_uppercase, digits, hexdigits
 
@@ -25,6 +26,8 @@ from pyspark.sql import types as T
 from textquarry.plans.runtime import small_batches
 
 CONTEXT = 80
+#: Bytes of a text's own words that its candidates are measured with; of more, those that it uses most.
+VOCABULARY_BYTES = 1 << 15
 #: A candidate starts or ends at most so many characters from a sensitive word.
 WINDOW = 80
 MIN_LENGTH = 6
@@ -50,6 +53,7 @@ SENSITIVE = re.compile(WORDS, re.ASCII)
 _RUN = re.compile(r""""((?:[^"\\\s]|\\\S)*)"|'((?:[^'\\\s]|\\\S)*)'|`([^`\s]*)`|([^\s"'`]+)""")
 _PIECE = re.compile(r"""[^()\[\]{}<>,;&?|\s"'`]+""")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=.~\-]+")
+_WORD = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z_]{3,}(?![A-Za-z0-9_])")
 _NAME = re.compile(r"[A-Za-z_$@-][\w.$-]*(?:=>|:=|={1,3}|:)(?!//|[=:]|$)")
 _SIGNS = re.compile(r"[^\w\s._/:@,-]")
 #: Times and mail addresses: novel, but no secrets where a sensitive word only stands near.
@@ -97,13 +101,13 @@ class Novelty:
         compressor = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
         return len(compressor.compress(data))
 
-    def cost(self, before: bytes, value: bytes, after: bytes) -> tuple[int, float]:
+    def cost(self, before: bytes, value: bytes, after: bytes, known: bytes = b"") -> tuple[int, float]:
         """Bytes that ``value`` adds, the whole less the surroundings alone, and those that the cheapest of random strings like it adds.
 
-        A copy of the value nearby doesn't make it known.
+        A copy of the value nearby doesn't make it known. ``known`` are other words of the text.
         """
         before, after = before.replace(value, b""), after.replace(value, b"")
-        dictionary = self._dictionary + before + b"\n" + after
+        dictionary = self._dictionary + known + b"\n" + before + b"\n" + after
         alone = self._size(dictionary, before[-16:] + after[:16])
 
         def added(x: bytes) -> int:
@@ -113,6 +117,29 @@ class Novelty:
         return added(value), min(map(added, drawn)) * len(value) / len(drawn[0])  # some are coded, some stay plain
 
 
+class Vocabulary:
+    """Words and identifiers of a whole text; runs with digits are none, as they may belong to keys."""
+
+    def __init__(self, text: str):
+        self.text, self.counts = text, Counter(_WORD.findall(text))
+        size, self.words = 0, []
+        for w, _ in self.counts.most_common():
+            size += len(w) + 1
+            if size > VOCABULARY_BYTES:
+                break
+            self.words.append(w)
+        self.joined = " ".join(self.words).encode()
+
+    def without(self, value: str) -> bytes:
+        """The words that the text holds outside of the copies of ``value`` too, most used ones last."""
+        own = Counter(_WORD.findall(value))
+        copies = self.text.count(value) if own else 0
+        gone = {w for w, k in own.items() if self.counts[w] <= k * copies}
+        # words that reach over an end of the value, such as the name that it is given to
+        gone |= {w for w in self.words if value in w}
+        return " ".join(w for w in self.words if w not in gone).encode() if gone else self.joined
+
+
 def _regions(text: str, words: list[re.Match]) -> list[list[int]]:
     """The windows around the sensitive words, widened to whole runs and merged."""
     out: list[list[int]] = []
@@ -156,6 +183,7 @@ def scan(text: str | None, novelty: Novelty, least: float = MIN_NOVELTY) -> list
     """Reported strings of one text, by position (character offsets)."""
     out: list[dict] = []
     words = list(SENSITIVE.finditer(text)) if text else []
+    vocabulary = Vocabulary(text) if words else None
     starts, ends = [m.start() for m in words], [m.end() for m in words]
 
     def report(a: int, b: int, quoted: bool) -> bool:
@@ -173,7 +201,7 @@ def scan(text: str | None, novelty: Novelty, least: float = MIN_NOVELTY) -> list
         # without copies of the value first: the edge of the context would leave a part of one
         ahead = text[max(0, a - CONTEXT - len(value)) : a].replace(value, "")[-CONTEXT:]
         behind = text[b : b + CONTEXT + len(value)].replace(value, "")[:CONTEXT]
-        cost, usual = novelty.cost(ahead.encode(), raw, behind.encode())
+        cost, usual = novelty.cost(ahead.encode(), raw, behind.encode(), vocabulary.without(value))
         share = cost / max(usual, 1.0)
         if share < least:
             return False
