@@ -206,6 +206,14 @@ def test_leaks_against_brute_force(spark, corpus):
     assert len(decontam.searchers(bench, limit=200)) > 1
 
 
+def test_short_benchmark_items_are_told(spark):
+    items = [(1, "a b c d e"), (2, "a b c, D"), (3, ""), (4, "..."), (5, "x" * 300), (6, None)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (decontam.PATTERN_BYTES, 200):
+        with pytest.warns(UserWarning, match=r"2 benchmark items of fewer than 5 words are not searched: \[2, 5\]"):
+            decontam.searchers(bench, limit=limit)
+
+
 def test_secrets(spark):
     draw = random.Random(6)
     key = "".join(draw.choice("0123456789abcdef") for _ in range(40))

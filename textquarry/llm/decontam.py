@@ -8,6 +8,8 @@ compared byte by byte. Thousands of windows advance side by side in one array op
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -140,17 +142,29 @@ def test_strings(items: list[tuple[int, str | None]], ngram: int = NGRAM, least:
 test_strings.__test__ = False
 
 
+def skipped_items(items: list[tuple[int, str | None]], least: int = MIN_WORDS) -> list[int]:
+    """Items that have words, but too few to be a test string: no search finds them."""
+    return [item for item, text in items if 0 < len(fold_text(text).split()) < least]
+
+
 def searchers(benchmark: DataFrame, ngram: int = NGRAM, limit: int = PATTERN_BYTES) -> list[Searcher]:
-    """One searcher for a benchmark whose test strings fit ``limit`` bytes, else one for each share of its items."""
+    """One searcher for a benchmark whose test strings fit ``limit`` bytes, else one for each share of its items.
+
+    Warns of items that are too short to be searched.
+    """
     items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     parts = -(-size * ngram // limit) or 1
-    out = []
+    out, skipped = [], []
     for k in range(parts):
         share = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) if parts > 1 else items
-        found = test_strings([(r["item_id"], r["text"]) for r in share.collect()], ngram)
+        rows = [(r["item_id"], r["text"]) for r in share.collect()]
+        skipped += skipped_items(rows)
+        found = test_strings(rows, ngram)
         if found:
             out.append(Searcher(found))
+    if skipped:
+        warnings.warn(f"{len(skipped)} benchmark items of fewer than {MIN_WORDS} words are not searched: {sorted(skipped)[:20]}", stacklevel=2)
     return out
 
 
@@ -172,7 +186,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str = "_hits", ngra
     """Add the benchmark items found in each document, by item, with the number of distinct test strings.
 
     Null and empty texts hold nothing; so does every text where the benchmark is empty. Items of fewer than MIN_WORDS
-    words or without item_id are no test strings; equal items are all named. Texts are searched whole.
+    words or without item_id are no test strings (``searchers`` warns of short ones); equal items are all named. Texts are searched whole.
     """
     small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
