@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when its measured rows times its estimated row width stay below this.
+#: A side is broadcast only when its measured rows times its estimated row width stay below this; the session's setting
+#: ``textquarry.broadcast.bytes`` goes before it.
 BROADCAST_BYTES = 64 << 20
+#: What a row of a broadcast hash table takes beside its values.
+ROW_OVERHEAD = 64
+#: Rows of one file are told apart by the lower bits of a locator, files by those above.
+ROW_BITS = 40
 
 _ARROW_BYTES, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
@@ -22,7 +29,8 @@ _STABLE_NODES = {"Project", "Filter", "LogicalRelation", "Relation", "SubqueryAl
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors can reach, from ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, a laptop), a private folder is made and removed at exit.
+    Where a local session names none (tests, a laptop), a private folder is made and removed at exit. On a cluster a
+    folder of one machine would be lost on the others, so that a missing setting is an error there.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
@@ -31,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors can reach")
     made = tempfile.mkdtemp(prefix="textquarry-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     sc.setCheckpointDir("file://" + made)
@@ -67,7 +77,22 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{session_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return spark.read.schema(df.schema).parquet(path).select(*[quoted(c) for c in df.columns])
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete every table that this session has written so far; results that still read one can't be used any more."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    for held in fs.listStatus(at):
+        if held.isDirectory():
+            fs.delete(held.getPath(), True)
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _plan_nodes(node) -> list[str]:
@@ -86,20 +111,51 @@ def is_file_scan(df: DataFrame) -> bool:
     return bool({"LogicalRelation", "Relation"} & set(names)) and set(names) <= _STABLE_NODES
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get("textquarry.broadcast.bytes", None) or BROADCAST_BYTES)
+
+
+def _file_locator(df: DataFrame, column: str) -> DataFrame | None:
+    """Locators from the file's place in the sorted list of paths and the row's place in its file; None if there are none.
+
+    Both are properties of the files themselves: no matter how a scan is split, a row's locator stays.
+    """
+    meta = df.metadataColumn("_metadata")
+    try:
+        placed = df.withColumn(column, meta["row_index"])
+        placed.schema  # noqa: B018
+    except AnalysisException:  # only Parquet rows know their place
+        return None
+    files = len(df.inputFiles())
+    if files <= 1:
+        return placed
+    if files * (256 + ROW_OVERHEAD) > broadcast_bytes(df.sparkSession):
+        return None
+    paths = sorted(r[0] for r in df.select(meta["file_path"]).distinct().collect())
+    name, base = unused_name(df, "_file"), unused_name(df, "_base")
+    listed = df.sparkSession.createDataFrame([(p, k << ROW_BITS) for k, p in enumerate(paths)], f"{name} string, {base} bigint")
+    placed = placed.withColumn(name, meta["file_path"]).join(F.broadcast(listed), name)
+    return placed.withColumn(column, F.col(base) + F.col(column)).select(*[quoted(c) for c in df.columns], column)
+
+
 def with_row_id(df: DataFrame, column: str = "_rid") -> DataFrame:
-    """Add a 64-bit locator that is the same in every scan of ``df`` and after a lost executor.
+    """Add a 64-bit locator that is the same in every scan of ``df``, after a lost executor and under any split.
 
-    A file scan splits the same files the same way each time, so the built-in row number is stable there.
-    Any other plan is first written to the shared folder.
+    Rows of Parquet files have the place of their file and their place in it. Any other plan, and a list of files too
+    long to be broadcast, is first written to the shared folder together with its locators.
     """
-    stable = df if is_file_scan(df) else write_shared(df, "rows")
-    return stable.withColumn(column, F.monotonically_increasing_id())
+    located = _file_locator(df, column) if is_file_scan(df) else None
+    return write_shared(df.withColumn(column, F.monotonically_increasing_id()), "rows") if located is None else located
 
 
 def join_checked(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int, rows: int | None = None) -> DataFrame:
-    """Join with ``right`` broadcast if ``rows`` (counted when not given) stay small, by a shuffle otherwise."""
+    """Join with ``right`` broadcast if ``rows`` (counted when not given) stay small, by a shuffle otherwise.
+
+    ``row_bytes`` is the width of the values; what a hash table takes beside them is added.
+    """
     n = right.count() if rows is None else rows
-    return left.join(F.broadcast(right) if n * row_bytes <= BROADCAST_BYTES else right, on, how)
+    small = n * (row_bytes + ROW_OVERHEAD) <= broadcast_bytes(left.sparkSession)
+    return left.join(F.broadcast(right) if small else right, on, how)
 
 
 def small_batches(spark: SparkSession) -> None:
