@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from textquarry.llm import decontam, exact_dedup, near_dedup, secrets, substrings
-from textquarry.llm.words import fold_text
+from textquarry.llm.words import Words, fold_bytes, fold_text
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 EXTRA = SCHEMA + ", _rid string, seed string, shard int, _old int, _hits string, _RID_ int, duplicate_of string"
@@ -149,22 +149,129 @@ def test_members_that_fail_against_the_smallest_meet_the_others(spark):
     assert sorted(r["doc_id"] for r in near_dedup.near_duplicates(docs).collect()) == [2, 3]
 
 
-def test_substrings_against_brute_force(spark, corpus):
-    docs = table(spark, corpus, EXTRA).repartition(3).cache()
-    rows = exact_dedup.with_row_id(docs.select("doc_id", "text")).orderBy("_rid").collect()
-    length, first, want = substrings.LENGTH, {}, []
+def repeated_words(rows, length=substrings.LENGTH):
+    """words removed, what stays, and the ids of the first holders, of every row with repeats, by brute force."""
+    first, want = {}, []
     for k, r in enumerate(rows):
         w = fold_text(r["text"]).split()
-        covered = [False] * len(w)
+        covered, holders = [False] * len(w), set()
         for i in range(len(w) - length + 1):
-            if first.setdefault(tuple(w[i : i + length]), k) < k:
+            held = first.setdefault(tuple(w[i : i + length]), k)
+            if held < k:
                 covered[i : i + length] = [True] * length
+                holders.add(held)
         if any(covered):
-            want.append((sum(covered), b" ".join(x for x, c in zip(w, covered) if not c)))
-    for hot in (substrings.HOT_SEED, 3, 0):
-        got = [(r["words_removed"], b" ".join(fold_text(r["text"]).split())) for r in substrings.cut_repeats(docs, hot=hot).collect()]
-        assert sorted(x[0] for x in got) == sorted(x[0] for x in want)
-        assert sorted(got) == sorted(want)
+            ids = sorted({rows[h]["doc_id"] for h in holders} - {None})
+            want.append((sum(covered), b" ".join(x for x, c in zip(w, covered) if not c), ids))
+    return sorted(want)
+
+
+@pytest.fixture(scope="module")
+def overlapping(corpus):
+    """The corpus, and passages that overlap in part, so that windows of one span have several first holders."""
+    draw = random.Random(12)
+    pool = words_of(draw, 400)
+    rows = list(corpus)
+    for k in range(40):
+        a = draw.randint(0, 300)
+        parts = [pool[a : a + draw.randint(50, 100)]]
+        if k % 3 == 0:
+            b = draw.randint(0, 300)
+            parts.append(pool[b : b + 80])
+        rows.append((600 + k, " ".join([*words_of(draw, 5), *[w for p in parts for w in p], *words_of(draw, 5)]), "s1"))
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("hot", [substrings.HOT_SEED, 3, 0])
+def test_substrings_against_brute_force(spark, overlapping, hot):
+    docs = table(spark, overlapping, EXTRA).repartition(3).cache()
+    rows = exact_dedup.with_row_id(docs.select("doc_id", "text")).orderBy("_rid").collect()
+    want = repeated_words(rows)
+    assert any(len(ids) > 2 for _, _, ids in want)
+    got = substrings.cut_repeats(docs, shard_words=2000, hot=hot).collect()
+    assert sorted((r["words_removed"], b" ".join(fold_text(r["text"]).split()), r["found_in"]) for r in got) == want
+
+
+def thue_morse(n, a, b):
+    out = [a]
+    while len(out) < n:
+        out += [b if x == a else a for x in out]
+    return out
+
+
+def test_texts_that_collide_under_polynomial_hashes_are_told_apart(spark):
+    rows = [(1, " ".join(thue_morse(4096, "foo", "bar")), "s"), (2, " ".join(thue_morse(4096, "bar", "foo")), "s"), (3, "".join(thue_morse(4096, "a", "b")), "s"), (4, "".join(thue_morse(4096, "b", "a")), "s")]
+    docs = table(spark, rows)
+    a, b = near_dedup.near_edges(exact_dedup.with_row_id(docs.select("doc_id", "text"))), {}
+    for t in docs.collect():
+        w = fold_text(t["text"]).split()
+        b[t["doc_id"]] = {tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))}
+    assert b[1] == b[2]  # the same shingles: near copies, but by comparison and not by an equal hash
+    assert a.count() == 1
+    assert near_dedup.keep_one(docs).count() == 3
+    held = substrings.cut_repeats(docs).collect()
+    want = repeated_words(sorted(docs.collect(), key=lambda r: r["doc_id"]))
+    assert sorted((r["words_removed"], b" ".join(fold_text(r["text"]).split()), r["found_in"]) for r in held) == want
+    x = np.frombuffer((" " + "".join(thue_morse(4096, "a", "b")) + " \n " + "".join(thue_morse(4096, "b", "a")) + " \n").encode(), np.uint8)
+    w = Words(*fold_bytes(x, np.array([0, len(x) // 2, len(x)])))
+    assert len(set(w.hashes.tolist())) == 2 and len(set(w.digests())) == 2
+
+
+def test_locators_don_t_depend_on_how_a_scan_is_split(spark, tmp_path):
+    table(spark, [(k, f"text {k}", "s") for k in range(200)]).repartition(6).write.parquet(str(tmp_path / "six"))
+    docs, seen = spark.read.parquet(str(tmp_path / "six")), []
+    before = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    for n in (1, 64):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", n)
+        seen.append({r["doc_id"]: r["_rid"] for r in exact_dedup.with_row_id(docs.where("doc_id > 3")).collect()})
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism") if before is None else spark.conf.set("spark.sql.leafNodeDefaultParallelism", before)
+    assert seen[0] == seen[1] and len(set(seen[0].values())) == 196
+
+
+def test_without_broadcasts_results_are_the_same(spark, corpus):
+    docs = table(spark, corpus).repartition(3).cache()
+    key = lambda r: repr(r)
+    every = lambda: [sorted(map(key, f(docs).collect())) for f in (exact_dedup.exact_repeats, exact_dedup.drop_exact_repeats, near_dedup.near_duplicates, near_dedup.keep_one, substrings.cut_repeats)]
+    small = every()
+    spark.conf.set("textquarry.broadcast.bytes", "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert every() == small
+    finally:
+        spark.conf.unset("textquarry.broadcast.bytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("few", [near_dedup.FEW_FAILED, 0])
+def test_a_bucket_of_one_template(spark, few):
+    """Pages of one template, below the threshold from each other, with two similar ones among them."""
+    draw = random.Random(13)
+    common = words_of(draw, 180)
+    rows = [(k, " ".join([*common, *words_of(draw, 150, 10**9)]), "s") for k in range(150)]
+    rows.append((500, rows[77][1] + " and so on", "s"))
+    docs = exact_dedup.with_row_id(table(spark, rows).select("doc_id", "text")).cache()
+    names = {r["_rid"]: r["doc_id"] for r in docs.collect()}
+    sets = docs.select("_rid", near_dedup._shingle_set(near_dedup.framed()).alias("set"))
+    pairs = near_dedup.prefix_pairs(sets.selectExpr("_rid", "set", "true AS lost"), near_dedup.THRESHOLD)
+    assert pairs.count() < 20  # of 11,325
+    edges = near_dedup.near_edges(docs, few=few).collect()
+    assert [sorted((names[r["src"]], names[r["dst"]])) for r in edges] == [[77, 500]]
+
+
+def test_prefix_pairs_miss_no_similar_pair(spark):
+    draw = random.Random(14)
+    rows = []
+    for k in range(60):
+        w = words_of(draw, draw.choice((1, 2, 3, 5, 20, 60)), 12)
+        rows += [(3 * k, " ".join(w), "s"), (3 * k + 1, " ".join(w[: len(w) * 3 // 4 + 1]), "s"), (3 * k + 2, " ".join(w[1:]), "s")]
+    docs = exact_dedup.with_row_id(table(spark, rows).select("doc_id", "text")).where("text <> ''").cache()
+    sets = docs.select("_rid", near_dedup._shingle_set(near_dedup.framed()).alias("set"))
+    for threshold in (0.5, 0.7, 1.0):
+        got = {(r["src"], r["dst"]) for r in near_dedup.prefix_pairs(sets.selectExpr("_rid", "set", "true AS lost"), threshold).collect()}
+        held = [(r["_rid"], shingles(r["text"], near_dedup.SHINGLE)) for r in docs.collect()]
+        want = {(max(a, b), min(a, b)) for a, x in held for b, y in held if a != b and len(x & y) / len(x | y) >= threshold}
+        assert want and not want - got
 
 
 def test_automaton_against_brute_force():
@@ -175,16 +282,14 @@ def test_automaton_against_brute_force():
         a.extend(w, k)
     for _ in range(20):
         t = [draw.randint(0, 4) for _ in range(50)]
-        sizes, owners = a.statistics(t)
-        for i in range(len(t)):
-            best = 0
-            for n in range(1, i + 2):
-                if any(w[j : j + n] == t[i - n + 1 : i + 1] for w in known for j in range(len(w) - n + 1)):
-                    best = n
-            assert sizes[i] == best
-            if best:
-                held = known[owners[i]]
-                assert any(held[j : j + best] == t[i - best + 1 : i + 1] for j in range(len(held)))
+        for most in (None, 3, 1):
+            sizes, owners = a.statistics(t, most)
+            for i in range(len(t)):
+                holds = lambda n, w: any(w[j : j + n] == t[i - n + 1 : i + 1] for j in range(len(w) - n + 1))
+                best = max((n for n in range(1, min(i + 1, most or 99) + 1) if any(holds(n, w) for w in known)), default=0)
+                assert sizes[i] == best
+                if best:
+                    assert owners[i] == next(k for k, w in enumerate(known) if holds(best, w))
 
 
 def test_leaks_against_brute_force(spark, corpus):

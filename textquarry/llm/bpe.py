@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import gather, ragged, release, runs, text_bytes
-from textquarry.llm.words import PrefixHash
+from textquarry.llm.words import word_hashes
 from textquarry.plans.runtime import small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -250,7 +250,7 @@ def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN) -> tu
     for a, b in runs(offsets):  # these steps hold several numbers a byte, the others only a few a word
         part, own = x[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         at = pre_tokens(part, own) if pattern == PATTERN else _cut_by_pattern(text.slice(a, b - a).to_pylist(), pattern)
-        hashes.append(PrefixHash(part).hash(at, np.append(at[1:], len(part)) if len(at) else at))
+        hashes.append(word_hashes(part, at, np.append(at[1:], len(part)) if len(at) else at))
         places.append(at + offsets[a])
     starts = np.concatenate(places)
     lengths = np.diff(np.append(starts, len(x)))

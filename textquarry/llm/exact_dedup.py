@@ -42,7 +42,7 @@ class PerfectHash:
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
-        """``keys``: distinct digests. Those that still collide after LEVELS levels stay without a slot."""
+        """``keys``: distinct digests. Raises if two of them agree in the 128 bits that place them, which no two texts are known to do."""
         left, sizes, bits = keys, [], []
         for level in range(LEVELS):
             if not len(left):
@@ -178,14 +178,22 @@ def historical_sources(docs: DataFrame) -> Column:
 
 
 def exact_repeats(docs: DataFrame, old: Column | None = None) -> DataFrame:
-    """doc_id, duplicate_of, found_in of every removed document."""
+    """doc_id, duplicate_of, found_in of every removed document; ``old`` tells the historical rows.
+
+    See ``repeats`` for what is kept: null texts repeat nothing, empty and very long ones are texts like any other, of
+    equal rows the first stays, ties go to the smallest doc_id. Null sources are not historical. An empty table gives no
+    rows. Columns but doc_id, text and source play no part, whatever their names.
+    """
     old = historical_sources(docs) if old is None else old
     rows = with_row_id(docs.select("doc_id", "text", F.coalesce(old, F.lit(False)).alias("_old")))
     return repeats(rows).select("doc_id", "duplicate_of", "found_in")
 
 
 def drop_exact_repeats(docs: DataFrame, old: Column | None = None) -> DataFrame:
-    """The documents that stay, all columns unchanged."""
+    """The documents that stay, all columns unchanged: those that ``exact_repeats`` doesn't remove.
+
+    Rows with a null text stay. Working columns take names that the table has not.
+    """
     old = historical_sources(docs) if old is None else old
     rid = unused_name(docs, "_rid")
     rows = with_row_id(docs, rid)

@@ -4,7 +4,8 @@ Every word shingle walks through a random permutation of the signature's slots;
 step number plus a random fraction, so the ranks of one element are correlated and the signature varies less than
 with independent hashes. Steps beyond the largest whole part left in a signature can't change it and are not taken.
 Bands of slots select candidates; each is verified by the Jaccard similarity of the shingle sets, and union-find
-groups what holds.
+groups what holds. Members of a bucket are compared with its smallest first; those that fail it meet the others, in
+buckets with many of them through the rarest shingles alone, which no similar pair can differ in (a prefix filter).
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ BANDS = 32
 SHINGLE = 3
 THRESHOLD = 0.5
 RUN_BYTES = 1 << 19
+#: In a bucket with at most so many members that fail against its smallest, each is compared with all others.
+FEW_FAILED = 16
+#: Counters that tell common shingles from rare ones; any counts give right results.
+COUNTERS = 1 << 16
 
 _STEP = 0x9E3779B97F4A7C15
 _FRACTION = np.uint64(25)
@@ -88,42 +93,45 @@ def _folded_runs(text: pa.Array, size: int = RUN_BYTES):
         yield b - a, Words(*fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
 
 
-@F.arrow_udf(T.StructType([T.StructField("same", T.LongType()), T.StructField("words", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
+@F.arrow_udf(T.StructType([T.StructField("same", T.BinaryType()), T.StructField("words", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
 def _sketch(text: pa.Array) -> pa.Array:
-    same, words, keys = [], [], []
+    same, words, keys = [], [np.zeros(0, np.int64)], [pa.array([], pa.list_(pa.int64()))]
     for _, w in _folded_runs(text):
         x, cuts = w.shingles(SHINGLE)
         some = np.diff(cuts) > 0
         key = band_keys(signatures(x, cuts))[some]
         at = np.concatenate([[0], np.cumsum(some * BANDS)])
         keys.append(ragged(key.reshape(-1), at, pa.int64()))
-        same.append(w.span_hash(w.offsets[:-1], w.offsets[1:] - 1).view(np.int64))
+        same += w.digests()
         words.append(w.counts)
-    if not same:
-        same, words, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [pa.array([], pa.list_(pa.int64()))]
     release()
-    arrays = [pa.array(np.concatenate(same), pa.int64()), pa.array(np.concatenate(words).astype(np.int32), pa.int32()), pa.concat_arrays(keys)]
+    arrays = [pa.array(same, pa.binary()), pa.array(np.concatenate(words).astype(np.int32), pa.int32()), pa.concat_arrays(keys)]
     return pa.StructArray.from_arrays(arrays, names=["same", "words", "keys"])
 
 
 @F.arrow_udf(T.BinaryType())
 def _shingle_set(text: pa.Array) -> pa.Array:
-    """Sorted distinct shingles as 32-bit hashes."""
+    """Sorted distinct shingles as 64-bit hashes."""
     out = []
     for n, w in _folded_runs(text):
         x, cuts = w.shingles(SHINGLE)
-        x = (x >> np.uint64(32)).astype(np.uint32)
         out += [np.unique(x[cuts[k] : cuts[k + 1]]).tobytes() for k in range(n)]
     release()
     return pa.array(out, pa.binary())
 
 
+def _numbers(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
 @F.arrow_udf(T.DoubleType())
 def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     out = []
     for a, b in zip(left, right):
-        x, y = np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32)
-        common = len(x) + len(y) - len(np.union1d(x, y))
+        x, y = _numbers(a), _numbers(b)
+        if len(x) > len(y):
+            x, y = y, x
+        common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(y) else 0
         out.append(common / max(1, len(x) + len(y) - common))
     return pa.array(out, pa.float64())
 
@@ -135,17 +143,63 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "src").join(b, "dst").select("src", "dst", _jaccard("_a", "_b").alias("jaccard"))
 
 
-def near_edges(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often shingles fall to each of COUNTERS counters, over all ``sets``."""
+
+    def run(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                total += np.bincount((_numbers(value) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["at", "n"])
+
+    out = np.zeros(COUNTERS, np.int64)
+    for r in sets.select("set").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():  # COUNTERS rows at most
+        out[r["at"]] = r["n"]
+    return out
+
+
+def prefix_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs src > dst, one of them lost, that can be similar; ``sets`` has _rid, set and lost.
+
+    Shingles are ordered from rare to common. A set of n has at least ceil(threshold * n) in common with any similar one,
+    so that one of its first n - ceil(threshold * n) + 1 is common to both; the smaller of the two shares still more, and
+    fewer of its own are enough. Common shingles such as those of a template come last and select nothing.
+    """
+    counts = shingle_counts(sets)
+    both = 2 * threshold / (1 + threshold)
+
+    def run(batches):
+        for batch in batches:
+            rid, lost = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
+            for k, value in enumerate(batch.column(1)):
+                x = _numbers(value)
+                n = len(x)
+                x = x[np.lexsort((x, counts[(x % np.uint64(COUNTERS)).astype(np.int64)]))][: n - int(np.ceil(threshold * n - 1e-9)) + 1]
+                own = np.arange(len(x)) < n - int(np.ceil(both * n - 1e-9)) + 1
+                columns = [pa.array(x.view(np.int64)), pa.array(np.full(len(x), rid[k])), pa.array(np.full(len(x), n)), pa.array(np.full(len(x), lost[k])), pa.array(own)]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "rid", "n", "lost", "own"])
+            release()
+
+    rows = write_shared(sets.select("_rid", "set", "lost").mapInArrow(run, "token bigint, rid bigint, n bigint, lost boolean, own boolean"), "prefixes")
+    small, large = rows.where("own").alias("a"), rows.alias("b")
+    met = (F.col("a.token") == F.col("b.token")) & (F.col("a.n") <= F.col("b.n")) & (F.col("a.n") >= F.col("b.n") * threshold - 1e-6) & (F.col("a.rid") != F.col("b.rid")) & (F.col("a.lost") | F.col("b.lost"))
+    return small.join(large, met).select(F.greatest("a.rid", "b.rid").alias("src"), F.least("a.rid", "b.rid").alias("dst")).distinct()
+
+
+def near_edges(docs: DataFrame, threshold: float = THRESHOLD, few: int = FEW_FAILED) -> DataFrame:
     """Edges (src, dst) of row locators whose components are the near-duplicate groups. ``docs`` has _rid and text.
 
-    Texts of the same words are one node and need no comparison. In every bucket of a band all members are verified
-    against the smallest; a member that fails is verified against all the others, so that the components are those of
-    all verified pairs of a bucket, whatever its size.
+    Texts of the same words, told by SHA-256, are one node and need no comparison. In every bucket of a band all members
+    are verified against the smallest; those that fail are verified against all the others if they are ``few``, else
+    against those that ``prefix_pairs`` can't rule out: the components are those of all verified pairs of a bucket,
+    whatever its size, and the pairs stay in proportion to its members.
     """
     small_batches(docs.sparkSession)
     sketch = write_shared(docs.select("_rid", _sketch(framed()).alias("s")).select("_rid", "s.*").where("words > 0"), "sketch")
-    same = sketch.groupBy("same", "words").agg(F.min("_rid").alias("dst"), F.count("*").alias("n")).where("n > 1")
-    copies = write_shared(join_checked(sketch.select("_rid", "same", "words"), same, ["same", "words"], "inner", 48).where("_rid <> dst").select(F.col("_rid").alias("src"), "dst"), "copies")
+    same = sketch.groupBy("same").agg(F.min("_rid").alias("dst"), F.count("*").alias("n")).where("n > 1")
+    copies = write_shared(join_checked(sketch.select("_rid", "same"), same.select("same", "dst"), "same", "inner", 48).where("_rid <> dst").select(F.col("_rid").alias("src"), "dst"), "copies")
     distinct = join_checked(sketch, copies.select(F.col("src").alias("_rid")), "_rid", "left_anti", 16)
     members = distinct.select("_rid", F.explode("keys").alias("key"))
     buckets = write_shared(members.groupBy("key").agg(F.min("_rid").alias("lead"), F.count("*").alias("n")).where("n > 1"), "buckets")
@@ -157,10 +211,16 @@ def near_edges(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     checked = write_shared(_verified(stars, sets), "checked")
     failed = checked.where(F.col("jaccard") < threshold).select(F.col("src").alias("_rid"), F.col("dst").alias("lead"))
     wide = links.where("n > 2")
-    lost = wide.join(failed, ["_rid", "lead"], "left_semi").select("key", F.col("_rid").alias("lost"))
-    others = wide.where("_rid <> lead").join(lost, "key").where("_rid <> lost")
-    rest = others.select(F.greatest("_rid", "lost").alias("src"), F.least("_rid", "lost").alias("dst")).distinct().join(checked, ["src", "dst"], "left_anti")
-    more = _verified(write_shared(rest, "rest"), sets)
+    lost = write_shared(wide.join(failed, ["_rid", "lead"], "left_semi").select("key", F.col("_rid").alias("lost")), "lost")
+    crowd = lost.groupBy("key").agg(F.count("*").alias("k"))
+    others = wide.where("_rid <> lead").join(lost.join(crowd.where(F.col("k") <= few), "key", "left_semi"), "key").where("_rid <> lost")
+    rest = others.select(F.greatest("_rid", "lost").alias("src"), F.least("_rid", "lost").alias("dst")).distinct()
+    crowded = write_shared(crowd.where(F.col("k") > few).select("key"), "crowded")
+    if not crowded.isEmpty():
+        mine = wide.join(crowded, "key", "left_semi").select("_rid").distinct().join(lost.select(F.col("lost").alias("_rid"), F.lit(True).alias("lost")).distinct(), "_rid", "left")
+        rest = rest.unionByName(prefix_pairs(sets.join(mine, "_rid").withColumn("lost", F.coalesce("lost", F.lit(False))), threshold)).distinct()
+    rest = write_shared(rest.join(checked, ["src", "dst"], "left_anti"), "rest")
+    more = write_shared(_verified(rest, sets), "verified")
     good = checked.unionByName(more).where(F.col("jaccard") >= threshold).select("src", "dst")
     return good.unionByName(copies)
 
@@ -183,12 +243,20 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, group_id, group_size, kept of every document that has near duplicates."""
+    """doc_id, group_id, group_size, kept of every document that has near duplicates.
+
+    The row with the smallest doc_id of a group stays (null ids last, then the first row) and names it. Null, empty and
+    wordless texts are in no group; repeated rows are near duplicates of each other; very long texts are read whole. An
+    empty table gives no rows. Columns but doc_id and text play no part, whatever their names.
+    """
     return near_groups(with_row_id(docs.select("doc_id", "text")), threshold).drop("_rid")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without near duplicates and one of each group, all columns unchanged."""
+    """The documents without near duplicates and one of each group (see ``near_duplicates``), all columns unchanged.
+
+    Null, empty and wordless texts stay. Working columns take names that the table has not.
+    """
     rid = unused_name(docs, "_rid")
     rows = with_row_id(docs, rid)
     narrow = rows.select(F.col(rid).alias("_rid"), "doc_id", "text")

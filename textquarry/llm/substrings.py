@@ -5,8 +5,11 @@ words. Winnowing picks a seed, the smallest hash of SEED-word runs, in every win
 equal places, so only seeds that two documents share can lie in a repeat. The segments around shared seeds are dealt
 to shards by seed. Each shard reads its segments in document order: an online suffix automaton of the documents so far
 gives the matching statistics of the next one, whose new words then extend it. Windows whose statistic reaches LENGTH
-are repeats; runs of them are the maximal spans. Segments of a seed that is too frequent for one shard are compared
-window by window instead, with the same result.
+are repeats; runs of them are the maximal spans. The owner of a window is the first document that holds it: the first
+one to reach the automaton's state of its words.
+
+Two kinds of segments go round the automata, with the same result: copies of a segment are matched once, as they have
+the same windows; segments of a seed that is too frequent for one shard are compared window by window.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ SEEDS = "_rid bigint, seed bigint, low int, n int, same bigint"
 SEGMENTS = "_rid bigint, seed bigint, same bigint, words binary"
 WINDOWS = "_rid bigint, seed bigint, same bigint, at int, window bigint"
 SPANS = "seed bigint, same bigint, low int, n int, owner bigint"
+RUNS = "seed bigint, same bigint, runs array<struct<low:int,n:int,owner:bigint>>"
 
 
 class Automaton:
@@ -90,8 +94,11 @@ class Automaton:
         self.owner.append(self.owner[q])
         return len(self.next) - 1
 
-    def statistics(self, words: list[int]) -> tuple[list[int], list[int]]:
-        """For every position the length of the longest known run of words that ends there, and a document that has it."""
+    def statistics(self, words: list[int], most: int | None = None) -> tuple[list[int], list[int]]:
+        """For every position the length of the longest known run of words that ends there, and the first document that has it.
+
+        Lengths are bounded by ``most``; the document is then the first that has the run's last ``most`` words.
+        """
         nxt, link, length, own = self.next, self.link, self.len, self.owner
         state, size, sizes, owners = 0, 0, [], []
         for c in words:
@@ -102,6 +109,10 @@ class Automaton:
                 to = nxt[state].get(c)
             if to is not None:
                 state, size = to, size + 1
+                if most is not None and size > most:
+                    size = most
+                    while length[link[state]] >= most:
+                        state = link[state]
             sizes.append(size)
             owners.append(own[state])
         return sizes, owners
@@ -136,8 +147,7 @@ def seeds_of(w: Words, length: int = LENGTH, seed: int = SEED):
     n = np.diff(np.append(first, len(window)))
     doc = doc[first]
     low = window[first] - cuts[doc]
-    at = w.first[doc] + low
-    return doc, x[chosen[first]], low, n, w.span_hash(w.spaces[at], w.spaces[at + n + length - 1])
+    return doc, x[chosen[first]], low, n, w.range_hash(w.base[doc] + low, n + length - 1, length)
 
 
 def find_seeds(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
@@ -180,10 +190,9 @@ def cut_segments(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batches):
         for w, doc, low, n, rid, key, same in _segments(batches, length):
-            word, cuts = w.shingles(1)
             size = n + length - 1
             ends = np.concatenate([[0], np.cumsum(size)])
-            flat = (word[gather(cuts[doc] + low, size)] >> np.uint64(32)).astype(np.uint32)
+            flat = (w.hashes[gather(w.base[doc] + low, size)] >> np.uint64(32)).astype(np.uint32)
             content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends * 4), pa.py_buffer(flat)]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(key, pa.int64()), pa.array(same, pa.int64()), content], ["_rid", "seed", "same", "words"])
 
@@ -196,8 +205,7 @@ def cut_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches):
         for w, doc, low, n, rid, key, same in _segments(batches, length):
             at = gather(np.zeros(len(doc), np.int64), n)
-            first = np.repeat(w.first[doc] + low, n) + at
-            window = w.span_hash(w.spaces[first], w.spaces[first + length]).view(np.int64)
+            window = w.range_hash(np.repeat(w.base[doc] + low, n) + at, length, length).view(np.int64)
             columns = [pa.array(np.repeat(v, n), pa.int64()) for v in (rid, key, same)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(at.astype(np.int32), pa.int32()), pa.array(window, pa.int64())], ["_rid", "seed", "same", "at", "window"])
 
@@ -205,7 +213,7 @@ def cut_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def match_segments(firsts: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:
-    """Runs of repeated windows of each distinct segment against the segments of earlier documents in its shard."""
+    """Runs of windows of each distinct segment that earlier documents of its shard hold, each run with one owner."""
 
     def run(table: pa.Table) -> pa.Table:
         rid, seed, same = (table[c].to_numpy() for c in ("_rid", "seed", "same"))
@@ -218,16 +226,15 @@ def match_segments(firsts: DataFrame, shards: int, length: int = LENGTH) -> Data
                 end += 1
             own = [np.frombuffer(words[i], np.uint32).tolist() for i in order[k:end]]
             for i, w in zip(order[k:end], own):
-                sizes, owners = automaton.statistics(w)
-                low = -1
+                sizes, owners = automaton.statistics(w, length)
+                low, holder = -1, -1
                 for at in range(length - 1, len(w) + 1):
-                    hit = at < len(w) and sizes[at] >= length
-                    if hit and low < 0:
-                        low = at - length + 1
-                    elif not hit and low >= 0:
-                        for column, v in zip(out, (seed[i], same[i], low, at - length + 1 - low, owners[at - 1])):
-                            column.append(int(v))
-                        low = -1
+                    now = owners[at] if at < len(w) and sizes[at] >= length else -1
+                    if now != holder:
+                        if holder >= 0:
+                            for column, v in zip(out, (seed[i], same[i], low, at - length + 1 - low, holder)):
+                                column.append(int(v))
+                        low, holder = at - length + 1, now
             for w in own:
                 automaton.extend(w, int(rid[order[k]]))
             k = end
@@ -237,39 +244,71 @@ def match_segments(firsts: DataFrame, shards: int, length: int = LENGTH) -> Data
     return firsts.withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards))).groupBy("shard").applyInArrow(run, SPANS)
 
 
+_OWNED = T.ArrayType(T.StructType([T.StructField("low", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("owner", T.LongType())]))
+_PLACED = T.ArrayType(T.StructType([T.StructField("low", T.IntegerType()), T.StructField("n", T.IntegerType())]))
+
+
+@F.arrow_udf(_OWNED)
+def _owner_runs(n: pa.Array, first: pa.Array, runs_: pa.Array) -> pa.Array:
+    """The runs of a segment's ``n`` windows with their owners; windows of no run belong to ``first``."""
+    out = []
+    for size, own, some in zip(n.to_pylist(), first.to_pylist(), runs_.to_pylist()):
+        rows, at = [], 0
+        for r in sorted(some or [], key=lambda r: r["low"]):
+            if r["low"] > at:
+                rows.append({"low": at, "n": r["low"] - at, "owner": own})
+            rows.append(r)
+            at = r["low"] + r["n"]
+        if at < size:
+            rows.append({"low": at, "n": size - at, "owner": own})
+        out.append(rows)
+    return pa.array(out, pa.list_(pa.struct([("low", pa.int32()), ("n", pa.int32()), ("owner", pa.int64())])))
+
+
 def _listed(docs: DataFrame, segments: DataFrame) -> tuple[DataFrame, int]:
     """Documents with the array of their segments, and the number of segments."""
-    by_doc = write_shared(segments.groupBy("_rid").agg(F.collect_list(F.struct("seed", "same", "at.low", "at.n")).alias("seeds")), "by-doc")
+    by_doc = write_shared(segments.groupBy("_rid").agg(F.collect_list(F.struct("seed", "same", "low", "n")).alias("seeds")), "by-doc")
     n = by_doc.agg(F.sum(F.size("seeds")).alias("n")).first()["n"] or 0
     return join_checked(docs.select("_rid", "text"), by_doc, "_rid", "inner", 48, n), n
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard_words: int = SHARD_WORDS, hot: int = HOT_SEED) -> DataFrame:
-    """_rid, low, n, owner: runs of repeated windows (first word, number of windows) and an earlier document with them."""
+    """_rid, low, n, owner: runs of repeated windows (first word, number of windows) and the first document with each of them."""
     small_batches(docs.sparkSession)
     found = write_shared(find_seeds(docs, length, seed), "seeds")
     seen = found.groupBy("seed").agg(F.min("_rid").alias("a"), F.max("_rid").alias("b"), F.min("same").alias("s"), F.max("same").alias("t"), F.count("*").alias("k"))
     shared = seen.where("a < b").select("seed", (F.col("s") != F.col("t")).alias("differ"), (F.col("k") > hot).alias("hot"))
     held = write_shared(found.join(shared, "seed"), "shared")
-    groups = write_shared(held.groupBy("seed", "same").agg(F.min("_rid").alias("first"), F.first("differ").alias("differ")), "groups")
+    groups = write_shared(held.groupBy("seed", "same").agg(F.min(F.struct("_rid", "low")).alias("at"), F.first("n").alias("n"), F.first("differ").alias("differ"), F.first("hot").alias("hot")).select("seed", "same", "at.*", "n", "differ", "hot"), "groups")
     # distinct segments of seeds with several are matched where their first document holds them first
-    open_ = groups.where("differ").select("seed", "same", F.col("first").alias("_rid"))
-    once = held.where("differ").groupBy("seed", "same", "_rid", "hot").agg(F.min(F.struct("low", "n")).alias("at")).join(open_, ["seed", "same", "_rid"], "left_semi")
-    once = write_shared(once, "once")
+    once = groups.where("differ")
     chosen, _ = _listed(docs, once.where("NOT hot"))
-    words = once.where("NOT hot").agg(F.sum(F.col("at.n") + length).alias("w")).first()["w"] or 0
+    words = once.where("NOT hot").agg(F.sum(F.col("n") + length).alias("w")).first()["w"] or 0
     matched = match_segments(cut_segments(chosen, length), max(1, -(-int(words) // shard_words)), length)
     chosen, n = _listed(docs, once.where("hot"))
     if n:
         windows = write_shared(cut_windows(chosen, length), "windows")
-        owners = windows.groupBy("window").agg(F.min("_rid").alias("owner"), F.max("_rid").alias("last")).where("owner < last").drop("last")
-        again = windows.join(owners, "window").where("owner < _rid")
-        matched = matched.unionByName(again.select("seed", "same", F.col("at").alias("low"), F.lit(1).alias("n"), "owner"))
-    matched = write_shared(matched, "matched")
-    copies = held.join(groups.drop("differ"), ["seed", "same"]).where("_rid <> first").select("_rid", "low", "n", F.col("first").alias("owner"))
-    base = held.where("differ").select("_rid", "seed", "same", F.col("low").alias("base")).join(open_, ["seed", "same", "_rid"], "left_semi")
-    part = base.join(matched, ["seed", "same"]).select("_rid", (F.col("base") + F.col("low")).alias("low"), "n", "owner")
-    return copies.unionByName(part)
+        owners = windows.groupBy("seed", "window").agg(F.min("_rid").alias("owner"), F.max("_rid").alias("last")).where("owner < last").drop("last")
+        again = windows.join(owners, ["seed", "window"]).where("owner < _rid")
+        again = again.groupBy("seed", "same", "owner").agg(F.array_sort(F.collect_list("at")).alias("places")).select("seed", "same", "owner", _joined("places").alias("r"))
+        matched = matched.unionByName(again.select("seed", "same", F.explode("r").alias("r"), "owner").select("seed", "same", "r.low", "r.n", "owner"))
+    matched = matched.groupBy("seed", "same").agg(F.collect_list(F.struct("low", "n", "owner")).alias("runs"))
+    runs_of = groups.select("seed", "same", "n", F.col("_rid").alias("first")).join(matched, ["seed", "same"], "left")
+    runs_of = write_shared(runs_of.select("seed", "same", _owner_runs("n", "first", "runs").alias("runs")), "runs")
+    every = held.select("_rid", "seed", "same", F.col("low").alias("base")).join(runs_of, ["seed", "same"])
+    parts = every.select("_rid", "base", F.explode("runs").alias("r")).where("r.owner < _rid")
+    return parts.select("_rid", (F.col("base") + F.col("r.low")).alias("low"), "r.n", "r.owner")
+
+
+@F.arrow_udf(_PLACED)
+def _joined(places: pa.Array) -> pa.Array:
+    """Runs of consecutive numbers."""
+    out = []
+    for some in places:
+        x = some.values.to_numpy()
+        head = np.flatnonzero(np.concatenate([[True], np.diff(x) != 1]))
+        out.append([{"low": int(x[a]), "n": int(b - a)} for a, b in zip(head, np.append(head[1:], len(x)))])
+    return pa.array(out, pa.list_(pa.struct([("low", pa.int32()), ("n", pa.int32())])))
 
 
 SPAN = T.StructType([T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("words", T.IntegerType())]))), T.StructField("text", T.StringType())])
@@ -306,18 +345,18 @@ def _cut_spans(text: pa.Array, ranges: pa.Array) -> pa.Array:
 cut_spans = F.arrow_udf(_cut_spans, SPAN)
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot: int = HOT_SEED) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard_words: int = SHARD_WORDS, hot: int = HOT_SEED) -> DataFrame:
     """Documents with repeated spans: doc_id, n_spans, words_removed, spans (start, end, words), found_in, text.
 
     Of passages of ``length`` words or more that documents share, the first document (in the table's order) keeps its
     own; in every later one the maximal span is removed. Words are compared in lower case and without ASCII signs;
-    start and end count characters. found_in lists doc_ids of earlier documents that hold the spans, null ids left
-    out. A passage that only one document repeats within itself stays. Null, empty and shorter texts have no spans;
-    texts are read whole. A copy of a whole document leaves an empty remainder but for signs around it. An empty table
-    gives no rows; columns but doc_id and text play no part.
+    start and end count characters. found_in lists the doc_ids of the first document with each window of ``length``
+    words in the spans, null ids left out; null columns beside the text change nothing. A passage that only one document repeats within itself stays. Null, empty and shorter texts have no spans;
+    texts are read whole. A copy of a whole document leaves an empty remainder but for signs around it. Repeated rows are
+    documents like any other. An empty table gives no rows; columns but doc_id and text play no part, whatever their names.
     """
     rows = with_row_id(docs.select("doc_id", "text"))
-    windows = write_shared(repeated_windows(rows, length, seed, hot=hot), "windows")
+    windows = write_shared(repeated_windows(rows, length, seed, shard_words, hot), "windows")
     ids = rows.select(F.col("_rid").alias("owner"), F.col("doc_id").alias("owner_id"))
     owners = windows.select("_rid", "owner").distinct()
     named = owners.join(ids, "owner").groupBy("_rid").agg(F.array_sort(F.collect_set("owner_id")).alias("found_in"))

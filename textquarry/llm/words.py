@@ -1,11 +1,13 @@
 """Word-level view of texts for the matching operators.
 
 A text becomes ``" w1 w2 ... wn \\n"``: lower case, every run of ASCII signs and white space one space, bytes beyond
-ASCII kept as parts of words. All hashing works on these bytes with whole-array operations.
+ASCII kept as parts of words. Hashing works on these bytes with whole-array operations.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -54,40 +56,30 @@ def fold_text(text: str | None) -> bytes:
     return b" " + b"".join(w + b" " for w in words)
 
 
-_R = np.uint64(0x9E3779B97F4A7C15 | 1)
-_R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
-_TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    held = _powers.get(0)
-    if held is None or len(held[0]) < n:
-        size = max(n, 1 << 16)
-        up = np.full(size, _R, np.uint64)
-        up[0] = 1
-        down = np.full(size, _R_INV, np.uint64)
-        down[0] = 1
-        held = _powers[0] = np.cumprod(up), np.cumprod(down)
-    return held
-
+#: Longer words are hashed one by one.
+_LONG_WORD = 64
+_C = np.uint64(0x9E3779B97F4A7C15)
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
-class PrefixHash:
-    """64-bit hashes of any byte range of an array, each from two prefix sums."""
 
-    def __init__(self, data: np.ndarray):
-        up, self._down = _power(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_TABLE[data] * up[: len(data)], out=self._sums[1:])
-
-    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of the bytes from ``start`` to before ``end``; the length takes part."""
-        body = (self._sums[end] - self._sums[start]) * self._down[start]
-        return mix64(body + mix64((end - start).astype(np.uint64)))
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start:end]: eight bytes at a time, mixed in between, so that no algebra cancels."""
+    size = end - start
+    blocks = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
+    out = mix64(mix64(size.astype(np.uint64)) ^ (blocks[start] & _LOW_BYTES[np.minimum(size, 8)]))
+    more, k = np.flatnonzero((size > 8) & (size <= _LONG_WORD)), 8
+    while len(more):
+        rest = blocks[start[more] + k] & _LOW_BYTES[np.minimum(size[more] - k, 8)]
+        out[more] = mix64(out[more] * _C + rest)
+        k += 8
+        more = more[size[more] > k]
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return out
 
 
 class Words:
-    """Word boundaries of folded texts, and hashes of any run of words from prefix sums."""
+    """Word boundaries of folded texts, and hashes of runs of words."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data, self.offsets = data, offsets
@@ -95,11 +87,41 @@ class Words:
         #: spaces[first[d] : first[d + 1]] are those of document d; it has one word fewer than spaces
         self.first = np.searchsorted(self.spaces, offsets)
         self.counts = np.maximum(np.diff(self.first) - 1, 0)
-        self._prefix = PrefixHash(data)
-
-    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the bytes from the space at ``start`` to that at ``end``, both included."""
-        return self._prefix.hash(start, end + 1)
+        #: words base[d] to base[d + 1] are those of document d
+        self.base = np.concatenate([[0], np.cumsum(self.counts)])
+        at = np.arange(self.base[-1]) + np.repeat(self.first[:-1] - self.base[:-1], self.counts)
+        self.hashes = word_hashes(data, self.spaces[at] + 1, self.spaces[at + 1])
+        self._blocks = {1: self.hashes}
+
+    def digests(self) -> list[bytes]:
+        """SHA-256 of every document's words."""
+        view = memoryview(np.ascontiguousarray(self.data))
+        return [hashlib.sha256(view[a:b]).digest() for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist())]
+
+    def _block(self, size: int) -> np.ndarray:
+        """Hashes of the ``size`` words from every word on; ``size`` is a power of two."""
+        held = self._blocks.get(size)
+        if held is None:
+            half = self._block(size // 2)
+            rest = half[size // 2 :]
+            held = self._blocks[size] = mix64(half[: len(rest)] * _C + rest)
+        return held
+
+    def range_hash(self, start: np.ndarray, n: np.ndarray | int, least: int) -> np.ndarray:
+        """Hashes of runs of ``n`` words from word ``start`` on, none shorter than ``least``, which takes part in the hash.
+
+        Blocks of a power of two words, evenly spread so that they cover the run, are mixed one after another.
+        """
+        n = np.broadcast_to(np.asarray(n, np.int64), np.shape(start))
+        size = 1 << (min(least, 32).bit_length() - 1)
+        block = self._block(size)
+        count = -(-n // size)
+        out = mix64(n.astype(np.uint64) ^ _C)
+        for k in range(int(count.max(initial=0))):
+            live = np.flatnonzero(count > k) if k else np.arange(len(out))
+            place = start[live] + (k * (n[live] - size)) // np.maximum(count[live] - 1, 1)
+            out[live] = mix64(out[live] * _C + block[place])
+        return out
 
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all ``width``-word runs, and the n+1 offsets by document.
@@ -110,6 +132,14 @@ class Words:
         short = (self.counts > 0) & (full == 0)
         n = np.where(short, 1, full)
         cuts = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(cuts[-1]) - np.repeat(cuts[:-1] - self.first[:-1], n)
+        at = np.arange(cuts[-1]) - np.repeat(cuts[:-1] - self.base[:-1], n)
         wide = np.repeat(np.where(short, self.counts, width), n)
-        return self.span_hash(self.spaces[at], self.spaces[at + wide]), cuts
+        few = np.flatnonzero(wide < width)
+        out = self.hashes[at].copy()
+        for k in range(1, width):
+            more = mix64(out * _C + self.hashes[np.minimum(at + k, len(self.hashes) - 1)])
+            if len(few):
+                still = few[wide[few] <= k]
+                more[still] = out[still]
+            out = more
+        return out, cuts
