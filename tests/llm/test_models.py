@@ -1,9 +1,8 @@
-"""Language ID, byte-level BPE, pages, chats and sharding against brute force, round trips and held-out accuracy."""
+"""Language ID, byte-level BPE, pages and sharding against brute force, round trips and held-out accuracy."""
 
 from __future__ import annotations
 
 import itertools
-import json
 import random
 import re
 from collections import Counter
@@ -14,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from textquarry.llm import bpe, chat, html, langid, sharding
+from textquarry.llm import bpe, html, langid, sharding
 
 EXTRA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _verdict string, shard string, place_ int, Place int"
 
@@ -172,58 +171,6 @@ def test_broken_pages(spark):
     assert html.extract_pages(df.limit(0)).count() == 0
 
 
-# --- chats
-
-
-def test_chats(spark):
-    j = json.dumps
-    schema = {"type": "object", "properties": {"a": {"type": "integer", "minimum": 1}, "b": {"enum": ["x", "y"]}}, "required": ["a"], "additionalProperties": False}
-    rows = [
-        (1, 0, "system", j({"tools": [{"name": "add", "parameters": schema}]})),
-        (1, 2, "assistant", j({"content": "ok", "tool_calls": [{"id": "y", "name": "add", "arguments": {"b": "${x}", "a": 2.0}}, {"id": "x", "name": "add", "arguments": {"a": 0, "q": 1}}]})),
-        (1, 1, "user", "hi"),
-        (1, 3, "tool", j({"tool_call_id": "x", "content": {"v": [1, 2]}})),
-        (1, 4, "tool", j({"tool_call_id": "y", "content": "plain"})),
-        (1, 5, "tool", j({"tool_call_id": "y", "content": "again"})),
-        (1, 6, "tool", j({"tool_call_id": "zz", "content": "3"})),
-        (2, 0, "user", 'é "quote"\n'),
-        (2, 0, "user", 'é "quote"\n'),
-        (2, None, None, None),
-        (3, 0, "assistant", "{not json"),
-        (4, 0, "assistant", j({"tool_calls": [{"id": "a", "name": "n", "arguments": {"r": "${b}"}}, {"id": "b", "name": "n", "arguments": {"r": "${a}"}}]})),
-        (4, -1, "tool", j({"tool_call_id": "a", "content": "too early"})),
-        (None, 1, "user", "x" * 100000),
-    ]
-    df = spark.createDataFrame([(*r, 1, "z") for r in rows], "conv_id bigint, turn int, role string, text string, e int, messages string")
-    got = {r["conv_id"]: r for r in chat.format_chats(df).collect()}
-    first = json.loads(got[1]["messages"])
-    assert [m["role"] for m in first] == ["system", "user", "assistant"]
-    assert [c["call"]["id"] for c in first[2]["tool_calls"]] == ["x", "y"] and first[2]["tool_calls"][0]["result"] == {"v": [1, 2]} and first[2]["tool_calls"][1]["result"] == "plain"
-    assert first[2]["tool_calls"][1]["call"]["arguments"] == {"a": 2, "b": "${x}"} and '"a":2,' in got[1]["messages"]
-    assert got[1]["problems"] == ["call x: $.a: breaks minimum", "call x: $.q: not allowed", "call y: $.b: not in enum", "result y: answered already", "result zz: answers nothing"]
-    assert (got[1]["n_turns"], got[1]["n_calls"], got[1]["n_linked"]) == (7, 2, 2)
-    assert json.loads(got[2]["messages"]) == [{"content": 'é "quote"\n', "role": "user"}] * 2 + [{"content": None, "role": None}]
-    assert json.loads(got[3]["messages"])[0]["content"] == "{not json"
-    assert got[4]["n_linked"] == 0 and sum("cycle" in p for p in got[4]["problems"]) == 2 and "result a: answers nothing" not in got[4]["problems"]
-    assert len(got[None]["messages"]) > 100000
-    assert all(r["messages"] == json.dumps(json.loads(r["messages"]), sort_keys=True, separators=(",", ":"), ensure_ascii=False) for r in got.values())
-    assert chat.format_chats(df.limit(0)).count() == 0
-
-
-@settings(max_examples=80, deadline=None)
-@given(st.integers(0, 8), st.data())
-def test_topological_order(n, data):
-    ids = [f"c{k}" for k in range(n)]
-    needs = {c: set(data.draw(st.lists(st.sampled_from([*ids, "other"]), max_size=3))) - {c} for c in ids}
-    order, stuck = chat.topological(ids, needs)
-    assert sorted(order) == sorted(ids)
-    for c in ids:
-        if c not in stuck:
-            assert all(order.index(d) < order.index(c) for d in needs[c] if d in ids)
-    for c in stuck:
-        assert any(d in stuck for d in needs[c])
-
-
 # --- sharding
 
 
