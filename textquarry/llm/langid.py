@@ -20,7 +20,6 @@ BUCKETS = 1 << 13
 TRAIN_TEXTS_PER_LANG = 2000
 PENALTY = 3.0
 UND_SHARE = 0.5
-MIN_GRAMS = 50
 
 VERDICT = "struct<lang:string,langs:array<string>,shares:array<double>,n_grams:bigint,rejected:boolean>"
 
@@ -101,9 +100,7 @@ def infer(column: pa.Array, names: list[str], like: np.ndarray, penalty: float =
                 else:
                     seen, counts = np.unique(g, return_counts=True)
                     counts = counts.astype(float)
-                # too short a text says nothing against a language: ``und`` takes part from MIN_GRAMS on
-                width = len(every) if len(g) >= MIN_GRAMS else len(names)
-                live, shares = choose_languages(counts, like[seen, :width], penalty)
+                live, shares = choose_languages(counts, like[seen], penalty)
             part = {every[i]: float(s) for i, s in zip(live, shares)}
             known = [i for i in live if i < len(names)]
             out["lang"].append(every[known[0]] if known and part.get("und", 0.0) < und_share else "und")
@@ -158,7 +155,7 @@ def with_verdict(docs: DataFrame, model=None, column: str = "_verdict") -> DataF
 
     Null, empty and letterless texts have no trigrams: language ``und``, share 1.0, rejected. Without any labelled
     row every text is ``und``. Equal texts get equal verdicts, and ties of shares keep the order of the names. Very
-    long texts are read whole. Texts of fewer than MIN_GRAMS trigrams are told apart by the languages alone.
+    long texts are read whole. Short texts are judged like long ones: ``und`` takes part at every length.
     """
     small_batches(docs.sparkSession)
     names, like = model or train(docs)
