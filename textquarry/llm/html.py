@@ -38,6 +38,11 @@ SHAPE = (N_KINDS, N_LENGTH, N_LINKS, N_MARKS)
 
 RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_nodes", T.IntegerType()), T.StructField("n_kept", T.IntegerType()), T.StructField("certainty", T.DoubleType())])
 
+#: An open tag is closed by a new one only above the innermost of these.
+SCOPES = frozenset(("table", "ul", "ol", "dl", "article", "section", "div", "body"))
+#: Deeper nodes hang from the last ancestor within the limit, as browsers have it; their text stays.
+MAX_NESTING = 512
+
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _SENTENCE = re.compile(r"[.!?…。]")
 
@@ -65,18 +70,24 @@ def parse(page: str | None) -> Tree:
     """
     tree = Tree()
     page = page or ""
-    stack, open_tags, mark = [(0, "#root", -1)], {}, -1
+    stack, mark = [(0, "#root", -1)], -1
+    open_tags: dict[str, list[int]] = {}  # the places in the stack of each tag
+    scopes = [0]
     at, n, quotes = 0, len(page), True
 
+    def parent() -> int:
+        return stack[min(len(stack), MAX_NESTING) - 1][0]
+
     def text(piece: str) -> None:
         if piece and not piece.isspace():
-            tree.add(stack[-1][0], "#text", entities.unescape(piece) if "&" in piece else piece, mark)
+            tree.add(parent(), "#text", entities.unescape(piece) if "&" in piece else piece, mark)
 
     def pop() -> None:
         nonlocal mark
-        _, name, before = stack.pop()
-        open_tags[name] -= 1
-        mark = before
+        _, name, mark = stack.pop()
+        open_tags[name].pop()
+        if name in SCOPES:
+            scopes.pop()
 
     while at < n:
         lt = page.find("<", at)
@@ -104,12 +115,14 @@ def parse(page: str | None) -> Tree:
         end = page.find(">", m.end())
         if end < 0:
             break
-        while quotes and page.count('"', m.end(), end) % 2:  # the sign stood in a quoted value
+        odd = page.count('"', m.end(), end) % 2
+        while quotes and odd:  # the sign stood in a quoted value
             close = page.find('"', end)
             after = page.find(">", close) if close >= 0 else -1
             if after < 0:
                 quotes = False
                 break
+            odd = (odd + page.count('"', end, after)) % 2
             end = after
         name = m.group(2).lower()
         at = end + 1
@@ -126,18 +139,18 @@ def parse(page: str | None) -> Tree:
                 at = gt + 1 if gt >= 0 else n
             continue
         for opened, closers in CLOSES.items():
-            if name in closers and open_tags.get(opened):
-                depth = len(stack) - 1
-                while depth and stack[depth][1] != opened and stack[depth][1] not in ("table", "ul", "ol", "dl", "article", "section", "div", "body"):
-                    depth -= 1
-                if stack[depth][1] == opened:
-                    while len(stack) > depth:
-                        pop()
+            places = open_tags.get(opened)
+            if places and name in closers and places[-1] > scopes[-1]:
+                depth = places[-1]
+                while len(stack) > depth:
+                    pop()
         now = 1 if name in CONTENT_MARKS else -1 if name in BOILERPLATE_MARKS else mark
-        node = tree.add(stack[-1][0], name, None, now)
+        node = tree.add(parent(), name, None, now)
         if name not in VOID and page[end - 1] != "/":
+            open_tags.setdefault(name, []).append(len(stack))
+            if name in SCOPES:
+                scopes.append(len(stack))
             stack.append((node, name, mark))
-            open_tags[name] = open_tags.get(name, 0) + 1
             mark = now
     if 1 not in tree.label:
         tree.label = [0] * len(tree.label)
