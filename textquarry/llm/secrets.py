@@ -2,8 +2,8 @@
 
 A candidate is a token-like string in the window around a sensitive word: a quoted string, or a run without white space
 and without the signs that split expressions, which may hold signs and need not follow the word at once. How new it is, is measured in
-compressed bytes: zstandard, primed with a dictionary of identifiers and of words of the whole text, compresses
-the surrounding text once without and once with the candidate. Identifiers, words and repeated values cost
+compressed bytes: zstandard, primed with a dictionary of identifiers that all documents use and of words of the whole
+text, compresses the surrounding text once without and once with the candidate. Identifiers, words and repeated values cost
 next to nothing; a random key, in which nothing matches, costs what any random string of its length and alphabet does:
 about a byte for each character of a short one, its entropy where zstandard codes literals. Candidates whose cost is at
 least the share ``least`` of what the cheapest of such strings costs in their place are reported.
@@ -28,6 +28,10 @@ from textquarry.plans.runtime import small_batches
 CONTEXT = 80
 #: Bytes of a text's own words that its candidates are measured with; of more, those that it uses most.
 VOCABULARY_BYTES = 1 << 15
+#: Bytes of the identifiers and words that the corpus uses most, half of them for each.
+CORPUS_BYTES = 1 << 15
+#: Distinct words that one task counts before it hands its counts on.
+COUNTED_WORDS = 1 << 18
 #: A candidate starts or ends at most so many characters from a sensitive word.
 WINDOW = 80
 MIN_LENGTH = 6
@@ -92,14 +96,15 @@ def random_like(value: bytes) -> list[bytes]:
 class Novelty:
     """Marginal compressed size of a string against its surroundings and the identifier dictionary."""
 
-    def __init__(self, level: int = 9):
+    def __init__(self, level: int = 9, corpus: list[str] | None = None):
         self.level = level
-        self._dictionary = IDENTIFIERS.encode()
+        self.corpus = corpus or []
+        self._joined = " ".join(self.corpus)
 
-    def _size(self, dictionary: bytes, data: bytes) -> int:
-        primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        compressor = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
-        return len(compressor.compress(data))
+    def _dictionary(self, value: str) -> bytes:
+        """Identifiers of the corpus, none of which holds the value itself, and the constant ones."""
+        own = self._joined if value not in self._joined else " ".join(w for w in self.corpus if value not in w)
+        return (own + "\n" + IDENTIFIERS).encode()
 
     def cost(self, before: bytes, value: bytes, after: bytes, known: bytes = b"") -> tuple[int, float]:
         """Bytes that ``value`` adds, the whole less the surroundings alone, and those that the cheapest of random strings like it adds.
@@ -107,11 +112,15 @@ class Novelty:
         A copy of the value nearby doesn't make it known. ``known`` are other words of the text.
         """
         before, after = before.replace(value, b""), after.replace(value, b"")
-        dictionary = self._dictionary + known + b"\n" + before + b"\n" + after
-        alone = self._size(dictionary, before[-16:] + after[:16])
+        dictionary = self._dictionary(value.decode()) + known + b"\n" + before + b"\n" + after
+        primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primed.precompute_compress(self.level)
+        compressor = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
+        size = lambda data: len(compressor.compress(data))
+        alone = size(before[-16:] + after[:16])
 
         def added(x: bytes) -> int:
-            return self._size(dictionary, before[-16:] + x + after[:16]) - alone
+            return size(before[-16:] + x + after[:16]) - alone
 
         drawn = random_like(value)
         return added(value), min(map(added, drawn)) * len(value) / len(drawn[0])  # some are coded, some stay plain
@@ -235,30 +244,69 @@ def scan(text: str | None, novelty: Novelty, least: float = MIN_NOVELTY) -> list
     return out
 
 
-def secret_spans(docs: DataFrame, column: str = "_secrets", least: float = MIN_NOVELTY) -> DataFrame:
+_JOINED_WORD = re.compile(r"_|[a-z][A-Z]")
+
+
+def corpus_identifiers(docs: DataFrame, size: int = CORPUS_BYTES) -> list[str]:
+    """The identifiers and words that all texts use most, ``size`` bytes of them, the most used ones last.
+
+    Half of the bytes are for identifiers joined of several words. Ties go to the first by code points.
+    """
+
+    def count(batches):
+        held: Counter = Counter()
+
+        def counts() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(_WORD.findall(text.as_py() or ""))
+                if len(held) > COUNTED_WORDS:
+                    yield counts()
+                    held.clear()
+        yield counts()
+
+    words = docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 AND length(word) <= 64")
+    found = []
+    for joined in (False, True):
+        some = words.where(F.col("word").rlike(_JOINED_WORD.pattern) == joined).orderBy(F.desc("n"), "word").limit(size // 8).collect()  # three letters and a space at least: size / 2 bytes
+        room = size // 2
+        for r in some:
+            room -= len(r["word"]) + 1
+            if room < 0:
+                break
+            found.append((r["n"], r["word"]))
+    return [w for _, w in sorted(found, key=lambda x: (x[0], x[1]))]
+
+
+def secret_spans(docs: DataFrame, column: str = "_secrets", least: float = MIN_NOVELTY, identifiers: list[str] | None = None) -> DataFrame:
     """Rows that may hold a secret, with the reported strings of each as an array in ``column``.
 
-    Texts without a sensitive word never leave the JVM and are not returned.
+    Texts without a sensitive word never leave the JVM and are not returned. ``identifiers`` are those of the corpus,
+    counted over ``docs`` where none are given.
     """
 
     small_batches(docs.sparkSession)
+    known = corpus_identifiers(docs) if identifiers is None else identifiers
 
     @F.arrow_udf(FOUND)
     def found(text: pa.Array) -> pa.Array:
-        novelty = Novelty()
-        rows = [scan(t, novelty, least) for t in text.to_pylist()]
+        novelty = Novelty(corpus=known)
+        rows = [scan(t.as_py(), novelty, least) for t in text]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("novel_bytes", pa.int32()), ("novelty", pa.float64()), ("keyword", pa.string())]))
         return pa.array(rows, kind)
 
     return docs.where(F.col("text").rlike(WORDS)).withColumn(column, found("text"))
 
 
-def secrets(docs: DataFrame, least: float = MIN_NOVELTY) -> DataFrame:
+def secrets(docs: DataFrame, least: float = MIN_NOVELTY, identifiers: list[str] | None = None) -> DataFrame:
     """doc_id, start, end, novel_bytes, novelty, keyword of every reported string; the string itself is not shown.
 
     Offsets count characters. A string that a text repeats is reported at each place. Null and empty texts hold
-    nothing; texts are scanned whole; repeated rows report each their own. A null doc_id stays null. An empty table
-    gives no rows; columns but doc_id and text play no part.
+    nothing; very long texts are scanned whole; repeated rows report each their own. A null doc_id stays null. Ties play
+    no part. An empty table gives no rows; columns but doc_id and text play no part, whatever their names.
     """
-    rows = secret_spans(docs.select("doc_id", "text"), "_secrets", least)
-    return rows.select("doc_id", F.explode("_secrets").alias("s")).select("doc_id", "s.*")
+    rows = secret_spans(docs.select("doc_id", "text"), "_secrets", least, identifiers)
+    # the outer form keeps Spark from scanning once more to filter by size
+    return rows.select("doc_id", F.explode_outer("_secrets").alias("s")).where("s IS NOT NULL").select("doc_id", "s.*")
