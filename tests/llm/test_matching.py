@@ -292,31 +292,70 @@ def test_automaton_against_brute_force():
                     assert owners[i] == next(k for k, w in enumerate(known) if holds(best, w))
 
 
-def test_leaks_against_brute_force(spark, corpus):
+@pytest.fixture(scope="module")
+def leaking(corpus):
+    """Documents and benchmark items, some shorter than a test string, that stand in them whole, in part or as a line."""
     draw = random.Random(4)
-    items = [(k, " ".join(words_of(draw, n))) for k, n in enumerate((3, 5, 9, 10, 11, 30, 60))] + [(50, None), (None, "a b c d e f g"), (51, ""), (52, "tie tie tie tie tie tie"), (53, "tie tie tie tie tie tie")]
+    items = [(k, " ".join(words_of(draw, n))) for k, n in enumerate((3, 5, 9, 10, 11, 30, 60))] + [(50, None), (None, "a b c d e f g"), (51, ""), (52, "tie tie tie tie tie tie"), (53, "tie tie tie tie tie tie"), (54, "Yes!"), (55, "..."), (56, "yes")]
     docs = [(d, t, s) for d, t, s in corpus[:40]]
     docs += [(900 + k, f"before, {t.upper()}; after", "s") for k, (_, t) in enumerate(items) if t] + [(950, "tie-tie " * 20, "s"), (951, " ".join(items[6][1].split()[20:31]), "s")]
-    bench = spark.createDataFrame(items, "item_id bigint, text string")
-    got = {(r["doc_id"], r["item_id"]): r["windows"] for r in decontam.leaks(table(spark, docs), bench).collect()}
+    docs += [(960, f"a line\n  {items[0][1].upper()}.\nanother", "s"), (961, "yes", "s"), (961, "yes", "s"), (962, "well yes\nof course", "s"), (963, "\n\n YES \r\nyes\nno", "s"), (964, "no\n-yes", "s")]
+    return docs, items
+
+
+def test_leaks_against_brute_force(spark, leaking):
+    docs, items = leaking
+    bench = spark.createDataFrame([(*x, 1) for x in items], "item_id bigint, text string, _hits int")
     want = {}
-    for run, held in decontam.test_strings([(i, t) for i, t in items if i is not None and t is not None]).items():
-        for d, t, _ in docs:
-            if t is not None and run in fold_text(t):
-                for i in held:
-                    want[(d, i)] = want.get((d, i), 0) + 1
-    assert got == want
-    assert decontam.drop_leaks(table(spark, docs, EXTRA), bench).count() == len(docs) - len({d for d, _ in want})
-    assert decontam.leaks(table(spark, docs), bench.limit(0)).count() == 0
-    assert len(decontam.searchers(bench, limit=200)) > 1
-
-
-def test_short_benchmark_items_are_told(spark):
-    items = [(1, "a b c d e"), (2, "a b c, D"), (3, ""), (4, "..."), (5, "x" * 300), (6, None)]
+    for n, (d, t, _) in enumerate(docs):
+        for i, item in items:
+            if i is None or t is None or not fold_text(item).split():
+                continue
+            w = fold_text(item).split()
+            if len(w) < decontam.LINE_WORDS:
+                runs = {b" ".join(w)} & {b" ".join(fold_text(line).split()) for line in t.split("\n")}
+            else:
+                runs = {r for r in (b" " + b" ".join(w[k : k + decontam.NGRAM]) + b" " for k in range(max(1, len(w) - decontam.NGRAM + 1))) if r in fold_text(t)}
+            if runs:
+                want[n, d, i] = len(runs)
+    key = lambda rows: sorted(rows, key=repr)
+    for limit in (decontam.PATTERN_BYTES, 2000, 200):
+        got = [(r["doc_id"], r["item_id"], r["windows"]) for r in decontam.leaks(table(spark, docs, EXTRA), bench, limit=limit).collect()]
+        assert key(got) == key((d, i, c) for (_, d, i), c in want.items())
+        assert decontam.drop_leaks(table(spark, docs, EXTRA), bench, limit=limit).count() == len(docs) - len({n for n, _, _ in want})
+    assert decontam.leaks(table(spark, docs), bench.limit(0)).count() == 0 and decontam.drop_leaks(table(spark, docs), bench.limit(0)).count() == len(docs)
+    assert len(list(decontam.searchers(bench, limit=200))) > 3
+
+
+def test_leaks_against_sql(spark, leaking, tmp_path):
+    from compare import oracle_rows, spark_rows
+
+    from textquarry.llm import queries as llm
+
+    docs, items = leaking
+    for name, df in (("documents", table(spark, docs)), ("benchmark", spark.createDataFrame(items, "item_id bigint, text string"))):
+        df.coalesce(1).write.parquet(str(tmp_path / "parts" / name))
+        next((tmp_path / "parts" / name).glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
+    for name in ("op4_exact_dedup", "op6_decontamination"):
+        assert spark_rows(llm.queries()[name](spark, str(tmp_path))) == oracle_rows(str(tmp_path), llm.oracle_sql()[name])
+
+
+def test_texts_are_searched_once(spark, leaking):
+    docs, items = leaking
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    for limit in (decontam.PATTERN_BYTES, 200):
-        with pytest.warns(UserWarning, match=r"2 benchmark items of fewer than 5 words are not searched: \[2, 5\]"):
-            decontam.searchers(bench, limit=limit)
+    for df in (decontam.leaks(table(spark, docs), bench), secrets.secrets(table(spark, docs))):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_lines_fold_like_texts():
+    draw = random.Random(15)
+    texts = ["".join(draw.choices("aB.\n \ré", k=draw.randint(0, 30))) for _ in range(300)]
+    framed = [f" {t.lower()} \n".encode() for t in texts]
+    data, cuts = np.frombuffer(b"".join(framed), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in framed])])
+    x, own = decontam.fold_lines(data, cuts)
+    for k, t in enumerate(texts):
+        lines = [b" ".join(fold_text(line).split()) for line in t.split("\n")]
+        assert x[own[k] : own[k + 1]].tobytes().split(b"\n") == [b"", *filter(None, lines), b""] or not any(lines)
 
 
 def test_secrets(spark):
@@ -406,6 +445,45 @@ def test_long_strings_that_are_not_random():
         assert not secrets.scan(f'token = "{value}"', novelty), value
 
 
+def test_identifiers_of_the_corpus_are_known(spark):
+    """Names that other documents use are no secrets; a key is one however many documents repeat it."""
+    draw = random.Random(16)
+    key = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=24))
+    rows = [(k, f"the quick_brown fox_jumps over it and CustomerSession or ValidatorFactory {k}", "s") for k in range(20)]
+    rows += [(100, "token = the_quick_brown_fox_jumps_over", "s"), (101, 'token = "CustomerSessionValidatorFactory"', "s")]
+    rows += [(200 + k, f'password = "{key}"', "s") for k in range(30)]
+    docs = table(spark, rows)
+    known = secrets.corpus_identifiers(docs)
+    assert {"quick_brown", "fox_jumps", "CustomerSession", "ValidatorFactory", "password"} <= set(known)
+    counts = {}
+    for _, t, _ in rows:
+        for w in secrets._WORD.findall(t):
+            counts[w] = counts.get(w, 0) + 1
+    assert known == sorted((w for w, n in counts.items() if n > 1), key=lambda w: (counts[w], w))
+    assert sorted(r["doc_id"] for r in secrets.secrets(docs).collect()) == list(range(200, 230))
+    assert {r["doc_id"] for r in secrets.secrets(docs, identifiers=[]).collect()} >= {100, 101}
+
+
+def test_cost_is_the_difference_of_two_sizes():
+    """Marginal bytes against compressing both texts anew, and planted keys against names made of the text's words."""
+    import zstandard
+
+    draw, novelty = random.Random(17), secrets.Novelty(corpus=["alpha_beta", "gamma"])
+    found = clean = 0
+    for k in range(60):
+        before, after = " ".join(words_of(draw, 8)).encode(), " ".join(words_of(draw, 8)).encode()
+        value = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789", k=draw.randint(16, 60))).encode()
+        dictionary = "alpha_beta gamma\n".encode() + secrets.IDENTIFIERS.encode() + b"known words\n" + before + b"\n" + after
+        size = lambda x: len(zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False).compress(x))
+        cost, usual = novelty.cost(before, value, after, b"known words")
+        assert abs(cost - (size(before[-16:] + value + after[:16]) - size(before[-16:] + after[:16]))) <= 2
+        text = f"{before.decode()} session_store request_handler api_key = {value.decode()} {after.decode()}"
+        found += [text[r["start"] : r["end"]] for r in secrets.scan(text, novelty)] == [value.decode()]
+        name = "_".join(draw.sample(["session_store", "request_handler", "alpha_beta", "gamma"], 3))
+        clean += not secrets.scan(f"{text[:40]} session_store request_handler api_key = {name} {after.decode()}", novelty)
+    assert found == 60 and clean >= 57
+
+
 def test_empty_tables(spark):
     none = table(spark, [(1, "x", "s")]).limit(0)
     bench = spark.createDataFrame([], "item_id bigint, text string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -58,6 +59,29 @@ def test_mixtures_and_odd_texts(spark, languages):
     assert langid.identify(none).count() == 0
 
 
+def test_short_texts_are_judged_like_long_ones(spark, languages):
+    model = langid.train(documents(spark, [(k, languages(lang, 80), lang) for k in range(60) for lang in ("en", "fr", "de")]))
+    junk = "qxj wvk zzp xqk jwv qqz"
+    rows = [(n, " ".join([junk] * n), None) for n in (1, 2, 3, 4, 8)] + [(100 + n, languages("en", n), None) for n in (5, 10, 20, 40)]
+    got = {r["doc_id"]: r for r in langid.identify(documents(spark, rows), model).collect()}
+    assert got[1]["n_grams"] < 50 < got[4]["n_grams"] and all(got[n]["rejected"] == (n < 100) for n in got)
+
+
+def test_chosen_sets_are_the_best_of_all():
+    """Backward elimination against every set of components."""
+    draw, same = np.random.default_rng(6), 0
+    for _ in range(60):
+        like = draw.dirichlet(np.full(40, 0.3), 4).T + 1e-4
+        counts = draw.multinomial(draw.integers(20, 600), (p := like @ draw.dirichlet(np.full(4, 0.4))) / p.sum())
+        seen = np.flatnonzero(counts)
+        counts, like = counts[seen].astype(float), like[seen]
+        cost = langid.PENALTY * np.log(counts.sum())
+        score = lambda live: langid.em_shares(counts, like[:, live], np.ones(len(live)), 400, 1e-7)[1] - cost * len(live)
+        best = max((tuple(s) for n in range(1, 5) for s in itertools.combinations(range(4), n)), key=lambda s: score(list(s)))
+        same += set(langid.choose_languages(counts, like)[0].tolist()) == set(best)
+    assert same >= 57
+
+
 def test_em_finds_the_most_likely_shares():
     draw = np.random.default_rng(4)
     like = draw.dirichlet(np.ones(30), 3).T
@@ -171,24 +195,54 @@ def test_broken_pages(spark):
     assert html.extract_pages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece", ["<b>", "<p><b>x<h1>", '<a b="x>', "<li><b>", "<div><p>a<b><h2>", "<td><i>", "<", '">', "<script>", "<!--"])
+def test_pages_of_one_repeated_sign_take_linear_time(piece):
+    took = []
+    for n in (40_000, 160_000):
+        began = time.perf_counter()
+        tree = html.parse(piece * (n // len(piece)))
+        took.append(time.perf_counter() - began)
+    assert took[1] < 0.3 + 8 * took[0]
+    f = html.Forest([tree])
+    assert len(f.levels) <= html.MAX_NESTING + 1
+
+
+def test_deep_text_is_kept():
+    even = html.Model(np.zeros((int(np.prod(html.SHAPE)), 2)), np.zeros((html.N_KINDS, 2, 2)), np.zeros(2))
+    assert html.extract(["<b>x" * 2000], even)[0]["n_nodes"] == 2000
+    assert html.extract(["<ul><li>a<ul><li>b<p>c<li>d</ul>e</ul>"], even)[0]["text"].split() == list("abcde")
+
+
 # --- sharding
 
 
-def test_sharding_is_a_seeded_permutation(spark):
-    rows = [(k, f"text {k} " * (k % 7), "en") for k in range(3000)] + [(None, None, None), (None, None, None), (5, "x" * 200000, "en")]
-    df = documents(spark, rows).drop("place_")
-    one = sharding.shuffled(df.repartition(7), bucket_bytes=8192)
-    assert one.columns == [*df.columns, "shard_", "place_"]
-    got = one.orderBy("shard_", "place_").collect()
-    again = sharding.shuffled(df.repartition(2), bucket_bytes=8192).orderBy("shard_", "place_").collect()
-    assert got == again and Counter((r["doc_id"], r["text"]) for r in got) == Counter((d, t) for d, t, _ in rows)
+def test_sharding_is_a_seeded_permutation(spark, tmp_path):
+    rows = [(k, f"text {k} " * (k % 7), "en") for k in range(3000)] + [(None, None, None), (None, None, None), (5, "x" * 200000, "en")] + [(9, "the same row", "en")] * 3000
+    documents(spark, rows).drop("place_").withColumnsRenamed({"n_chars": "a.b", "_verdict": "c`d"}).repartition(7).write.parquet(str(tmp_path / "in"))
+    df, seen = spark.read.parquet(str(tmp_path / "in")), []
+    for n in (1, 64):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", n)
+        one = sharding.shuffled(df, bucket_bytes=8192)
+        assert one.columns == [*df.columns, "shard_", "place_"]
+        seen.append(one.orderBy("shard_", "place_").collect())
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    got = seen[0]
+    assert got == seen[1] and Counter((r["doc_id"], r["text"]) for r in got) == Counter((d, t) for d, t, _ in rows)
     other = sharding.shuffled(df, seed=1, bucket_bytes=8192).orderBy("shard_", "place_").collect()
     assert [r["doc_id"] for r in other] != [r["doc_id"] for r in got]
     sizes = Counter(r["shard_"] for r in got)
     assert all(sorted(r["place_"] for r in got if r["shard_"] == s) == list(range(n)) for s, n in sizes.items())
     expected = len(rows) / sharding.bucket_count(df, 8192)
     assert sum((n - expected) ** 2 / expected for n in sizes.values()) < 2 * len(sizes)
-    assert sharding.shuffled(df.limit(0)).count() == 0
+    assert sharding.shuffled(df.limit(0)).count() == sharding.sharded(df.limit(0)).count() == 0
+    back = sharding.sharded(df, bucket_bytes=8192)
+    assert back.schema == one.schema and back.orderBy("shard_", "place_").collect() == got
+
+
+def test_buckets_count_all_kinds_of_columns(spark):
+    df = spark.createDataFrame([(k, [1.0] * 1000, ("x" * 1000,), {"k": "v" * 500}, None) for k in range(50)], "id int, e array<float>, s struct<a:string>, m map<string,string>, t string")
+    assert 50 * 9500 < sharding.bucket_count(df, 1) < 50 * 9800
+    assert sharding.shuffled(df, bucket_bytes=50_000).select("shard").distinct().count() > 5
 
 
 def test_fisher_yates_is_uniform():
@@ -198,9 +252,10 @@ def test_fisher_yates_is_uniform():
 
 def test_written_shards(spark, tmp_path):
     df = documents(spark, [(k, "abc", "en") for k in range(200)]).drop("shard", "place_", "Place")
-    sharding.write_shards(df, str(tmp_path / "s"), bucket_bytes=4096)
-    back = spark.read.parquet(str(tmp_path / "s"))
-    assert back.count() == 200 and set(back.columns) == {*df.columns, "shard", "place"}
+    back = sharding.write_shards(df, str(tmp_path / "s"), bucket_bytes=4096)
+    assert back.count() == 200 and back.columns == [*df.columns, "shard", "place"]
+    for part in (tmp_path / "s").glob("shard=*"):
+        assert spark.read.parquet(str(part)).coalesce(1).select("place").toPandas()["place"].is_monotonic_increasing
 
 
 def test_words_split_alike():

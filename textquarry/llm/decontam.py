@@ -1,6 +1,7 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search.
 
-The test strings are all runs of ``NGRAM`` words of every benchmark item (the whole item where it is shorter). Over
+The test strings are all runs of ``NGRAM`` words of every benchmark item (the whole item where it is shorter, as a line of
+its own where it has fewer than ``LINE_WORDS`` words, which may stand anywhere by chance). Over
 their first m bytes a shift table, indexed by a hash of B-byte blocks, says how far a window can move; where it says
 zero, the bucket of the window's last block and the hash of its first block select test strings, which are then
 compared byte by byte. Thousands of windows advance side by side in one array operation.
@@ -8,7 +9,8 @@ compared byte by byte. Thousands of windows advance side by side in one array op
 
 from __future__ import annotations
 
-import warnings
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import mix64, release, runs, text_bytes
-from textquarry.llm.words import fold_bytes, fold_text, framed
-from textquarry.plans.runtime import small_batches, unused_name
+from textquarry.llm.words import FOLD, fold_bytes, fold_text, framed
+from textquarry.plans.runtime import quoted, small_batches, unused_name, write_shared
 
 NGRAM = 10
-MIN_WORDS = 5
+#: Items of fewer words are test strings only as whole lines.
+LINE_WORDS = 5
 TABLE_BITS = 18
 LANE_BYTES = 256
 RUN_BYTES = 1 << 21
-#: Test strings searched by one pass; a larger benchmark is split by item and searched in several.
-PATTERN_BYTES = 64 << 20
+#: Bytes of test strings that one pass searches; a larger benchmark is split by item, and one part after another is held.
+PATTERN_BYTES = 16 << 20
 
 HITS = "array<struct<item:bigint,windows:bigint>>"
 
@@ -99,24 +102,49 @@ class Matcher:
         return out
 
 
+def fold_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Framed texts folded like ``fold_bytes``, but with a line feed before, between and after the lines that hold words."""
+    x = FOLD[data]
+    x[data == 10] = 10
+    x[offsets[:-1]] = 10
+    gap = (x == 32) | (x == 10)
+    head = gap.copy()
+    head[1:] &= ~gap[:-1]
+    head[offsets[:-1]] = True
+    run = np.cumsum(head)
+    feeds = np.bincount(run[x == 10], minlength=len(head) + 1) > 0
+    at = np.flatnonzero(head)
+    x[at] = np.where(feeds[run[at]], 10, 32)
+    keep = ~gap | head
+    before = np.concatenate([[0], np.cumsum(keep)])
+    return x[keep], before[offsets]
+
+
 class Searcher:
-    """Patterns in two classes, so that a few short items don't shorten every shift."""
+    """Patterns in classes, so that a few short ones don't shorten every shift; those of whole lines have texts of their own."""
 
     def __init__(self, patterns: dict[bytes, list[int]]):
-        long = [p for p in patterns if len(p) >= 32]
-        short = [p for p in patterns if len(p) < 32]
+        inner = [p for p in patterns if p[:1] == b" "]
         self.items = patterns
-        self.parts = [Matcher(x, np.arange(len(x))) for x in (long, short) if x]
+        self.parts = [Matcher(x, np.arange(len(x))) for x in ([p for p in inner if len(p) >= 32], [p for p in inner if len(p) < 32]) if x]
+        lines = [p for p in patterns if p[:1] != b" "]
+        self.lines = Matcher(lines, np.arange(len(lines))) if lines else None
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> list[dict[int, int]]:
-        """For each document the items found and how many distinct test strings of each."""
+        """For each framed text the items found and how many distinct test strings of each."""
         seen: list[set] = [set() for _ in range(len(offsets) - 1)]
-        for part in self.parts:
-            found = part.search(data)
-            if found:
-                doc = np.searchsorted(offsets, [s for _, s in found], "right") - 1
+
+        def look(parts: list[Matcher], x: np.ndarray, cuts: np.ndarray) -> None:
+            for part in parts:
+                found = part.search(x)
+                doc = np.searchsorted(cuts, [s for _, s in found], "right") - 1
                 for (p, _), d in zip(found, doc):
                     seen[d].add(part.patterns[p])
+
+        if self.parts:
+            look(self.parts, *fold_bytes(data, offsets))
+        if self.lines:
+            look([self.lines], *fold_lines(data, offsets))
         out = []
         for some in seen:
             count: dict[int, int] = {}
@@ -127,45 +155,36 @@ class Searcher:
         return out
 
 
-def test_strings(items: list[tuple[int, str | None]], ngram: int = NGRAM, least: int = MIN_WORDS) -> dict[bytes, list[int]]:
-    """Folded runs of words, each between spaces, with the items that hold them."""
+def test_strings(items: list[tuple[int, str | None]], ngram: int = NGRAM, least: int = LINE_WORDS) -> dict[bytes, list[int]]:
+    """Folded runs of words, each between spaces or, for items of fewer than ``least`` words, line feeds, with the items that hold them.
+
+    Texts are taken as they are, without lower-casing.
+    """
     out: dict[bytes, list[int]] = {}
     for item, text in items:
-        words = fold_text(text).split()
-        if len(words) < least:
-            continue
-        for run in {b" " + b" ".join(words[k : k + ngram]) + b" " for k in range(max(1, len(words) - ngram + 1))}:
-            out.setdefault(run, []).append(item)
+        words = fold_text(text, lower=False).split()
+        if 0 < len(words) < least:
+            out.setdefault(b"\n" + b" ".join(words) + b"\n", []).append(item)
+        elif words:
+            for run in {b" " + b" ".join(words[k : k + ngram]) + b" " for k in range(max(1, len(words) - ngram + 1))}:
+                out.setdefault(run, []).append(item)
     return out
 
 
 test_strings.__test__ = False
 
 
-def skipped_items(items: list[tuple[int, str | None]], least: int = MIN_WORDS) -> list[int]:
-    """Items that have words, but too few to be a test string: no search finds them."""
-    return [item for item, text in items if 0 < len(fold_text(text).split()) < least]
-
-
-def searchers(benchmark: DataFrame, ngram: int = NGRAM, limit: int = PATTERN_BYTES) -> list[Searcher]:
-    """One searcher for a benchmark whose test strings fit ``limit`` bytes, else one for each share of its items.
-
-    Warns of items that are too short to be searched.
-    """
-    items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    size = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+def searchers(benchmark: DataFrame, ngram: int = NGRAM, limit: int = PATTERN_BYTES) -> Iterator[Searcher]:
+    """One searcher for a benchmark whose test strings fit ``limit`` bytes, else one after another for shares of its items."""
+    # documents are lower-cased by the JVM, and so is the benchmark: other libraries know other letters
+    items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), F.lower("text").alias("text"))
+    size = items.agg(F.sum(F.octet_length("text").cast("bigint")).alias("b")).first()["b"] or 0
     parts = -(-size * ngram // limit) or 1
-    out, skipped = [], []
     for k in range(parts):
         share = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) if parts > 1 else items
-        rows = [(r["item_id"], r["text"]) for r in share.collect()]
-        skipped += skipped_items(rows)
-        found = test_strings(rows, ngram)
+        found = test_strings([(r["item_id"], r["text"]) for r in share.toLocalIterator()], ngram)
         if found:
-            out.append(Searcher(found))
-    if skipped:
-        warnings.warn(f"{len(skipped)} benchmark items of fewer than {MIN_WORDS} words are not searched: {sorted(skipped)[:20]}", stacklevel=2)
-    return out
+            yield Searcher(found)
 
 
 def _hits(held: Broadcast):
@@ -174,34 +193,68 @@ def _hits(held: Broadcast):
         data, offsets = text_bytes(text)
         rows = []
         for a, b in runs(offsets, RUN_BYTES):
-            x, cuts = fold_bytes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            rows += [[{"item": i, "windows": c} for i, c in sorted(found.items())] for found in held.value.hits(x, cuts)]
+            own = offsets[a : b + 1] - offsets[a]
+            rows += [[{"item": i, "windows": c} for i, c in sorted(found.items())] for found in held.value.hits(data[offsets[a] : offsets[b]], own)]
         release()
         return pa.array(rows, pa.list_(pa.struct([("item", pa.int64()), ("windows", pa.int64())])))
 
     return hits
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, column: str = "_hits", ngram: int = NGRAM) -> DataFrame:
-    """Add the benchmark items found in each document, by item, with the number of distinct test strings.
+def _searched(docs: DataFrame, keys: list[str], benchmark: DataFrame, ngram: int, limit: int) -> DataFrame:
+    """``keys`` and the item and number of its test strings in ``h``, a row for each item that a document holds.
 
-    Null and empty texts hold nothing; so does every text where the benchmark is empty. Items of fewer than MIN_WORDS
-    words or without item_id are no test strings (``searchers`` warns of short ones); equal items are all named. Texts are searched whole.
+    A benchmark of one part is searched as the rows stream by. Of several parts one at a time is broadcast; what it finds
+    is written before the next one is made, so that neither the driver nor a worker ever holds two.
     """
     small_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    parts = [_hits(sc.broadcast(x))(framed()) for x in searchers(benchmark, ngram)]
-    none = F.array().cast(HITS)
-    return docs.withColumn(column, F.concat(*parts) if len(parts) > 1 else parts[0] if parts else none)
-
+    sc, found, waiting = docs.sparkSession.sparkContext, [], None
+
+    def rows(held: Broadcast) -> DataFrame:
+        # the outer form keeps Spark from searching once more to filter by size
+        return docs.select(*map(quoted, keys), F.explode_outer(_hits(held)(framed())).alias("h")).where("h IS NOT NULL")
+
+    def finish(held: Broadcast) -> None:
+        found.append(write_shared(rows(held), "hits"))
+        held.destroy()
+
+    for searcher in searchers(benchmark, ngram, limit):
+        if waiting is not None:
+            finish(waiting)
+        waiting = sc.broadcast(searcher)
+    if waiting is None:
+        return docs.select(*map(quoted, keys), F.explode(F.array().cast(HITS)).alias("h"))
+    if not found:
+        return rows(waiting)
+    finish(waiting)
+    return reduce(DataFrame.unionByName, found)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, limit: int = PATTERN_BYTES) -> DataFrame:
+    """doc_id, item_id and the number of distinct test strings of the item that the document holds.
+
+    Null and empty texts hold nothing; so does every text where the benchmark is empty. Items without words or item_id
+    are no test strings; those of fewer than LINE_WORDS words are found as whole lines; equal items are all named, and
+    repeated rows are found each. Texts are searched whole, however long. Columns but doc_id and text, and but item_id
+    and text of the benchmark, play no part, whatever their names.
+    """
+    found = _searched(docs.select("doc_id", "text"), ["doc_id"], benchmark.select("item_id", "text"), ngram, limit)
+    return found.select("doc_id", F.col("h.item").alias("item_id"), F.col("h.windows").alias("windows"))
 
-def leaks(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """doc_id, item_id and the number of distinct test strings of the item that the document holds."""
-    found = with_hits(docs.select("doc_id", "text"), benchmark, ngram=ngram)
-    return found.select("doc_id", F.explode("_hits").alias("h")).select("doc_id", F.col("h.item").alias("item_id"), F.col("h.windows").alias("windows"))
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, limit: int = PATTERN_BYTES) -> DataFrame:
+    """The documents that hold no test string (see ``leaks``), all columns unchanged; null and empty texts stay.
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """The documents that hold no test string, all columns unchanged."""
-    hits = unused_name(docs, "_hits")
-    return with_hits(docs, benchmark, hits, ngram).where(F.size(hits) == 0).drop(hits)
+    Working columns take names that the table has not.
+    """
+    small_batches(docs.sparkSession)
+    sc, out = docs.sparkSession.sparkContext, docs
+    parts = searchers(benchmark.select("item_id", "text"), ngram, limit)
+    waiting = next(parts, None)
+    while waiting is not None:
+        held, hits = sc.broadcast(waiting), unused_name(out, "_hits")
+        out, waiting = out.withColumn(hits, _hits(held)(framed())).where(F.size(hits) == 0).drop(hits), next(parts, None)
+        if waiting is not None:  # what is left goes on to the next part
+            out = write_shared(out, "unleaked")
+            held.destroy()
+    return out

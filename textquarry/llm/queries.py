@@ -17,7 +17,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shuffled(_table(spark, sf_dir, "documents"))
+    return sharding.sharded(_table(spark, sf_dir, "documents"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +89,11 @@ SELECT doc_id, duplicate_of, found_in FROM ranked WHERE r > 1""",
         "op6_decontamination": f"""
 WITH items AS (SELECT item_id, string_split(trim({_FOLDED}), ' ') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
   starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - {decontam.NGRAM} + 1, 1) + 1)) AS k
-             FROM items WHERE len(w) >= {decontam.MIN_WORDS}),
+             FROM items WHERE len(w) >= {decontam.LINE_WORDS}),
   strings AS (SELECT DISTINCT item_id, concat(' ', array_to_string(w[k:k + {decontam.NGRAM} - 1], ' '), ' ') AS s FROM starts),
-  texts AS (SELECT doc_id, {_FOLDED} AS t FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, item_id, count(*) AS windows FROM texts JOIN strings ON contains(t, s) GROUP BY doc_id, item_id""",
+  texts AS (SELECT doc_id, row_number() OVER () AS r, {_FOLDED} AS t, text FROM documents WHERE text IS NOT NULL),
+  whole AS (SELECT item_id, array_to_string(w, ' ') AS s FROM items WHERE len(w) < {decontam.LINE_WORDS} AND w[1] <> ''),
+  lines AS (SELECT DISTINCT doc_id, r, trim({_FOLDED}) AS s FROM (SELECT doc_id, r, unnest(string_split(text, chr(10))) AS text FROM texts))
+SELECT doc_id, item_id, count(*) AS windows FROM texts JOIN strings ON contains(t, s) GROUP BY doc_id, r, item_id
+UNION ALL SELECT doc_id, item_id, 1 AS windows FROM lines JOIN whole ON lines.s = whole.s""",
     }

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import mix64, text_bytes
 
-_FOLD = np.full(256, 32, np.uint8)
-_FOLD[48:58] = np.arange(48, 58)
-_FOLD[97:123] = np.arange(97, 123)
-_FOLD[65:91] = np.arange(97, 123)
-_FOLD[128:] = np.arange(128, 256)
+FOLD = np.full(256, 32, np.uint8)
+FOLD[48:58] = np.arange(48, 58)
+FOLD[97:123] = np.arange(97, 123)
+FOLD[65:91] = np.arange(97, 123)
+FOLD[128:] = np.arange(128, 256)
 
 #: The same folding as a regular expression for engines that have one: what becomes a space.
 GAP_PATTERN = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
@@ -37,7 +37,7 @@ def fold(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fold_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = _FOLD[data]
+    x = FOLD[data]
     gap = x == 32
     keep = np.ones(len(x), bool)
     np.logical_not(gap[1:] & gap[:-1], out=keep[1:])
@@ -50,9 +50,10 @@ def fold_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return x[keep], before[offsets]
 
 
-def fold_text(text: str | None) -> bytes:
-    """One folded text without its end mark, as the brute-force checks use it."""
-    words = bytes(_FOLD[np.frombuffer((text or "").lower().encode(), np.uint8)]).split()
+def fold_text(text: str | None, lower: bool = True) -> bytes:
+    """One folded text without its end mark."""
+    text = text or ""
+    words = bytes(FOLD[np.frombuffer((text.lower() if lower else text).encode(), np.uint8)]).split()
     return b" " + b"".join(w + b" " for w in words)
 
 
