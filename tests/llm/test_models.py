@@ -137,11 +137,30 @@ def reference_encoding_cached():
     return _held[0]
 
 
+def test_bpe_words_of_the_corpus(spark):
+    draw = random.Random(7)
+    texts = [" ".join(draw.choices(["alpha", "beta", "Gamma", "delta's", "42", "—"], k=30)) for _ in range(40)] + ["once only"]
+    df = documents(spark, [(k, t, None) for k, t in enumerate(texts)]).repartition(3)
+    vocabulary, known = spark.sparkContext.broadcast(bpe.load_vocabulary()), reference_encoding_cached()
+    want = Counter(part for t in texts for part in bpe.regex.findall(bpe.PATTERN, t))
+    assert {bytes(r["word"]).decode(): r["n"] for r in bpe.word_counts(df, chunk_bytes=500).collect()} == want
+    for most in (1000, 4):
+        table = bpe.word_table(df, vocabulary, most=most)
+        words = [w for w, n in want.items() if n > 1]
+        data = [w.encode() for w in words]
+        cuts = np.concatenate([[0], np.cumsum([len(w) for w in data])])
+        at = table.find(bpe.word_hashes(np.frombuffer(b"".join(data), np.uint8), cuts[:-1], cuts[1:]))
+        assert (at >= 0).sum() == len(table.hashes) == (len(words) if most > 10 else 4)
+        for k in np.flatnonzero(at >= 0):
+            start = table.starts[at[k]]
+            assert table.ids[start : start + table.counts[at[k]]].tolist() == known.encode_ordinary(words[k])
+
+
 def test_bpe_table(spark):
     rows = [(k, t, None) for k, t in enumerate(TEXTS)] + [(None, "null id", None), (77, None, None), (1, TEXTS[2], None), (78, "long word " * 60000, None)]
     df = documents(spark, rows)
-    for size in (bpe.CHUNK_BYTES, 100):
-        got = bpe.encode_decode(df.where("doc_id IS NULL OR doc_id < 78") if size == 100 else df, chunk_bytes=size).collect()
+    for size, most in ((bpe.CHUNK_BYTES, bpe.TABLE_WORDS), (100, 10), (bpe.CHUNK_BYTES, 0)):
+        got = bpe.encode_decode(df.where("doc_id IS NULL OR doc_id < 78") if size == 100 else df, chunk_bytes=size, table_words=most).collect()
         assert len(got) == len(rows) - (size == 100)
         known = reference_encoding_cached()
         want = Counter((d, None if t is None else tuple(known.encode_ordinary(t))) for d, t, _ in rows if size > 100 or d != 78)

@@ -1,10 +1,11 @@
-"""Byte-level BPE encoding and decoding by merge replay.
-
-A chunk of the corpus (many documents) is cut into pre-tokens; its distinct pre-tokens lie end to end in one array of
-byte symbols. An inverted index leads from the rank of a mergeable token pair to the positions that hold it. All
-merges are then replayed in rank order: one merge is applied at all its positions at once, and only the pairs to the
-left and right of a merged position enter the index anew. Documents are written by looking their pre-tokens up.
-Chunks need no shuffle, and the result doesn't depend on how the corpus is cut into them.
+"""Byte-level BPE encoding and decoding by corpus-level merge replay.
+
+The corpus is cut into pre-tokens and its repeated ones are counted. The words of the table lie end to end in arrays of
+byte symbols, a share of them in each task; an inverted index leads from the rank of a mergeable token pair to the
+positions that hold it. All merges are replayed in rank order: one merge is applied at all its positions at once, and
+only the pairs to the left and right of a merged position enter the index anew. Documents are written by looking their
+pre-tokens up; those that the table has no room for are replayed in the same way, chunk by chunk. The result depends
+neither on the table's size nor on the chunks, and every text is checked by decoding.
 """
 
 from __future__ import annotations
@@ -17,17 +18,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import gather, ragged, release, runs, text_bytes
 from textquarry.llm.words import word_hashes
-from textquarry.plans.runtime import small_batches
+from textquarry.plans.runtime import small_batches, write_shared
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK_BYTES = 2 << 20
+#: Words that the table holds at most, the most used ones of the corpus; about 40 bytes each in every worker.
+TABLE_WORDS = 1 << 19
 
 ENCODED = "doc_id bigint, n_tokens bigint, token_ids array<int>, decoded_ok boolean"
 
@@ -242,41 +246,124 @@ def _cut_by_pattern(texts: list[str | None], pattern: str) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Cut:
+    """The pre-tokens of texts that lie end to end: where they start, and which of the distinct words each one is."""
+
+    def __init__(self, text: pa.Array, pattern: str = PATTERN):
+        self.data, self.offsets = x, offsets = text_bytes(text)
+        # equal words share one replay; words are told apart by a 64-bit hash of their bytes
+        places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for a, b in runs(offsets):  # these steps hold several numbers a byte, the others only a few a word
+            part, own = x[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            at = pre_tokens(part, own) if pattern == PATTERN else _cut_by_pattern(text.slice(a, b - a).to_pylist(), pattern)
+            hashes.append(word_hashes(part, at, np.append(at[1:], len(part)) if len(at) else at))
+            places.append(at + offsets[a])
+        self.starts = np.concatenate(places)
+        self.word, self.hashes = pd.factorize(np.concatenate(hashes))
+        first = np.empty(len(self.hashes), np.int64)
+        first[self.word[::-1]] = np.arange(len(self.word))[::-1]
+        self.first = self.starts[first]
+        self.sizes = np.diff(np.append(self.starts, len(x)))[first]
+
+    def words(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of distinct words, end to end, and the n+1 offsets."""
+        sizes = self.sizes[some]
+        return self.data[gather(self.first[some], sizes)], np.concatenate([[0], np.cumsum(sizes)])
+
+
+class WordTable:
+    """Token ids of words by the hashes of their bytes."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.counts, self.ids = hashes[order], counts[order], ids
+        self.starts = np.concatenate([[0], np.cumsum(counts)])[:-1][order]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of words in the table, -1 for those that it has not."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+
+def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN, table: WordTable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token ids of all texts, end to end, the n+1 offsets by text, and the decoded bytes; a null text has none."""
-    x, offsets = text_bytes(text)
-    # equal words share one replay; words are told apart by length and a 64-bit hash of their bytes
-    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for a, b in runs(offsets):  # these steps hold several numbers a byte, the others only a few a word
-        part, own = x[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        at = pre_tokens(part, own) if pattern == PATTERN else _cut_by_pattern(text.slice(a, b - a).to_pylist(), pattern)
-        hashes.append(word_hashes(part, at, np.append(at[1:], len(part)) if len(at) else at))
-        places.append(at + offsets[a])
-    starts = np.concatenate(places)
-    lengths = np.diff(np.append(starts, len(x)))
-    word, names = pd.factorize(np.concatenate(hashes))
-    del hashes
-    one = np.empty(len(names), np.int64)
-    one[word[::-1]] = np.arange(len(word))[::-1]  # the first place of each
-    sizes = lengths[one]
-    ids, bounds = replay(x[gather(starts[one], sizes)], np.concatenate([[0], np.cumsum(sizes)]), vocabulary)
-    counts = np.diff(bounds)[word]
-    flat = ids[gather(bounds[:-1][word], counts)]
-    cuts = np.concatenate([[0], np.cumsum(counts)])
-    flat_cuts = cuts[np.searchsorted(starts, offsets)]
+    cut = Cut(text, pattern)
+    x, word = cut.data, cut.word
+    known = table.find(cut.hashes) if table is not None else np.full(len(cut.hashes), -1)
+    new, old = np.flatnonzero(known < 0), np.flatnonzero(known >= 0)
+    ids, bounds = replay(*cut.words(new), vocabulary)
+    counts = np.empty(len(known), np.int64)
+    counts[new] = np.diff(bounds)
+    if len(old):
+        held = known[old]
+        counts[old] = table.counts[held]
+        own = table.ids[gather(table.starts[held], counts[old])]
+        places = np.empty(len(known), np.int64)
+        places[new], places[old] = bounds[:-1], len(ids) + np.cumsum(counts[old]) - counts[old]
+        ids = np.concatenate([ids, own])
+    else:
+        places = bounds[:-1]
+    many = counts[word]
+    flat = ids[gather(places[word], many)]
+    cuts = np.concatenate([[0], np.cumsum(many)])
+    flat_cuts = cuts[np.searchsorted(cut.starts, cut.offsets)]
     back = vocabulary.decode(flat)
     if len(back) != len(x) or (back != x).any():  # two words with one hash: replay every word by itself
-        flat, bounds = replay(x, np.append(starts, len(x)), vocabulary)
-        flat_cuts = bounds[np.searchsorted(starts, offsets)]
+        flat, bounds = replay(x, np.append(cut.starts, len(x)), vocabulary)
+        flat_cuts = bounds[np.searchsorted(cut.starts, cut.offsets)]
         back = vocabulary.decode(flat)
     return flat, flat_cuts, back
 
 
-def chunks(batches, size: int = CHUNK_BYTES):
-    """Batches cut and joined into tables of about ``size`` bytes of text in the column ``text``."""
+def word_counts(docs: DataFrame, pattern: str = PATTERN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """word, n of every pre-token of the corpus; counting begins in the chunks."""
+
+    def run(batches):
+        for table in chunks(batches, chunk_bytes):
+            cut = Cut(table["text"].combine_chunks(), pattern)
+            data, offsets = cut.words(np.arange(len(cut.hashes)))
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(cut.word, minlength=len(words)), pa.int64())], ["word", "n"])
+            release()
+
+    return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def word_table(docs: DataFrame, vocabulary: Broadcast, pattern: str = PATTERN, most: int = TABLE_WORDS, chunk_bytes: int = CHUNK_BYTES) -> WordTable:
+    """The merges replayed over the repeated words of the corpus, those used most where there are more than ``most``."""
+    level = F.when(F.col("n") < 256, F.col("n")).otherwise((F.log2("n") * 32).cast("bigint"))  # 256 is level 256
+    words = write_shared(word_counts(docs, pattern, chunk_bytes).where("n > 1").withColumn("level", level), "words")
+    least, room = 0, most
+    for r in sorted(words.groupBy("level").agg(F.count("*").alias("k")).collect(), key=lambda r: -r["level"]):  # some 2,000 levels
+        room -= r["k"]
+        if room < 0:
+            least = r["level"] + 1
+            break
+
+    def run(batches):
+        for table in chunks(batches, 1 << 20, "word"):
+            column = table["word"].combine_chunks()
+            data, offsets = text_bytes(column)
+            ids, bounds = replay(data, offsets, vocabulary.value)
+            ids = ids.astype(np.int32)
+            columns = [pa.array(word_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)), pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "ids"])
+            release()
+
+    found = words.where(F.col("level") >= least).select("word").mapInArrow(run, "hash bigint, ids binary").toArrow().combine_chunks()
+    if not found.num_rows:
+        return WordTable(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+    data, offsets = text_bytes(found["ids"].combine_chunks())
+    return WordTable(found["hash"].to_numpy().view(np.uint64), np.diff(offsets) // 4, np.frombuffer(data.tobytes(), np.int32))
+
+
+def chunks(batches, size: int = CHUNK_BYTES, column: str = "text"):
+    """Batches cut and joined into tables of about ``size`` bytes of text in ``column``."""
     held, bytes_ = [], 0
     for batch in batches:
-        _, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
+        _, offsets = text_bytes(batch.column(batch.schema.get_field_index(column)))
         at, n = 0, batch.num_rows
         while at < n:
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size - bytes_, "right")) - 1)
@@ -290,19 +377,23 @@ def chunks(batches, size: int = CHUNK_BYTES):
         yield pa.Table.from_batches(held)
 
 
-def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, chunk_bytes: int = CHUNK_BYTES, table_words: int = TABLE_WORDS) -> DataFrame:
     """doc_id, n_tokens, token_ids, and whether decoding the ids gives back the text's bytes.
 
     A null text has null ids and count and null in decoded_ok; an empty one has no ids and decodes to itself. Nothing
-    is a special token. Repeated rows are encoded each; columns but doc_id and text play no part; texts are encoded
-    whole, however long.
+    is a special token. Repeated rows are encoded each; columns but doc_id and text play no part, whatever their names;
+    texts are encoded whole, however long. An empty table gives no rows. Only the driver reads the vocabulary's file.
     """
+    small_batches(docs.sparkSession)
+    sc = docs.sparkSession.sparkContext
+    held = sc.broadcast(load_vocabulary(path))
+    known = sc.broadcast(word_table(docs, held, pattern, table_words, chunk_bytes))
 
     def run(batches):
-        vocabulary = load_vocabulary(path)
+        vocabulary = held.value
         for table in chunks(batches, chunk_bytes):
             text = table["text"].combine_chunks()
-            flat, cuts, back = encode(text, vocabulary, pattern)
+            flat, cuts, back = encode(text, vocabulary, pattern, known.value)
             raw, offsets = text_bytes(text)
             sums = np.concatenate([[0], np.cumsum(vocabulary.lengths[flat])])[cuts]
             ok = np.diff(sums) == np.diff(offsets)
@@ -326,5 +417,4 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
             del table, text, flat, cuts, back, raw, ids
             release()
 
-    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ENCODED)
