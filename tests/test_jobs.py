@@ -57,6 +57,44 @@ def test_command_line(spark, crawl, tmp_path):
     assert spark.read.parquet(ledger).where("status = 'FAIL'").count() == 1
 
 
+def test_options_of_the_signals_job(spark, crawl, tmp_path):
+    root, paths = crawl
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    (root / "listing.txt").write_text("2023-06/0001/en_head.json.gz\n2022-05/0002/en_middle.json.gz\n2022-05/0003/de_head.json.gz\n")
+    for kind, text in (("stop", "more\n"), ("bad", "more words\nwords\n")):
+        (root / kind).mkdir(exist_ok=True)
+        (root / kind / "en.txt").write_text(text)
+    for name in ("source", "wikipedia"):
+        rows = [json.loads(x) | {"lang": "en"} for x in (root / f"{name}.jsonl").read_text().split("\n")]
+        (root / f"{name}.lang.jsonl").write_text("\n".join(json.dumps(r) for r in rows))
+    for name, text in (("malware", "bad.com\n"), ("spam", "bad.com\n")):
+        (root / "more" / name).mkdir(parents=True, exist_ok=True)
+        (root / "more" / name / "domains").write_text(text)
+    main(["models", "--by-language", "--corpus", f"wikipedia={root}/wikipedia.lang.jsonl", "--corpus", f"source={root}/source.lang.jsonl", "--output", f"{out}/m"])
+    main(["classifier", "--target", f"{root}/wikipedia.lang.jsonl", "--source", f"{root}/source.lang.jsonl", "--language", "en", "--output", f"{out}/c"])
+    broken = str(tmp_path / "2023-06" / "broken.json.gz")
+    os.makedirs(os.path.dirname(broken))
+    with open(broken, "wb") as f:
+        f.write(b"no gzip at all")
+    with pytest.raises(SystemExit, match="broken"):
+        main(["--ledger", ledger, "signals", "--input", broken, "--listing", f"{root}/listing.txt", "--base", str(root), "--languages", "en", "--max-docs", "3", "--files-per-job", "1", "--output", out, "--domains", f"{root}/more", "--categories", "malware", "--stop-words", f"{root}/stop", "--bad-words", f"{root}/bad", "--models", f"{out}/m", "--classifier", f"quality@en={out}/c"])
+    by = {r["id"]: r["quality_signals"] for r in spark.read.json(f"{out}/signals").collect()}
+    assert len(by) == 6 and spark.read.parquet(f"{out}/minhash").count() == 6
+    one = by["2022-05/0002/en_middle.json.gz/2"]
+    assert one["rps_doc_ldnoobw_words"][0]["score"] == 2 and one["rps_doc_stop_word_fraction"][0]["score"] == round(1 / 82, 8) and one["rps_doc_ut1_blacklist"][0]["score"] == 0
+    assert 0 < one["quality"][0]["score"] < 1 and one["rps_doc_wikipedia_importance"][0]["score"] is not None
+    rows = spark.read.parquet(ledger).collect()
+    assert sorted((r["status"], r["n_records"]) for r in rows if r["status"] == "SUCCESS") == [("SUCCESS", 3), ("SUCCESS", 3)] and sum(r["status"] == "FAIL" for r in rows) == 1
+
+
+def test_scores_take_no_shuffle_of_texts(spark, crawl):
+    records = corpus.read_jsonl(spark, crawl[1])
+    models, rates = jobs.prepare_models({"wikipedia": spark.read.json(f"{crawl[0]}/wikipedia.jsonl"), "source": spark.read.json(f"{crawl[0]}/source.jsonl")})
+    plan = jobs.annotate_records(records, models=models, rates=rates, keep_bands=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    assert plan.count("ArrowEvalPython") <= 3
+
+
 def test_minhash_schema(spark, crawl):
     rows = jobs.minhash_records(corpus.read_jsonl(spark, crawl[1]))
     assert rows.columns == ["shard_id", "id", "id_int", "signature_sim0.7", "signature_sim0.8", "signature_sim0.9", "signature_sim1.0"]

@@ -84,6 +84,96 @@ def test_exact_duplicates_prefer_new_shards(spark):
     assert [(r["shard_id"], r["doc_id"], r["digest"]) for r in dedup.exact_duplicates(df, "s", "d", F.col("g")).collect()] == [("2022-05", 1, "a")]
 
 
+def test_exact_duplicates_against_brute_force(spark):
+    """A digest that a third of all rows has, equal rows, nulls; every row but the first of each digest."""
+    draw = random.Random(4)
+    rows = [(draw.choice(["a", "b", "c", None]), draw.randint(0, 30), "hot" if k % 3 == 0 else f"g{draw.randint(0, 40)}") for k in range(600)] + [("a", None, "hot"), ("z", 1, None)]
+    df = spark.createDataFrame(rows, "s string, d int, g string").repartition(5)
+    got = sorted(((r["shard_id"], r["doc_id"], r["digest"]) for r in dedup.exact_duplicates(df, "s", "d", F.col("g")).collect()), key=repr)
+    want = []
+    for g in {r[2] for r in rows if r[2]}:
+        own = sorted((r for r in rows if r[2] == g), key=lambda r: (r[1] is None, r[1] or 0))
+        own.sort(key=lambda r: r[0] or "", reverse=True)
+        want += own[1:]
+    assert got == sorted(want, key=repr)
+    plan = dedup.exact_duplicates(df, "s", "d", F.col("g"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
+
+
+def test_grams_against_brute_force(spark):
+    """Buckets, sums and means of odd texts, and none of it shuffled."""
+    texts = ["", None, "a", "a b a b", "Ünï código — x", "x " * 3000, "a b\nc"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
+    import re
+
+    weights = [((b * 7919) % 2001 - 1000) / 1000.0 for b in range(importance.BUCKETS)]
+    table = spark.createDataFrame([(b, w) for b, w in enumerate(weights)], "bucket int, lr double")
+    counts, sums = {}, {}
+    for k, t in enumerate(texts):
+        w = re.findall(r"\w+|[^\w\s]+", t or "")
+        for g in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]:
+            b = int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % importance.BUCKETS
+            counts[k, b] = counts.get((k, b), 0) + 1
+            sums[k] = sums.get(k, 0.0) + weights[b]
+    found = importance.hash_features(df)
+    assert {(r["doc_id"], r["bucket"]): r["cnt"] for r in found.collect()} == counts
+    scored = importance.importance(df, table)
+    assert {r["doc_id"]: r["importance"] for r in scored.collect()} == pytest.approx(sums)
+    for x in (found, scored):
+        assert "Exchange" not in x._jdf.queryExecution().executedPlan().toString()
+    parts = importance.ngram_model(df.withColumn("half", F.when(F.col("doc_id") > 3, "b").otherwise("a")), by="half").groupBy("bucket").agg(F.sum("cnt").alias("n"))
+    assert {r["bucket"]: r["n"] for r in parts.collect()} == {r["bucket"]: r["cnt"] for r in importance.ngram_model(df).collect()}
+
+
+def test_user_signals(spark):
+    from textquarry.operators import signals
+
+    @signals.doc_signal("own_length")
+    def _length():
+        return F.length("_text")
+
+    @signals.line_signal("own_stars")
+    def _stars(line):
+        return F.regexp_count(line, F.lit(r"\*"))
+
+    try:
+        r = signals.annotate(spark.createDataFrame([(1, "a*\n**", "en", "s")], "doc_id int, text string, lang string, source string"), "doc_id", "source").first()["quality_signals"]
+        assert [tuple(x) for x in r["own_length"]] == [(0, 5, 5.0)] and [tuple(x) for x in r["own_stars"]] == [(0, 3, 1.0), (3, 5, 2.0)]
+    finally:
+        del signals.DOC_SIGNALS["own_length"], signals.LINE_SIGNALS["own_stars"]
+
+
+def test_balanced_training_rows(spark):
+    rows = lambda n, base: spark.createDataFrame([(base + k, f"t{base + k}") for k in range(n)], "doc_id int, text string")
+    got = importance.balanced([rows(50, 0), rows(3, 100)], rows(500, 1000), 20, F.xxhash64("doc_id")).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in got} == {1: 13, 0: 20}
+
+
+def test_seeded_shuffle(spark):
+    df = spark.range(500).repartition(7)
+    one, two = ([r["id"] for r in sampling.shuffled(df, seed, ["id"]).collect()] for seed in (1, 2))
+    assert sorted(one) == sorted(two) == list(range(500)) and one != two and one == [r["id"] for r in sampling.shuffled(spark.range(500).repartition(3), 1, ["id"]).collect()]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from textquarry.plans import runtime
+
+    none = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda *_: None), _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False))), master="yarn")
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        runtime.shared_dir(SimpleNamespace(sparkContext=none))
+
+
+def test_core_queries_survive_a_broken_subpackage(monkeypatch):
+    import sys
+
+    import __spark_entry__ as driver
+
+    monkeypatch.setitem(sys.modules, "textquarry.llm.queries", None)
+    assert "dup_clusters" in driver.queries() and not any(n.startswith("op1") for n in driver.queries()) and "exact_dup" in driver.oracle_sql()
+
+
 def test_log_gamma(spark):
     import math
 
@@ -113,6 +203,15 @@ def test_jsonl(spark, tmp_path):
     got = corpus.read_jsonl(spark, str(folder / "en_head.json.gz")).orderBy("idx").collect()
     assert [(r["raw_content"], r["idx"], r["uri_id"], r["snapshot_id"]) for r in got] == [(x, k, "2023-06/0001/en_head.json.gz", "2023-06") for x, k in (("a", 0), ("b", 2), ("c", 4))]
     assert corpus.read_jsonl(spark, str(folder / "en_head.json.gz"), max_samples=2).count() == 2
+    for k in range(3):
+        with gzip.open(folder / f"more{k}.json.gz", "wt") as f:
+            f.write("\n".join(json.dumps({"raw_content": f"{k}-{n}"}) for n in range(20_000)))
+    many = corpus.read_jsonl(spark, str(folder))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert many.where("raw_content LIKE '%-%' AND concat(regexp_extract(uri_id, 'more([0-9])', 1), '-', idx) <> raw_content").count() == 0 and many.count() == 60_003
+    (folder / "plain.jsonl").write_text("\n".join(lines))
+    assert sorted(r["idx"] for r in corpus.read_jsonl(spark, str(folder / "plain.jsonl")).collect()) == [0, 2, 4]
 
 
 def test_sinks(spark, tmp_path):

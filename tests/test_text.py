@@ -32,7 +32,7 @@ def rows(spark):
     data = [(k, t, "en") for k, t in enumerate(texts)] + [(1000, None, None), (1001, "the of", "xx")]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
     picked = signals.all_line_scores(signals.prepared(docs))
-    picked = picked.select("doc_id", "text", "_norm", "_words", "_raw", "_lines", *[b().alias(n) for n, b in signals.DOC_SIGNALS.items()], *signals.LINE_SIGNALS, "rps_lines_numerical_chars_fraction")
+    picked = picked.select("doc_id", "text", "_norm", "_words", "_raw", "_lines", *[b().alias(n) for n, b in signals.DOC_SIGNALS.items()], *signals.line_names())
     return {r["doc_id"]: r for r in picked.collect()}
 
 

@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,14 +22,29 @@ MASK = (1 << 32) - 1
 THRESHOLDS = (0.7, 0.8, 0.9, 1.0)
 
 
-def exact_duplicates(docs: DataFrame, shard: str, doc_id: str, digest: Column, newest: list[Column] | None = None) -> DataFrame:
+def repeats_of(rows: DataFrame, newest: str, order: list[str]) -> DataFrame:
+    """All rows but the first of each ``digest``: of the largest value of ``newest``, then by ``order``.
+
+    Rows equal in all these count one by one. Aggregation begins before the shuffle and winners join by digest, so that
+    a digest of any number of rows is never one task's. Rows without a digest repeat nothing.
+    """
+    columns = rows.columns
+    same = rows.where("digest IS NOT NULL").groupBy(*columns).agg(F.count("*").alias("_m"))
+    newer = same.groupBy("digest", newest).agg(F.min(F.struct(*[F.struct(F.col(c).isNull(), c) for c in order])).alias("_f"), F.sum("_m").alias("_n"))
+    best = newer.groupBy("digest").agg(F.max(F.struct(F.col(newest), "_f")).alias("_w"), F.sum("_n").alias("_n")).where("_n > 1")
+    held = same.join(best, "digest")
+    first = F.col(newest).eqNullSafe(F.col(f"_w.{newest}")) & (F.struct(*[F.struct(F.col(c).isNull(), c) for c in order]) == F.col("_w._f"))
+    left = held.withColumn("_m", F.when(F.coalesce(first, F.lit(False)), F.col("_m") - 1).otherwise(F.col("_m"))).where("_m > 0")
+    return left.withColumn("_m", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m")))).select(*columns)
+
+
+def exact_duplicates(docs: DataFrame, shard: str, doc_id: str, digest: Column) -> DataFrame:
     """shard_id, doc_id, digest of every row whose digest an earlier row has; the newest shard comes first.
 
-    Only the three columns are shuffled. Rows without a digest repeat nothing.
+    Only the three columns are shuffled.
     """
-    rows = docs.select(F.col(shard).alias("shard_id"), F.col(doc_id).alias("doc_id"), F.regexp_replace(digest, "^sha1:", "").alias("digest")).where("digest IS NOT NULL")
-    order = newest or [F.col("shard_id").desc(), F.col("doc_id")]
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("digest").orderBy(*order))).where("_n > 1").drop("_n")
+    rows = docs.select(F.col(shard).alias("shard_id"), F.col(doc_id).alias("doc_id"), F.regexp_replace(digest, "^sha1:", "").alias("digest"))
+    return repeats_of(rows, "shard_id", ["doc_id"])
 
 
 def duplicate_counts(duplicates: DataFrame) -> DataFrame:
@@ -69,29 +84,52 @@ def optimal_bands(threshold: float, n: int = PERMUTATIONS) -> tuple[int, int]:
 
 def hash_values(words: list[str], n: int = NGRAM) -> np.ndarray:
     """32-bit hashes of the distinct ``n``-grams, none if there are fewer words."""
-    grams = {" ".join(words[k : k + n]).encode() for k in range(len(words) - n + 1)}
-    return np.array([int.from_bytes(hashlib.sha1(g).digest()[:4], "little") for g in grams], np.uint64)
+    return _gram_hashes(" ".join(words).encode(), n)
+
+
+def _gram_hashes(text: bytes, n: int) -> np.ndarray:
+    """The same for a text of words with one space between them: its n-grams are ranges of its bytes."""
+    if not text:
+        return np.zeros(0, np.uint64)
+    spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+    starts, ends = [0, *(spaces + 1).tolist()], [*spaces.tolist(), len(text)]
+    sha1 = hashlib.sha1
+    grams = {text[a:b] for a, b in zip(starts, ends[n - 1 :])}
+    first = b"".join([sha1(g).digest()[:4] for g in grams])
+    return np.frombuffer(first, "<u4").astype(np.uint64)
 
 
 def signature_of(hashes: np.ndarray, n: int = PERMUTATIONS) -> np.ndarray:
     a, b = permutations(n)
+    prime, mask, top = np.uint64(PRIME), np.uint64(MASK), np.uint64(61)
     out = np.full(n, MASK, np.uint64)
-    for k in range(0, len(hashes), 8192):  # a long text takes several turns
-        part = ((hashes[k : k + 8192, None] * a + b) % np.uint64(PRIME)) & np.uint64(MASK)
-        out = np.minimum(out, part.min(0))
+    for k in range(0, len(hashes), 1024):  # a long text takes several turns, each within the processor's cache
+        x = hashes[k : k + 1024, None] * a + b
+        x = (x & prime) + (x >> top)  # modulo 2^61 - 1, of numbers below 2^64
+        x -= np.where(x >= prime, prime, np.uint64(0))
+        out = np.minimum(out, (x & mask).min(0))
     return out.astype(np.uint32)
 
 
+def _signed(column: pa.Array, n: int, ngram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the texts that have one, a row each, and which texts those are."""
+    rows, some = [np.zeros((0, n), np.uint32)], np.zeros(len(column), bool)
+    for k, value in enumerate(column):
+        h = _gram_hashes(value.as_buffer().to_pybytes() if value.is_valid else b"", ngram)
+        if len(h):
+            some[k] = True
+            rows.append(signature_of(h, n)[None])
+    return np.concatenate(rows), some
+
+
 def signatures(norm: Column, n: int = PERMUTATIONS, ngram: int = NGRAM) -> Column:
     """array<bigint> signature of a normalised text; null for one of fewer than ``ngram`` words."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def run(column: pa.Array) -> pa.Array:
-        out = []
-        for text in column.to_pylist():
-            h = hash_values(text.split(" ") if text else [], ngram)
-            out.append(signature_of(h, n).astype(np.int64).tolist() if len(h) else None)
-        return pa.array(out, pa.list_(pa.int64()))
+        rows, some = _signed(column, n, ngram)
+        cuts = np.concatenate([[0], np.cumsum(some)]).astype(np.int32) * n
+        return pa.ListArray.from_arrays(pa.array(cuts), pa.array(rows.reshape(-1).astype(np.int64)), mask=pa.array(~some))
 
     return run(norm)
 
@@ -104,11 +142,27 @@ def bands(signature: Column, threshold: float, n: int = PERMUTATIONS) -> Column:
     return F.when(signature.isNotNull(), keys)
 
 
+def band_columns(norm: Column, thresholds: tuple[float, ...] = THRESHOLDS, n: int = PERMUTATIONS, ngram: int = NGRAM) -> dict[str, Column]:
+    """array<binary> columns ``signature_sim<threshold>``, the form that clustering reads: the bytes of ``bands``, cut in one pass."""
+    shapes = [optimal_bands(t, n) for t in thresholds]
+
+    @F.arrow_udf(T.StructType([T.StructField(f"b{k}", T.ArrayType(T.BinaryType())) for k in range(len(shapes))]))
+    def run(column: pa.Array) -> pa.Array:
+        rows, some = _signed(column, n, ngram)
+        big, columns = rows.astype(">u4"), []
+        for count, size in shapes:
+            data = np.ascontiguousarray(big[:, : count * size])
+            keys = pa.Array.from_buffers(pa.binary(), len(big) * count, [None, pa.py_buffer((np.arange(len(big) * count + 1) * size * 4).astype(np.int32)), pa.py_buffer(data)])
+            columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some)]).astype(np.int32) * count), keys, mask=pa.array(~some)))
+        return pa.StructArray.from_arrays(columns, names=[f"b{k}" for k in range(len(shapes))])
+
+    found = run(norm)
+    return {f"signature_sim{t}": found[f"b{k}"] for k, t in enumerate(thresholds)}
+
+
 def minhash_rows(docs: DataFrame, norm: Column, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
-    """Add array<binary> columns ``signature_sim<threshold>``, the form that clustering reads."""
-    rows = docs.withColumn("_sig", signatures(norm))
-    cols = {f"signature_sim{t}": F.transform(bands(F.col("_sig"), t), F.unhex) for t in thresholds}
-    return rows.withColumns(cols).drop("_sig")
+    """Add the columns of ``band_columns``."""
+    return docs.withColumns(band_columns(norm, thresholds))
 
 
 def lsh_edges(rows: DataFrame, node: str, keys: str) -> DataFrame:

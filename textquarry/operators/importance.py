@@ -1,37 +1,128 @@
-"""Hashed n-gram models, importance weights and classifiers."""
+"""Hashed n-gram models, importance weights and classifiers.
+
+What a document's n-grams add up to is computed beside the document, in Arrow batches: no n-gram is shuffled, only the
+counts of models are, added up in every task before.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import math
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textquarry.functions import text as X
 
 BUCKETS = 10_000
 FLOOR = 1e-8
-
-
-def grams(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, bucket of every unigram and bigram of the raw words."""
-    raw = docs.select(F.col(doc_id).alias("doc_id"), X.raw_words(F.coalesce(F.col(text), F.lit(""))).alias("w"))
-    gram = F.explode(F.concat("w", X.ngrams(F.col("w"), 2)))
-    return raw.select("doc_id", gram.alias("g")).select("doc_id", X.feature_bucket(F.col("g"), buckets).alias("bucket"))
-
-
-def hash_features(docs: DataFrame, **kw) -> DataFrame:
-    return grams(docs, **kw).groupBy("doc_id", "bucket").agg(F.count("*").alias("cnt"))
-
-
-def ngram_model(docs: DataFrame, **kw) -> DataFrame:
-    """bucket, cnt over a corpus."""
-    return grams(docs, **kw).groupBy("bucket").agg(F.count("*").alias("cnt"))
-
-
-def mean_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row: the mean number of raw words of a text, the Poisson parameter of lengths."""
-    return docs.select(F.avg(F.size(X.raw_words(F.coalesce(F.col(text), F.lit(""))))).alias("lambda"))
+#: Words handled at a time.
+RUN_WORDS = 1 << 18
+
+
+def _hashed(grams: list[bytes], buckets: int) -> np.ndarray:
+    md5 = hashlib.md5
+    first = b"".join([md5(g).digest()[:4] for g in grams])
+    return np.frombuffer(first, ">u4").astype(np.int64) % buckets
+
+
+def _string_parts(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.binary()).to_pylist()
+
+
+def gram_buckets(words: pa.ListArray, buckets: int = BUCKETS):
+    """Buckets of the unigrams and bigrams of lists of words: rows first to last, and each n-gram's row and bucket."""
+    words = words.fill_null([]) if words.null_count else words
+    cuts = words.offsets.to_numpy().astype(np.int64)
+    at, n = 0, len(words)
+    while at < n:
+        end = min(n, max(at + 1, int(np.searchsorted(cuts, cuts[at] + RUN_WORDS, "right")) - 1))
+        flat = words.values.slice(int(cuts[at]), int(cuts[end] - cuts[at])).dictionary_encode()
+        ids = flat.indices.to_numpy().astype(np.int64)
+        names = _string_parts(flat.dictionary)
+        row = np.repeat(np.arange(end - at), np.diff(cuts[at : end + 1]))
+        pair = np.flatnonzero(row[1:] == row[:-1])
+        both, distinct = pd.factorize(ids[pair] * len(names) + ids[pair + 1])
+        one = _hashed(names, buckets)
+        two = _hashed([names[a] + b" " + names[b] for a, b in zip((distinct // max(1, len(names))).tolist(), (distinct % max(1, len(names))).tolist())], buckets)
+        yield at, end, np.concatenate([row, row[pair]]), np.concatenate([one[ids], two[both]])
+        at = end
+
+
+def _words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), X.raw_words(F.coalesce(F.col(text), F.lit(""))).alias("w"))
+
+
+def hash_features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, bucket, cnt of a document's unigrams and bigrams. Rows of equal doc_id are counted apart."""
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("cnt", T.LongType())])))
+    def count(words: pa.Array) -> pa.Array:
+        sizes, bucket, cnt = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b, row, x in gram_buckets(words, buckets):
+            key, n = np.unique(row * buckets + x, return_counts=True)
+            sizes.append(np.bincount(key // buckets, minlength=b - a))
+            bucket.append(key % buckets)
+            cnt.append(n)
+        items = pa.StructArray.from_arrays([pa.array(np.concatenate(bucket).astype(np.int32)), pa.array(np.concatenate(cnt).astype(np.int64))], names=["bucket", "cnt"])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)), items)
+
+    found = _words(docs, doc_id, text).select("doc_id", F.explode_outer(count("w")).alias("f")).where("f IS NOT NULL")
+    return found.select("doc_id", "f.bucket", "f.cnt")
+
+
+def ngram_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, by: str | None = None) -> DataFrame:
+    """bucket, cnt over a corpus, or over each part of it that a string column ``by`` names; every task hands on one count a bucket."""
+
+    def run(batches):
+        held: dict[str | None, np.ndarray] = {}
+        for batch in batches:
+            parts = batch.column(1).to_pylist()
+            if len(set(parts)) == 1:
+                groups = {parts[0]: batch.column(0)}
+            else:
+                groups = {p: batch.column(0).filter(pa.array([x == p for x in parts])) for p in set(parts)}
+            for part, words in groups.items():
+                total = held.setdefault(part, np.zeros(buckets, np.int64))
+                for _, _, _, x in gram_buckets(words, buckets):
+                    total += np.bincount(x, minlength=buckets)
+        for part, total in held.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["part", "bucket", "cnt"])
+
+    words = docs.select(X.raw_words(F.coalesce(F.col(text), F.lit(""))).alias("w"), (F.col(by) if by else F.lit("")).cast("string").alias("part"))
+    found = words.mapInArrow(run, "part string, bucket int, cnt bigint").groupBy("part", "bucket").agg(F.sum("cnt").alias("cnt"))
+    return found.withColumnRenamed("part", by) if by else found.drop("part")
+
+
+def gram_sums(words: Column, tables: np.ndarray, mean: bool = False) -> Column:
+    """array<double>: the sum (or mean) over a document's n-grams of their buckets' values, for each row of ``tables``.
+
+    Null for a document without words.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(column: pa.Array) -> pa.Array:
+        parts = [np.zeros((0, len(tables)))]
+        for a, b, row, x in gram_buckets(column, tables.shape[1]):
+            n = np.bincount(row, minlength=b - a)
+            sums = np.stack([np.bincount(row, weights=t[x], minlength=b - a) for t in tables], 1) if len(tables) else np.zeros((b - a, 0))
+            sums = sums / np.maximum(n, 1)[:, None] if mean else sums
+            parts.append(np.where((n > 0)[:, None], sums, np.nan))
+        rows = np.concatenate(parts)
+        cuts = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(tables))
+        return pa.ListArray.from_arrays(cuts, pa.array(rows.reshape(-1), pa.float64(), from_pandas=True))
+
+    return run(words)
+
+
+def mean_words(docs: DataFrame, text: str = "text", by: str | None = None) -> DataFrame:
+    """The mean number of raw words of a text, the Poisson parameter of lengths: one row, or one for each value of ``by``."""
+    return docs.groupBy(*([by] if by else [])).agg(F.avg(F.size(X.raw_words(F.coalesce(F.col(text), F.lit(""))))).alias("lambda"))
 
 
 def log_ratios(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -42,10 +133,19 @@ def log_ratios(target: DataFrame, source: DataFrame) -> DataFrame:
     return both.select("bucket", (ln("p") - ln("q")).alias("lr"))
 
 
-def importance(docs: DataFrame, ratios: DataFrame, **kw) -> DataFrame:
-    """doc_id, importance: sum of the log ratios of a document's n-grams; the sums begin before the shuffle."""
-    rows = grams(docs, **kw).join(F.broadcast(ratios), "bucket", "left")
-    return rows.groupBy("doc_id").agg(F.sum(F.coalesce("lr", F.lit(0.0))).alias("importance"))
+def ratio_table(ratios: DataFrame, columns: list[str], buckets: int = BUCKETS) -> np.ndarray:
+    """Values by bucket, one row for each of ``columns``, 0 for buckets that ``ratios`` lacks; it has ``buckets`` rows at most."""
+    out = np.zeros((len(columns), buckets))
+    for r in ratios.select("bucket", *columns).collect():
+        for k, c in enumerate(columns):
+            out[k, r["bucket"]] = r[c] or 0.0
+    return out
+
+
+def importance(docs: DataFrame, ratios: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, importance: sum of the log ratios of a document's n-grams, for documents that have any."""
+    sums = gram_sums(F.col("w"), ratio_table(ratios, ["lr"], buckets))
+    return _words(docs, doc_id, text).select("doc_id", sums[0].alias("importance")).where("importance IS NOT NULL")
 
 
 def log_gamma(x: Column) -> Column:
@@ -68,11 +168,10 @@ def length_correction(n: Column, target_rate: Column, source_rate: Column) -> Co
     return log_poisson(n.cast("double"), target_rate) - log_poisson(n.cast("double"), source_rate)
 
 
-def linear_score(docs: DataFrame, weights: DataFrame, **kw) -> DataFrame:
+def linear_score(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id, score of a frozen linear model: the logistic function of the mean weight of a document's n-grams."""
-    rows = grams(docs, **kw).join(F.broadcast(weights), "bucket", "left")
-    mean = F.avg(F.coalesce("weight", F.lit(0.0)))
-    return rows.groupBy("doc_id").agg((1 / (1 + F.exp(-mean))).alias("score"))
+    mean = gram_sums(F.col("w"), ratio_table(weights, ["weight"], buckets), mean=True)[0]
+    return _words(docs, doc_id, text).select("doc_id", (1 / (1 + F.exp(-mean))).alias("score")).where("score IS NOT NULL")
 
 
 def train_classifier(samples: DataFrame, text: str = "text", label: str = "label", buckets: int = 1 << 14):
@@ -87,13 +186,21 @@ def train_classifier(samples: DataFrame, text: str = "text", label: str = "label
     return Pipeline(stages=[words, hashed, model]).fit(samples.select(text, F.col(label).cast("double").alias(label)))
 
 
-def classifier_scores(model, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score: the probability of label 1; null for an empty text."""
+def with_classifier(model, docs: DataFrame, column: str, text: str = "text") -> DataFrame:
+    """``docs`` with the probability of label 1 in ``column``, null for an empty text; row by row, without a join."""
     from pyspark.ml.functions import vector_to_array
 
-    flat = docs.select(F.col(doc_id).alias("doc_id"), X.classifier_text(F.coalesce(F.col(text), F.lit(""))).alias(text))
-    p = vector_to_array("_p")[1]
-    return model.transform(flat).select("doc_id", F.when(F.length(text) > 0, X.score(p)).alias("score"))
+    words = model.stages[0]
+    flat = f"{column}_flat"
+    rows = docs.withColumn(flat, X.classifier_text(F.coalesce(F.col(text), F.lit(""))))
+    made = model.transform(rows, {words.inputCol: flat})
+    score = F.when(F.length(flat) > 0, X.score(vector_to_array("_p")[1]))
+    return made.withColumn(column, score).drop(flat, "_tokens", "_features", "_z", "_p", "_y")
+
+
+def classifier_scores(model, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, score: the probability of label 1; null for an empty text."""
+    return with_classifier(model, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "score").select("doc_id", "score")
 
 
 def balanced(targets: list[DataFrame], rest: DataFrame, per_class: int, order: Column) -> DataFrame:

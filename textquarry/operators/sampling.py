@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,14 @@ def stratified(docs: DataFrame, n: int, stratum: str, bucket: str, order: list[s
     return docs.withColumn("_n", place).where(F.col("_n") <= most).where(F.col("_n") <= limit).drop("_n")
 
 
+def shuffled(docs: DataFrame, seed: int, id_columns: list[str], key: str = "_key") -> DataFrame:
+    """All rows in the order of seeded hashes of their ids, which stay in the column ``key``: a range-partitioned sort.
+
+    The same seed gives the same order however the table is split; rows of equal ids are interchangeable.
+    """
+    return docs.withColumn(key, F.md5(F.concat_ws("/", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_columns]))).orderBy(key, *id_columns)
+
+
 def first_n(docs: DataFrame, n: int, order: list[str]) -> DataFrame:
     return docs.orderBy(*order).limit(n)
 
@@ -42,25 +50,43 @@ def word_token_count(text: Column) -> Column:
     return F.size(X.raw_words(F.coalesce(text, F.lit("")))).cast("bigint")
 
 
+_held: dict[str, object] = {}
+
+
+def _tokenizer(content: str):
+    """One tokenizer a worker, made when it is first needed."""
+    if content not in _held:
+        from tokenizers import Tokenizer
+
+        _held.clear()
+        _held[content] = Tokenizer.from_str(content)
+    return _held[content]
+
+
 def pretrained_token_count(text: Column, path: str) -> Column:
-    """Tokens under a pretrained tokenizer file, its special tokens included."""
+    """Tokens under a pretrained tokenizer file, its special tokens included; only the driver reads the file."""
+    with open(path, encoding="utf-8") as f:
+        held = SparkSession.getActiveSession().sparkContext.broadcast(f.read())
 
     @F.arrow_udf(T.LongType())
     def count(column: pa.Array) -> pa.Array:
-        from tokenizers import Tokenizer
-
-        held = Tokenizer.from_file(path)
-        out = []
+        tokenizer, out = _tokenizer(held.value), []
         for k in range(0, len(column), 256):
-            out += [len(e.ids) for e in held.encode_batch(column.slice(k, 256).fill_null("").to_pylist())]
+            out += [len(e.ids) for e in tokenizer.encode_batch(column.slice(k, 256).fill_null("").to_pylist())]
         return pa.array(out, pa.int64())
 
     return count(text)
 
 
+#: All sets of more categories would be too many; choose those that matter.
+MOST_CATEGORIES = 16
+
+
 def category_sets(categories: list[str]) -> list[tuple[int, list[str]]]:
     """Ids of all non-empty sets of categories, by size, then in lexicographic order."""
-    names = sorted(categories)
+    names = sorted(set(categories))
+    if len(names) > MOST_CATEGORIES:
+        raise ValueError(f"{len(names)} categories have too many sets; choose {MOST_CATEGORIES} at most")
     return list(enumerate(list(c) for size in range(1, len(names) + 1) for c in combinations(names, size)))
 
 

@@ -1,7 +1,8 @@
 """Quality signals of documents: a registry of column builders and the annotated record they make together.
 
 Document signals are numbers; line signals are arrays of (start, end, score). Every builder takes the derived columns
-of ``prepared`` by name, so that normalising and tokenising happen once a row.
+of ``prepared`` by name, so that normalising and tokenising happen once a row: words and lines are measured in one pass
+each (``measures``), repetitions in another, the rest are built-in expressions.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textquarry.functions import text as X
 from textquarry.functions.lexicons import BAD_WORDS, STOP_WORDS
+from textquarry.operators.measures import line_measures, word_measures
 from textquarry.operators.repetition import DUPE, TOP, repetitions
 
 SPAN = "array<struct<start:int,end:int,score:double>>"
@@ -40,45 +42,32 @@ def line_signal(name: str):
     return add
 
 
-def prepared(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Add the derived columns: _text, _lang, _norm, _words, _raw, _lines (with normalised text) and _rep."""
+def prepared(docs: DataFrame, text: str = "text", lang: str = "lang", stop_words: dict[str, list[str]] | None = None, bad_words: dict[str, list[str]] | None = None) -> DataFrame:
+    """Add the derived columns _text, _lang, _norm, _words, _raw, _lines, _rep, _w (word measures) and _l (line measures).
+
+    The lists are by language and default to the small ones of ``lexicons``. A column that no signal takes costs nothing.
+    """
     base = docs.withColumns({"_text": F.coalesce(F.col(text), F.lit("")), "_lang": F.col(lang)})
-    plain = base.withColumns({"_norm": X.normalize(F.col("_text")), "_raw": X.raw_words(F.col("_text")), "_lines": X.line_spans(F.col("_text"))})
-    return plain.withColumns({"_words": X.norm_words(F.col("_norm")), "_rep": repetitions(F.col("_norm"))})
+    plain = base.withColumns({"_norm": X.normalize(F.col("_text")), "_raw": X.raw_words(F.col("_text")), "_lines": X.line_spans(F.col("_text")), "_l": line_measures(F.col("_text"))})
+    words = word_measures(F.col("_text"), F.col("_norm"), F.col("_lang"), STOP_WORDS if stop_words is None else stop_words, BAD_WORDS if bad_words is None else bad_words)
+    return plain.withColumns({"_words": X.norm_words(F.col("_norm")), "_rep": repetitions(F.col("_norm")), "_w": words})
 
 
 def _n_words() -> Column:
-    return F.size("_words")
+    return F.col("_w.words")
 
 
 def _n_raw() -> Column:
-    return F.size("_raw")
+    return F.col("_w.raw")
 
 
 def _share(part: Column, whole: Column, none: float | None = None) -> Column:
     return X.score(F.when(whole > 0, part / whole).otherwise(F.lit(none).cast("double")))
 
 
-def _among(words: Column | str, listed: list[str]) -> Column:
-    """How many of the words are in the list."""
-    return F.size(F.filter(words, lambda w: w.isin(listed)))
-
-
-def phrase_count(words: Column, phrases: list[str]) -> Column:
-    """Windows of the words that are in the list, over all phrase lengths."""
-    found = F.lit(0)
-    for n in sorted({1 + p.count(" ") for p in phrases}):
-        some = [p for p in phrases if 1 + p.count(" ") == n]
-        found = found + _among(X.ngrams(words, n), some)
-    return found
-
-
 @doc_signal("rps_doc_ldnoobw_words")
 def _bad_words() -> Column:
-    out = F.lit(0)
-    for lang, phrases in sorted(BAD_WORDS.items()):
-        out = F.when(F.col("_lang") == lang, phrase_count(F.col("_words"), phrases)).otherwise(out)
-    return X.score(out)
+    return X.score(F.col("_w.bad"))
 
 
 @doc_signal("rps_doc_lorem_ipsum")
@@ -93,10 +82,7 @@ def _curly() -> Column:
 
 @doc_signal("rps_doc_stop_word_fraction")
 def _stop_words() -> Column:
-    out = F.lit(None).cast("int")
-    for lang, words in sorted(STOP_WORDS.items()):
-        out = F.when(F.col("_lang") == lang, _among("_raw", words)).otherwise(out)
-    return F.when(_n_words() == 0, F.lit(0.0)).otherwise(X.score(out / _n_raw()))
+    return F.when(_n_words() == 0, F.lit(0.0)).otherwise(X.score(F.col("_w.stop") / _n_raw()))
 
 
 @doc_signal("rps_doc_num_sentences")
@@ -122,18 +108,17 @@ def _symbols() -> Column:
 
 @doc_signal("rps_doc_frac_lines_end_with_ellipsis")
 def _ellipsis() -> Column:
-    ends = F.filter("_lines", lambda x: x["text"].rlike(rf"(\.\.\.|…)[{X.SPACE}]*\z"))
-    return _share(F.size(ends), F.size("_lines"))
+    return _share(F.col("_l.ellipsis"), F.col("_l.n"))
 
 
 @doc_signal("rps_doc_frac_no_alph_words")
 def _no_letters() -> Column:
-    return _share(_n_raw() - F.size(F.filter("_raw", lambda w: w.rlike("[a-zA-Z]"))), _n_raw())
+    return _share(F.col("_w.no_letter"), _n_raw())
 
 
 @doc_signal("rps_doc_frac_unique_words")
 def _unique() -> Column:
-    return _share(F.size(F.array_distinct("_words")), _n_words())
+    return _share(F.col("_w.unique"), _n_words())
 
 
 @doc_signal("rps_doc_unigram_entropy")
@@ -143,7 +128,7 @@ def _entropy() -> Column:
 
 @doc_signal("rps_doc_frac_all_caps_words")
 def _caps() -> Column:
-    return _share(F.size(F.filter("_raw", lambda w: w.rlike(r"\p{Lu}") & ~w.rlike(r"[\p{Ll}\p{Lt}]"))), _n_raw())
+    return _share(F.col("_w.caps"), _n_raw())
 
 
 for _n in TOP:
@@ -152,63 +137,35 @@ for _n in DUPE:
     DOC_SIGNALS[f"rps_doc_frac_chars_dupe_{_n}grams"] = lambda n=_n: X.score(F.col(f"_rep.dupe_{n}grams"))
 
 
-def _line_norm(line: Column) -> Column:
-    return X.normalize(line, decompose=False)
-
-
-@line_signal("rps_lines_javascript_counts")
-def _javascript(line: Column) -> Column:
-    return F.size(F.filter(F.split(_line_norm(line), " "), lambda w: w == "javascript"))
+#: Line signals that one pass measures together.
+MEASURED = {
+    "rps_lines_javascript_counts": "javascript",
+    "rps_lines_ending_with_terminal_punctution_mark": "terminal",
+    "rps_lines_num_words": "words",
+    "rps_lines_uppercase_letter_fraction": "uppercase",
+    "rps_lines_numerical_chars_fraction": "numeric",
+    "rps_lines_start_with_bulletpoint": "bullet",
+}
 
 
-@line_signal("rps_lines_ending_with_terminal_punctution_mark")
-def _terminal(line: Column) -> Column:
-    return line.rlike(rf"[.!?”][{X.SPACE}]*\z").cast("int")
-
-
-@line_signal("rps_lines_num_words")
-def _line_words(line: Column) -> Column:
-    return F.size(X.norm_words(_line_norm(line)))
-
-
-@line_signal("rps_lines_uppercase_letter_fraction")
-def _upper(line: Column) -> Column:
-    return F.when(F.length(line) == 0, 0.0).otherwise(F.regexp_count(line, F.lit(r"\p{Lu}")) / F.length(line))
-
-
-@line_signal("rps_lines_start_with_bulletpoint")
-def _bullet(line: Column) -> Column:
-    return line.rlike(rf"\A[{X.SPACE}]*[{X.BULLETS}]").cast("int")
+def line_names() -> list[str]:
+    return [*MEASURED, *LINE_SIGNALS]
 
 
 def line_scores(name: str) -> Column:
-    """array<struct<start,end,score>> of a line signal; see ``numeric_lines`` for the one that needs decomposed lines."""
+    """array<struct<start,end,score>> of a line signal; those of callers see each line's text."""
+    if name in MEASURED and name not in LINE_SIGNALS:
+        return F.col(f"_l.{MEASURED[name]}")
     build = LINE_SIGNALS[name]
     return F.transform("_lines", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), X.score(build(x["text"])).alias("score")))
 
 
-def numeric_lines(docs: DataFrame, column: str = "rps_lines_numerical_chars_fraction") -> DataFrame:
-    """Add the share of number characters in each normalised line, whose length counts decomposed characters."""
-    flat = F.array_join(F.transform("_lines", lambda x: F.concat(_line_norm(x["text"]), F.lit("\n"))), "")
-    lines = docs.withColumn("_flat", X.nfd(flat))
-    norm = F.split("_flat", "\n")
-    share = F.transform(
-        F.arrays_zip(F.col("_lines").alias("l"), F.slice(norm, 1, F.greatest(F.size("_lines"), F.lit(1))).alias("n")),
-        lambda x: F.struct(x["l"]["start"].alias("start"), x["l"]["end"].alias("end"), X.score(F.when(F.length(x["n"]) == 0, 0.0).otherwise(F.regexp_count(x["n"], F.lit(r"\p{N}")) / F.length(x["n"]))).alias("score")),
-    )
-    return lines.withColumn(column, F.when(F.size("_lines") == 0, F.array().cast(SPAN)).otherwise(share)).drop("_flat")
-
-
 def all_line_scores(docs: DataFrame) -> DataFrame:
     """Add every line signal as a column. Empty texts have no lines; the bullet signal then spans nothing with a null."""
-    out = docs
-    for name in LINE_SIGNALS:
-        c = line_scores(name)
-        if name.endswith("bulletpoint"):
-            whole = F.array(F.struct(F.lit(0).alias("start"), F.length("_text").alias("end"), F.lit(None).cast("double").alias("score")))
-            c = F.when(F.size("_lines") == 0, whole).otherwise(c)
-        out = out.withColumn(name, c)
-    return numeric_lines(out)
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.length("_text").alias("end"), F.lit(None).cast("double").alias("score")))
+    found = {name: line_scores(name) for name in line_names()}
+    bullet = "rps_lines_start_with_bulletpoint"
+    return docs.withColumns(found | {bullet: F.when(F.col("_l.n") == 0, whole).otherwise(found[bullet])})
 
 
 #: Numbers that come with the corpus and pass through as signals.
@@ -221,17 +178,18 @@ def passthrough(docs: DataFrame, columns: dict[str, str], bucket: str | None = N
     return out | {"ccnet_bucket": X.bucket_code(F.col(bucket)) if bucket else F.lit(None).cast("double")}
 
 
-def annotate(docs: DataFrame, id_column: str, shard: str, text: str = "text", lang: str = "lang", signals: dict[str, Column] | None = None, corpus: dict[str, Column] | None = None) -> DataFrame:
+def annotate(docs: DataFrame, id_column: str, shard: str, text: str = "text", lang: str = "lang", signals: dict[str, Column] | None = None, corpus: dict[str, Column] | None = None, stop_words: dict[str, list[str]] | None = None, bad_words: dict[str, list[str]] | None = None, keep: dict[str, Column] | None = None) -> DataFrame:
     """id, id_int, metadata and the struct of all quality signals, each an array of (start, end, score).
 
     ``signals`` adds ready columns of document signals, such as classifier and importance scores; ``corpus`` the
-    pass-through numbers. A null text counts as empty.
+    pass-through numbers; the lists are the caller's stop words and blocked phrases by language. ``keep`` adds columns to
+    the record. A null text counts as empty.
     """
-    rows = all_line_scores(prepared(docs, text, lang))
+    rows = all_line_scores(prepared(docs, text, lang, stop_words, bad_words))
     whole = lambda c: F.array(F.struct(F.lit(0).alias("start"), F.length("_text").alias("end"), c.cast("double").alias("score")))
     fields = {name: whole(build()) for name, build in DOC_SIGNALS.items()}
     fields |= {name: whole(c) for name, c in {**(signals or {}), **(corpus or {})}.items()}
-    fields |= {name: F.col(name).cast(SPAN) for name in [*LINE_SIGNALS, "rps_lines_numerical_chars_fraction"]}
+    fields |= {name: F.col(name).cast(SPAN) for name in line_names()}
     doc_id = F.concat_ws("/", F.col(shard), F.col(id_column).cast("string"))
     meta = F.struct(F.col(shard).alias("shard_id"), F.col("_lang").alias("language"), F.sha1("_text").alias("digest"))
-    return rows.select(doc_id.alias("id"), X.doc_id_hash(doc_id).alias("id_int"), meta.alias("metadata"), F.struct(*[c.alias(k) for k, c in sorted(fields.items())]).alias("quality_signals"))
+    return rows.select(doc_id.alias("id"), X.doc_id_hash(doc_id).alias("id_int"), meta.alias("metadata"), F.struct(*[c.alias(k) for k, c in sorted(fields.items())]).alias("quality_signals"), *[c.alias(k) for k, c in (keep or {}).items()])

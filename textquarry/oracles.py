@@ -235,7 +235,15 @@ SELECT doc_id, source, bucket FROM r, q WHERE n <= floor(k * CASE bucket WHEN 'h
 SELECT doc_id, CAST(k // 3 AS INTEGER) AS chunk, string_agg(line, chr(10) ORDER BY k) AS chunk_text FROM f WHERE k // 3 < least(n // 3, 20) GROUP BY doc_id, k // 3""",
         "exact_dup": "SELECT source AS shard_id, doc_id, sha1(text) AS digest FROM documents QUALIFY row_number() OVER (PARTITION BY sha1(text) ORDER BY source DESC, doc_id) > 1",
         "dup_stats_by_source": "SELECT shard_id, count(*) AS n_duplicates FROM (SELECT source AS shard_id FROM documents QUALIFY row_number() OVER (PARTITION BY sha1(text) ORDER BY source DESC, doc_id) > 1) GROUP BY shard_id",
-        "minhash_min_k": f"{minhash(4)} SELECT doc_id, CAST(j AS INTEGER) AS perm, v AS min_hash FROM sig",
+        "minhash_min_k": f"{minhash(128)} SELECT doc_id, CAST(j AS INTEGER) AS perm, v AS min_hash FROM sig",
+        "minhash_bands_all": f"""{minhash(128)}, sizes(threshold, bands, rows) AS (VALUES (0.7::DOUBLE, 14, 9), (0.8, 9, 13), (0.9, 5, 25), (1.0, 1, 128))
+SELECT doc_id, threshold, CAST(j // rows AS INTEGER) AS band, string_agg(printf('%08X', v), '' ORDER BY j) AS key FROM sig, sizes WHERE j < bands * rows GROUP BY doc_id, threshold, j // rows""",
+        "lsh_parameters": f"""WITH thresholds(threshold) AS (VALUES {", ".join(f"({t}::DOUBLE)" for t in dedup.THRESHOLDS)}),
+  shapes AS (SELECT b, r FROM (SELECT unnest(range(1, 129)) AS b), (SELECT unnest(range(1, 129)) AS r) WHERE b * r <= 128),
+  steps AS (SELECT (i + 0.5) / 4000 AS x FROM (SELECT unnest(range(0, 4000)) AS i)),
+  areas AS (SELECT threshold, b, r, avg(CASE WHEN x < threshold THEN 1 - pow(1 - pow(x, r), b) ELSE pow(1 - pow(x, r), b) END) AS error FROM thresholds, shapes, steps GROUP BY ALL)
+SELECT threshold, CAST(b AS INTEGER) AS bands, CAST(r AS INTEGER) AS rows FROM areas QUALIFY row_number() OVER (PARTITION BY threshold ORDER BY error, b, r) = 1""",
+        "seeded_shuffle": "SELECT doc_id, md5(concat('42/', doc_id)) AS shuffle_key FROM documents",
         "minhash_bands": f"{banded(0.7)} SELECT doc_id, band, key FROM bands",
         "lsh_edges": f"{edges(0.7)} SELECT src, dst FROM edges",
         "connected_components": f"{cluster(0.7)} SELECT node, cluster_id FROM comp",
@@ -246,4 +254,12 @@ SELECT doc_id, CAST(k // 3 AS INTEGER) AS chunk, string_agg(line, chr(10) ORDER
         sql[f"rps_doc_frac_chars_top_{n}gram"] = top_gram(n)
     for n in range(5, 11):
         sql[f"rps_doc_frac_chars_dupe_{n}grams"] = dupe_gram(n)
+    lines = [n for n in sql if n.startswith("rps_lines_")]
+    whole = [n for n in sql if n.startswith("rps_doc_") and n != "rps_doc_ut1_blacklist"]
+    score = "round(s.score, 6) + 0.0 AS score"
+    parts = [f"SELECT s.doc_id, {q(n)} AS signal, CAST(0 AS BIGINT) AS start_pos, CAST(length(d.text) AS BIGINT) AS end_pos, {score} FROM ({sql[n]}) s JOIN documents d ON d.doc_id = s.doc_id" for n in whole]
+    parts += [f"SELECT doc_id, {q(n)} AS signal, CAST(start_pos AS BIGINT) AS start_pos, end_pos, {score} FROM ({sql[n]}) s" for n in lines]
+    bullet = q("rps_lines_start_with_bulletpoint")
+    parts.append(f"SELECT doc_id, {bullet} AS signal, CAST(0 AS BIGINT) AS start_pos, CAST(0 AS BIGINT) AS end_pos, CAST(NULL AS DOUBLE) AS score FROM documents WHERE text = ''")
+    sql["quality_signals_long"] = " UNION ALL ".join(parts)
     return sql

@@ -5,76 +5,113 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textquarry.functions import text as X
 from textquarry.operators import dedup, importance, sampling, signals
-from textquarry.plans.runtime import write_shared
+from textquarry.plans.runtime import join_checked, write_shared
 from textquarry.sources import corpus
 
 CORPUS_COLUMNS = {"ccnet_length": "length", "ccnet_original_length": "original_length", "ccnet_nlines": "nlines", "ccnet_original_nlines": "original_nlines", "ccnet_language_score": "language_score", "ccnet_perplexity": "perplexity"}
 
 
-def audited(spark: SparkSession, ledger: str | None, job: str, run: Callable[[], None]) -> None:
-    """Run a job and add a row to the ledger table: job, status, seconds, error."""
-    began, status, error = time.time(), "SUCCESS", None
+LEDGER = "job string, input string, status string, n_records bigint, seconds double, error string"
+
+
+def audited(spark: SparkSession, ledger: str | None, job: str, run: Callable[[], int | None], inputs: str | None = None) -> None:
+    """Run a job and add a row to the ledger table: job, input, status, number of records, seconds, error."""
+    began, status, error, n = time.time(), "SUCCESS", None, None
     try:
-        run()
+        n = run()
     except Exception as e:
         status, error = "FAIL", str(e)[:2000]
         raise
     finally:
         if ledger:
-            spark.createDataFrame([(job, status, time.time() - began, error)], "job string, status string, seconds double, error string").write.mode("append").parquet(ledger)
+            spark.createDataFrame([(job, inputs, status, n, time.time() - began, error)], LEDGER).write.mode("append").parquet(ledger)
 
 
-def importance_columns(rows: DataFrame, models: DataFrame, rates: DataFrame, source: str = "source", unit: str = "chars") -> DataFrame:
-    """doc_id and two columns for each target corpus, ``rps_doc_<name>_importance`` and ``..._length_correction``.
+def isolated(spark: SparkSession, ledger: str | None, job: str, paths: list[str], run: Callable[[list[str]], int | None], per_job: int = 0) -> list[str]:
+    """Run a job over groups of ``per_job`` inputs (0: all in one), each with a ledger row; the inputs of groups that failed.
 
-    ``models``: corpus, bucket, cnt; ``rates``: corpus, lambda. ``unit`` is what the length correction counts: ``chars``
-    as a rule, or ``words``, the unit of the rates. A document without words has no importance.
+    A group that fails doesn't stop the others: a broken file costs its own group alone.
+    """
+    failed = []
+    size = per_job or len(paths) or 1
+    for k in range(0, len(paths), size):
+        group = paths[k : k + size]
+        try:
+            audited(spark, ledger, job, lambda group=group: run(group), ",".join(group)[:2000])
+        except Exception:
+            if size >= len(paths):
+                raise
+            failed += group
+    return failed
+
+
+def with_importance(rows: DataFrame, models: DataFrame, rates: DataFrame, source: str = "source", unit: str = "chars", text: str = "text", lang: str | None = None) -> tuple[DataFrame, list[str]]:
+    """``rows`` with two columns for each target corpus, ``rps_doc_<name>_importance`` and ``..._length_correction``, and their names.
+
+    ``models``: corpus, bucket, cnt; ``rates``: corpus, lambda; both may have a ``language``, and documents are then
+    weighed with the models of theirs, those of other languages not at all. ``unit`` is what the length correction
+    counts: ``chars`` as a rule, or ``words``, the unit of the rates. A document without words has no importance. Only
+    the models, BUCKETS rows a corpus and language, reach the driver.
     """
-    names = sorted(r["corpus"] for r in models.select("corpus").distinct().collect() if r["corpus"] != source)
-    rate = {r["corpus"]: r["lambda"] for r in rates.collect()}
-    pick = lambda name: models.where(F.col("corpus") == name).select("bucket", "cnt")
-    table = None
-    for name in names:
-        one = importance.log_ratios(pick(name), pick(source)).withColumnRenamed("lr", name)
-        table = one if table is None else table.join(one, "bucket", "full_outer")
-    if table is None:
-        return rows.select("doc_id")
-    table = write_shared(table, "ratios")  # at most BUCKETS rows
-    grams = importance.grams(rows).join(F.broadcast(table), "bucket", "left")
-    sums = grams.groupBy("doc_id").agg(*[F.sum(F.coalesce(F.col(n), F.lit(0.0))).alias(n) for n in names])
-    n = F.length("text") if unit == "chars" else F.size(X.raw_words(F.col("text")))
-    out = rows.select("doc_id", n.alias("_n")).join(sums, "doc_id")
-    cols: list[Column] = []
-    for name in names:
-        corrected = F.col(name) + importance.length_correction(F.col("_n"), F.lit(rate[name]), F.lit(rate[source]))
-        cols += [X.score(F.col(name)).alias(f"rps_doc_{name}_importance"), X.score(corrected).alias(f"rps_doc_{name}_importance_length_correction")]
-    return out.select("doc_id", *cols)
-
-
-def annotate_records(records: DataFrame, domains: DataFrame | None = None, models: DataFrame | None = None, rates: DataFrame | None = None, classifiers: dict | None = None) -> DataFrame:
+    by = lang is not None and "language" in models.columns
+    key = (lambda r: r["language"]) if by else (lambda r: None)
+    held: dict = {}
+    for r in models.collect():
+        table = held.setdefault((key(r), r["corpus"]), np.zeros(importance.BUCKETS))
+        table[r["bucket"]] += r["cnt"]
+    rate = {(key(r), r["corpus"]): r["lambda"] for r in rates.collect()}
+    names, langs = sorted({c for _, c in held} - {source}), sorted({x for x, _ in held}, key=str)
+    share = lambda t: t / max(t.sum(), 1.0)
+    ln = lambda p: np.log(p + importance.FLOOR)
+    pairs = [(x, c) for x in langs for c in names if (x, c) in held and (x, source) in held]
+    if not pairs:
+        return rows, []
+    tables = np.stack([ln(share(held[p])) - ln(share(held[p[0], source])) for p in pairs])
+    sums = importance.gram_sums(X.raw_words(F.coalesce(F.col(text), F.lit(""))), tables)
+    n = F.length(text) if unit == "chars" else F.size(X.raw_words(F.col(text)))
+    rows = rows.withColumns({"_sums": sums, "_size": n})
+    found = {}
+    for c in names:
+        plain, corrected = F.lit(None).cast("double"), F.lit(None).cast("double")
+        for k, (x, name) in enumerate(pairs):
+            if name == c:
+                own = F.lit(True) if x is None else F.col(lang) == x
+                weight = F.col("_sums")[k]
+                plain = F.when(own, weight).otherwise(plain)
+                corrected = F.when(own, weight + importance.length_correction(F.col("_size"), F.lit(rate[x, c]), F.lit(rate[x, source]))).otherwise(corrected)
+        found |= {f"rps_doc_{c}_importance": X.score(plain), f"rps_doc_{c}_importance_length_correction": X.score(corrected)}
+    return rows.withColumns(found).drop("_sums", "_size"), list(found)
+
+
+def annotate_records(records: DataFrame, domains: DataFrame | None = None, models: DataFrame | None = None, rates: DataFrame | None = None, classifiers: dict | None = None, stop_words: dict[str, list[str]] | None = None, bad_words: dict[str, list[str]] | None = None, keep_bands: bool = False) -> DataFrame:
     """Signals of crawl records (see ``corpus.read_jsonl``): block-list category, importance and classifier scores if given.
 
-    ``domains``: domain, category_id. ``classifiers``: signal name -> fitted model.
+    ``domains``: domain, category_id. ``classifiers``: signal name -> fitted model, or a pair of language and signal
+    name -> fitted model. All scores are computed beside the record: no text is shuffled. ``keep_bands``
+    adds the columns of ``minhash_records``.
     """
-    rows = records.withColumn("doc_id", F.concat_ws("/", "uri_id", F.col("idx").cast("string"))).withColumn("text", F.coalesce("raw_content", F.lit("")))
+    rows = records.withColumn("text", F.coalesce("raw_content", F.lit("")))
     extra: dict[str, Column] = {}
     if domains is not None:
         known = domains.select(F.col("domain").alias("source_domain"), F.col("category_id").alias("_category"))
-        rows = rows.join(F.broadcast(known), "source_domain", "left")
+        rows = join_checked(rows, known, "source_domain", "left", 64)
         extra["rps_doc_ut1_blacklist"] = F.col("_category")
     if models is not None and rates is not None:
-        scores = importance_columns(rows.select("doc_id", "text"), models, rates)
-        rows = rows.join(scores, "doc_id", "left")
-        extra |= {c: F.col(c) for c in scores.columns if c != "doc_id"}
-    for name, model in (classifiers or {}).items():
-        rows = rows.join(importance.classifier_scores(model, rows.select("doc_id", "text")).withColumnRenamed("score", name), "doc_id", "left")
-        extra[name] = F.col(name)
-    return signals.annotate(rows, "idx", "uri_id", "text", "language", extra, signals.passthrough(rows, CORPUS_COLUMNS, "bucket"))
+        rows, names = with_importance(rows, models, rates, lang="language")
+        extra |= {c: F.col(c) for c in names}
+    for k, (name, model) in enumerate(sorted((classifiers or {}).items(), key=str)):
+        lang, name = name if isinstance(name, tuple) else (None, name)
+        rows = importance.with_classifier(model, rows, f"_clf{k}")
+        score = F.col(f"_clf{k}") if lang is None else F.when(F.col("language") == lang, F.col(f"_clf{k}"))
+        extra[name] = F.coalesce(extra[name], score) if name in extra else score
+    keep = dedup.band_columns(F.col("_norm")) if keep_bands else {}
+    return signals.annotate(rows, "idx", "uri_id", "text", "language", extra, signals.passthrough(rows, CORPUS_COLUMNS, "bucket"), stop_words, bad_words, keep)
 
 
 def minhash_records(records: DataFrame, thresholds: tuple[float, ...] = dedup.THRESHOLDS) -> DataFrame:
@@ -97,9 +134,8 @@ def cluster_records(minhash: DataFrame, threshold: float, max_docs: int = -1) ->
 def exact_duplicate_records(records: DataFrame) -> DataFrame:
     """shard_id, doc_id, digest, snapshot_id of all repeats, newest snapshots first, then by shard and line."""
     doc_id = F.concat_ws("/", "uri_id", F.col("idx").cast("string")).alias("doc_id")
-    named = records.select(F.col("uri_id").alias("shard_id"), doc_id, F.regexp_replace("digest", "^sha1:", "").alias("digest"), "snapshot_id", "idx").where("digest IS NOT NULL")
-    order = [F.col("snapshot_id").desc(), F.col("shard_id"), F.col("idx")]
-    return named.withColumn("_n", F.row_number().over(Window.partitionBy("digest").orderBy(*order))).where("_n > 1").select("shard_id", "doc_id", "digest", "snapshot_id")
+    named = records.select(F.col("uri_id").alias("shard_id"), doc_id, F.regexp_replace("digest", "^sha1:", "").alias("digest"), "snapshot_id", "idx")
+    return dedup.repeats_of(named, "snapshot_id", ["shard_id", "idx"]).select("shard_id", "doc_id", "digest", "snapshot_id")
 
 
 def token_records(records: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -109,18 +145,36 @@ def token_records(records: DataFrame, tokenizer: str | None = None) -> DataFrame
     return records.select(F.col("uri_id").alias("input_id"), F.concat_ws("/", "uri_id", F.col("idx").cast("string")).alias("doc_id"), "snapshot_id", n.alias("num_tokens"))
 
 
-def prepare_models(corpora: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Models (corpus, bucket, cnt) and rates (corpus, lambda) of corpora that have doc_id and text."""
+def prepare_models(corpora: dict[str, DataFrame], by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Models (corpus, bucket, cnt) and rates (corpus, lambda) of corpora that have a text; for each ``language`` where ``by`` names that column."""
     models = rates = None
+    own = [F.col(by).alias("language")] if by else []
     for name, docs in sorted(corpora.items()):
-        m = importance.ngram_model(docs).select(F.lit(name).alias("corpus"), "bucket", "cnt")
-        r = importance.mean_words(docs).select(F.lit(name).alias("corpus"), "lambda")
+        m = importance.ngram_model(docs, by=by).select(F.lit(name).alias("corpus"), *own, "bucket", "cnt")
+        r = importance.mean_words(docs, by=by).select(F.lit(name).alias("corpus"), *own, "lambda")
         models, rates = (m, r) if models is None else (models.unionByName(m), rates.unionByName(r))
     return models, rates
 
 
-def write_signals(spark: SparkSession, paths: list[str], out: str, **kw) -> None:
-    """Signals as gzipped JSON lines and band keys as Parquet, a folder for each shard."""
-    records = corpus.read_jsonl(spark, paths)
-    corpus.write_jsonl(annotate_records(records, **kw).withColumn("shard", F.col("metadata.shard_id")), f"{out}/signals", "shard")
-    corpus.write_parquet(minhash_records(records), f"{out}/minhash", "shard_id")
+def write_classifier(targets: list[DataFrame], rest: DataFrame, path: str, per_class: int = 75_000) -> None:
+    """Train a classifier of the target corpora against the rest, on ``per_class`` rows of each at most, and save it.
+
+    Rows are chosen by the hashes of their texts.
+    """
+    flat = lambda x: x.where("text IS NOT NULL").select(X.classifier_text(F.col("text")).alias("text"))
+    rows = importance.balanced([flat(t) for t in targets], flat(rest), per_class, F.xxhash64("text"))
+    importance.train_classifier(rows).write().overwrite().save(path)
+
+
+def write_signals(spark: SparkSession, paths: list[str], out: str, max_docs: int = -1, **kw) -> int:
+    """Signals as gzipped JSON lines and band keys as Parquet, a folder for each shard; the number of records.
+
+    Texts are read once: what both outputs take of them is written to the shared folder in one pass.
+    """
+    records = corpus.read_jsonl(spark, paths, max_samples=max_docs)
+    both = write_shared(annotate_records(records, keep_bands=True, **kw), "annotated")
+    shard = F.col("metadata.shard_id").alias("shard")
+    corpus.write_jsonl(both.select("id", "id_int", "metadata", "quality_signals", shard), f"{out}/signals", "shard", "append")
+    bands = [F.col(f"`signature_sim{t}`") for t in dedup.THRESHOLDS]
+    corpus.write_parquet(both.select(F.col("metadata.shard_id").alias("shard_id"), "id", "id_int", *bands), f"{out}/minhash", "shard_id", "append")
+    return both.count()

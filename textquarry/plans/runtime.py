@@ -111,6 +111,20 @@ def is_file_scan(df: DataFrame) -> bool:
     return bool({"LogicalRelation", "Relation"} & set(names)) and set(names) <= _STABLE_NODES
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where a scan would keep most of them idle, such as a file of one row group; unchanged otherwise.
+
+    Only for work that costs more than moving the rows. The filled splits are counted from the files' footers.
+    """
+    if not is_file_scan(df):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= 4 * cores:
+        return df
+    filled = df.select(F.spark_partition_id().alias("p")).distinct().count()
+    return df if 2 * filled >= cores else df.repartition(cores)
+
+
 def broadcast_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get("textquarry.broadcast.bytes", None) or BROADCAST_BYTES)
 

@@ -11,7 +11,7 @@ from textquarry.functions import text as X
 from textquarry.functions.lexicons import BAD_WORDS, CATEGORIES, DOMAIN_CATEGORIES
 from textquarry.operators import dedup, importance, sampling, signals
 from textquarry.oracles import oracle_sql as oracle_sql
-from textquarry.plans.runtime import write_shared
+from textquarry.plans.runtime import spread, write_shared
 from textquarry.sources import corpus
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -33,6 +33,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents' columns, over all cores even where their file is one row group."""
+    return spread(docs(spark, sf_dir).select(*columns))
+
+
 def _bucket(c: Column) -> Column:
     return F.when(c % 3 == 0, "head").when(c % 3 == 1, "middle").otherwise("tail")
 
@@ -86,12 +91,12 @@ def _norm() -> Column:
 
 
 def _words(spark, sf_dir) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", "lang", _norm().alias("norm")).select("doc_id", "lang", X.norm_words(F.col("norm")).alias("w"))
+    return spread_docs(spark, sf_dir, "doc_id", "lang", "text").select("doc_id", "lang", _norm().alias("norm")).select("doc_id", "lang", X.norm_words(F.col("norm")).alias("w"))
 
 
 @query
 def text_normalize(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", _norm().alias("norm"))
+    return spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", _norm().alias("norm"))
 
 
 @query
@@ -101,7 +106,7 @@ def norm_words(spark, sf_dir):
 
 @query
 def raw_words(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id", X.raw_words(F.col("text")).alias("w"))
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", X.raw_words(F.col("text")).alias("w"))
     return rows.select("doc_id", F.size("w").cast("bigint").alias("n"), F.array_join("w", "|").alias("words"))
 
 
@@ -124,7 +129,7 @@ def _by_line(rows: DataFrame, lines: Column) -> DataFrame:
 
 @query
 def split_lines(spark, sf_dir):
-    rows = _by_line(docs(spark, sf_dir), X.line_spans(F.col("text")))
+    rows = _by_line(spread_docs(spark, sf_dir, "doc_id", "text"), X.line_spans(F.col("text")))
     return rows.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), F.col("x.text").alias("line"))
 
 
@@ -181,7 +186,7 @@ def sig_passthrough(spark, sf_dir):
 def _doc_signal(name: str, digits: int | None = None) -> Query:
     def run(spark, sf_dir):
         c = signals.DOC_SIGNALS[name]()
-        return signals.prepared(docs(spark, sf_dir)).select("doc_id", (F.round(c, digits) + F.lit(0.0) if digits else c).alias("score"))
+        return signals.prepared(spread_docs(spark, sf_dir, "doc_id", "text", "lang")).select("doc_id", (F.round(c, digits) + F.lit(0.0) if digits else c).alias("score"))
 
     return run
 
@@ -191,14 +196,13 @@ _QUERIES |= {name: _doc_signal(name, 6 if name.endswith("entropy") else None) fo
 
 def _line_signal(name: str) -> Query:
     def run(spark, sf_dir):
-        rows = signals.prepared(docs(spark, sf_dir))
-        rows = rows.withColumn("s", signals.line_scores(name)) if name in signals.LINE_SIGNALS else signals.numeric_lines(rows, "s")
-        return _by_line(rows, F.col("s")).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), F.col("x.score").alias("score"))
+        rows = signals.prepared(spread_docs(spark, sf_dir, "doc_id", "text", "lang"))
+        return _by_line(rows, signals.line_scores(name)).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), F.col("x.score").alias("score"))
 
     return run
 
 
-_QUERIES |= {name: _line_signal(name) for name in [*signals.LINE_SIGNALS, "rps_lines_numerical_chars_fraction"]}
+_QUERIES |= {name: _line_signal(name) for name in signals.MEASURED}
 
 
 @query
@@ -231,14 +235,25 @@ def rps_doc_ut1_blacklist(spark, sf_dir):
 @query
 def quality_signals(spark, sf_dir):
     """The whole annotated record of every document."""
-    rows = docs(spark, sf_dir).withColumn("_nl", F.size(X.lines(F.col("text"))))
+    rows = spread_docs(spark, sf_dir, "doc_id", "source", "text", "lang", "n_chars").withColumn("_nl", F.size(X.lines(F.col("text"))))
     return signals.annotate(rows, "doc_id", "source", corpus=signals.passthrough(rows, {"ccnet_length": "n_chars", "ccnet_nlines": "_nl"}))
 
 
+@query
+def quality_signals_long(spark, sf_dir):
+    """Every number of the annotated records: doc_id, signal, start_pos, end_pos, score."""
+    names = [*signals.DOC_SIGNALS, *signals.MEASURED]
+    rows = signals.all_line_scores(signals.prepared(spread_docs(spark, sf_dir, "doc_id", "text", "lang")))
+    whole = lambda c: F.array(F.struct(F.lit(0).alias("start"), F.length("_text").alias("end"), c.cast("double").alias("score")))
+    each = F.array(*[F.struct(F.lit(n).alias("signal"), (whole(signals.DOC_SIGNALS[n]()) if n in signals.DOC_SIGNALS else F.col(n).cast(signals.SPAN)).alias("spans")) for n in names])
+    found = rows.select("doc_id", F.explode(each).alias("s")).select("doc_id", "s.signal", F.explode("s.spans").alias("x"))
+    return found.select("doc_id", "signal", F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), (F.round("x.score", 6) + F.lit(0.0)).alias("score"))
+
+
 @query
 def linear_score(spark, sf_dir):
     weights = spark.range(importance.BUCKETS).select(F.col("id").cast("int").alias("bucket"), (((F.col("id") * 7919) % 2001 - 1000) / 1000.0).alias("weight"))
-    return importance.linear_score(docs(spark, sf_dir), weights).select("doc_id", F.round("score", 6).alias("score"))
+    return importance.linear_score(spread_docs(spark, sf_dir, "doc_id", "text"), weights).select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query
@@ -253,12 +268,12 @@ def ml_quality_score(spark, sf_dir):
 
 @query
 def hash_features(spark, sf_dir):
-    return importance.hash_features(docs(spark, sf_dir))
+    return importance.hash_features(spread_docs(spark, sf_dir, "doc_id", "text"))
 
 
 @query
 def dsir_counts(spark, sf_dir):
-    return importance.ngram_model(docs(spark, sf_dir))
+    return importance.ngram_model(spread_docs(spark, sf_dir, "doc_id", "text"))
 
 
 @query
@@ -267,15 +282,18 @@ def dsir_lambda(spark, sf_dir):
 
 
 def _corpora(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    rows = docs(spark, sf_dir)
+    rows = spread_docs(spark, sf_dir, "doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return rows.join(good, "doc_id", "left_semi"), rows
 
 
 def _importance(spark, sf_dir) -> DataFrame:
-    target, rest = _corpora(spark, sf_dir)
-    ratios = write_shared(importance.log_ratios(importance.ngram_model(target), importance.ngram_model(rest)), "ratios")
-    return importance.importance(rest, ratios)
+    rows = spread_docs(spark, sf_dir, "doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit("good").alias("part")).distinct()
+    # one pass counts the target and the rest; the source model is both
+    counts = write_shared(importance.ngram_model(rows.join(good, "doc_id", "left"), by="part"), "counts")
+    target, source = counts.where("part = 'good'").select("bucket", "cnt"), counts.groupBy("bucket").agg(F.sum("cnt").alias("cnt"))
+    return importance.importance(rows, importance.log_ratios(target, source))
 
 
 @query
@@ -298,13 +316,18 @@ def token_count(spark, sf_dir):
 
 @query
 def token_totals(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("lang", "source", sampling.word_token_count(F.col("text")).alias("n"))
+    rows = spread_docs(spark, sf_dir, "lang", "source", "text").select("lang", "source", sampling.word_token_count(F.col("text")).alias("n"))
     return rows.groupBy("lang", "source").agg(F.count("*").alias("n_docs"), F.sum("n").alias("num_tokens"))
 
 
 @query
 def token_count_pretrained(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", sampling.pretrained_token_count(F.col("text"), TOKENIZER).alias("num_tokens"))
+    return spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", sampling.pretrained_token_count(F.col("text"), TOKENIZER).alias("num_tokens"))
+
+
+@query
+def seeded_shuffle(spark, sf_dir):
+    return sampling.shuffled(docs(spark, sf_dir).select("doc_id"), 42, ["doc_id"], key="shuffle_key")
 
 
 @query
@@ -339,12 +362,13 @@ def lsh_parameters(spark, sf_dir):
 
 @query
 def minhash_min_k(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id", dedup.signatures(_norm(), 4).alias("s")).where("s IS NOT NULL")
+    """All slots of every signature."""
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s")).where("s IS NOT NULL")
     return rows.select("doc_id", F.posexplode("s").alias("perm", "min_hash"))
 
 
 def _banded(spark, sf_dir) -> DataFrame:
-    rows = docs(spark, sf_dir).select("doc_id", dedup.signatures(_norm()).alias("s"))
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s"))
     return write_shared(rows.select("doc_id", dedup.bands(F.col("s"), CLUSTER_THRESHOLD).alias("keys")), "bands")
 
 
@@ -353,6 +377,14 @@ def minhash_bands(spark, sf_dir):
     return _banded(spark, sf_dir).where("keys IS NOT NULL").select("doc_id", F.posexplode("keys").alias("band", "key"))
 
 
+@query
+def minhash_bands_all(spark, sf_dir):
+    """Band keys at all four thresholds."""
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s")).where("s IS NOT NULL")
+    each = F.array(*[F.struct(F.lit(t).alias("threshold"), dedup.bands(F.col("s"), t).alias("keys")) for t in dedup.THRESHOLDS])
+    return rows.select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.threshold", F.posexplode("t.keys").alias("band", "key"))
+
+
 @query
 def lsh_edges(spark, sf_dir):
     return dedup.lsh_edges(_banded(spark, sf_dir), "doc_id", "keys")
