@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import gather, ragged, release, runs, text_bytes
 from textquarry.llm.words import word_hashes
-from textquarry.plans.runtime import small_batches, write_shared
+from textquarry.plans.runtime import small_batches, spread, write_shared
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
@@ -328,7 +328,7 @@ def word_counts(docs: DataFrame, pattern: str = PATTERN, chunk_bytes: int = CHUN
             yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(cut.word, minlength=len(words)), pa.int64())], ["word", "n"])
             release()
 
-    return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return spread(docs.select("text")).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def word_table(docs: DataFrame, vocabulary: Broadcast, pattern: str = PATTERN, most: int = TABLE_WORDS, chunk_bytes: int = CHUNK_BYTES) -> WordTable:
@@ -417,4 +417,4 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
             del table, text, flat, cuts, back, raw, ids
             release()
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ENCODED)
+    return spread(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).mapInArrow(run, ENCODED)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textquarry.plans.runtime import small_batches
+from textquarry.plans.runtime import small_batches, spread
 
 TRAIN_PAGES = 2000
 BATCH_CHARS = 4 << 20
@@ -349,4 +349,4 @@ def extract_pages(pages: DataFrame, model: Model | None = None) -> DataFrame:
         rows += extract(held, fitted) if held else []
         return pa.array(rows, pa.struct([("text", pa.string()), ("n_nodes", pa.int32()), ("n_kept", pa.int32()), ("certainty", pa.float64())]))
 
-    return pages.select("page_id", "url", text("html").alias("x")).select("page_id", "url", "x.*")
+    return spread(pages.select("page_id", "url", "html")).select("page_id", "url", text("html").alias("x")).select("page_id", "url", "x.*")

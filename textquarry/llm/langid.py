@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import release, runs, text_bytes
-from textquarry.plans.runtime import small_batches, unused_name
+from textquarry.plans.runtime import small_batches, spread, unused_name
 
 BUCKETS = 1 << 13
 TRAIN_TEXTS_PER_LANG = 2000
@@ -166,7 +166,7 @@ def with_verdict(docs: DataFrame, model=None, column: str = "_verdict") -> DataF
         release()
         return out
 
-    return docs.withColumn(column, verdict(F.lower("text")))
+    return spread(docs).withColumn(column, verdict(F.lower("text")))
 
 
 def identify(docs: DataFrame, model=None) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textquarry.plans.runtime import small_batches, write_shared
+from textquarry.plans.runtime import small_batches, spread, write_shared
 
 CONTEXT = 80
 #: Bytes of a text's own words that its candidates are measured with; of more, those that it uses most.
@@ -267,7 +267,7 @@ def corpus_identifiers(docs: DataFrame, size: int = CORPUS_BYTES) -> list[str]:
                     held.clear()
         yield counts()
 
-    words = write_shared(docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 AND length(word) <= 64"), "identifiers")
+    words = write_shared(spread(docs.select("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 AND length(word) <= 64"), "identifiers")
     found = []
     for joined in (False, True):
         some = words.where(F.col("word").rlike(_JOINED_WORD.pattern) == joined).orderBy(F.desc("n"), "word").limit(size // 8).collect()  # three letters and a space at least: size / 2 bytes
@@ -297,7 +297,7 @@ def secret_spans(docs: DataFrame, column: str = "_secrets", least: float = MIN_N
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("novel_bytes", pa.int32()), ("novelty", pa.float64()), ("keyword", pa.string())]))
         return pa.array(rows, kind)
 
-    return docs.where(F.col("text").rlike(WORDS)).withColumn(column, found("text"))
+    return spread(docs).where(F.col("text").rlike(WORDS)).withColumn(column, found("text"))
 
 
 def secrets(docs: DataFrame, least: float = MIN_NOVELTY, identifiers: list[str] | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from textquarry.llm.arrays import gather, release, runs, text_bytes
 from textquarry.llm.words import Words, fold_bytes, framed
-from textquarry.plans.runtime import join_checked, small_batches, with_row_id, write_shared
+from textquarry.plans.runtime import join_checked, small_batches, spread, with_row_id, write_shared
 
 LENGTH = 50
 SEED = 10
@@ -164,7 +164,7 @@ def find_seeds(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataF
                 yield pa.RecordBatch.from_arrays(columns, ["_rid", "seed", "low", "n", "same"])
             release()
 
-    return docs.select("_rid", framed().alias("text")).mapInArrow(run, SEEDS)
+    return spread(docs.select("_rid", "text")).select("_rid", framed().alias("text")).mapInArrow(run, SEEDS)
 
 
 def _segments(batches, length: int):
