@@ -125,6 +125,29 @@ def test_grams_against_brute_force(spark):
     assert {r["bucket"]: r["n"] for r in parts.collect()} == {r["bucket"]: r["cnt"] for r in importance.ngram_model(df).collect()}
 
 
+def test_pretrained_token_counts(spark):
+    from tokenizers import Tokenizer
+
+    from textquarry.queries import TOKENIZER
+
+    texts = ["", None, "one two", "Ünï código " * 50, "x" * 3000]
+    held = Tokenizer.from_file(TOKENIZER)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
+    got = {r["doc_id"]: r["n"] for r in df.select("doc_id", sampling.pretrained_token_count(F.col("text"), TOKENIZER).alias("n")).collect()}
+    assert got == {k: len(held.encode(t or "").ids) for k, t in enumerate(texts)}
+
+
+def test_tables_of_the_session_can_be_dropped(spark):
+    from textquarry.plans import runtime
+
+    before = len(runtime.shared_tables(spark))
+    kept, gone = (runtime.write_shared(spark.range(3).withColumnRenamed("id", "a.b"), "x") for _ in range(2))
+    runtime.drop_shared(spark, runtime.shared_tables(spark)[before + 1 :])
+    assert kept.count() == 3 and len(runtime.shared_tables(spark)) == before + 1
+    with pytest.raises(Exception):
+        gone.collect()
+
+
 def test_user_signals(spark):
     from textquarry.operators import signals
 
@@ -218,6 +241,7 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, shard string")
     corpus.write_jsonl(df, str(tmp_path / "j"), "shard")
     corpus.write_parquet(df, str(tmp_path / "p"), "shard")
+    assert corpus.read_parquet(spark, [str(tmp_path / "p")], df.schema).orderBy("x").collect() == df.orderBy("x").collect()
     assert spark.read.json(str(tmp_path / "j")).count() == spark.read.parquet(str(tmp_path / "p")).count() == 2
 
 

@@ -12,7 +12,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,7 +127,8 @@ def mean_words(docs: DataFrame, text: str = "text", by: str | None = None) -> Da
 
 def log_ratios(target: DataFrame, source: DataFrame) -> DataFrame:
     """bucket, lr = ln(p + floor) - ln(q + floor); a bucket that one model lacks counts 0 there. At most BUCKETS rows."""
-    share = lambda m, name: m.crossJoin(F.broadcast(m.agg(F.sum("cnt").alias("t")))).select("bucket", (F.col("cnt") / F.col("t")).alias(name))
+    every = Window.partitionBy(F.lit(0))  # one task for BUCKETS rows
+    share = lambda m, name: m.select("bucket", (F.col("cnt") / F.sum("cnt").over(every)).alias(name))
     both = share(target, "p").join(share(source, "q"), "bucket", "full_outer")
     ln = lambda c: F.ln(F.coalesce(F.col(c), F.lit(0.0)) + FLOOR)
     return both.select("bucket", (ln("p") - ln("q")).alias("lr"))

@@ -4,10 +4,20 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
+
 from textquarry.functions.lexicons import BAD_WORDS, CATEGORIES, DOMAIN_CATEGORIES, STOP_WORDS
-from textquarry.functions.text import BREAK, BULLETS, LINE, PUNCTUATION, RAW_WORD, SENTENCE, SPACE
-from textquarry.operators import dedup
 
+#: Patterns, band shapes and permutations are spelled out here, so that a wrong one in the operators shows.
+WORD = r"[\p{L}\p{N}_]"
+SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+RAW_WORD = rf"{WORD}+|[^\p{{L}}\p{{N}}_{SPACE}]+"
+LINE = r"[^\n]*\n|[^\n]+"
+SENTENCE = rf"[^.!?]*{WORD}[^.!?]*"
+BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+BULLETS = "•‣▶◀◦■□▪▫–"
+BANDS = {0.7: (14, 9), 0.8: (9, 13), 0.9: (5, 25), 1.0: (1, 128)}
 BUCKETS = 10_000
 
 
@@ -118,8 +128,9 @@ SELECT d.doc_id, round(CASE WHEN length(replace(norm, ' ', '')) > 0 THEN coalesc
 
 
 def permutation_rows(n: int) -> str:
-    a, b = dedup.permutations()
-    return "VALUES " + ", ".join(f"({k}, {int(a[k])}::HUGEINT, {int(b[k])}::HUGEINT)" for k in range(n))
+    draw, top = np.random.RandomState(42), (1 << 61) - 1
+    pairs = [(int(draw.randint(1, top, dtype=np.uint64)), int(draw.randint(0, top, dtype=np.uint64))) for _ in range(n)]
+    return "VALUES " + ", ".join(f"({k}, {a}::HUGEINT, {b}::HUGEINT)" for k, (a, b) in enumerate(pairs))
 
 
 def minhash(n: int) -> str:
@@ -130,7 +141,7 @@ def minhash(n: int) -> str:
 
 
 def banded(threshold: float) -> str:
-    bands, rows = dedup.optimal_bands(threshold)
+    bands, rows = BANDS[threshold]
     return f"""{minhash(bands * rows)},
   bands AS (SELECT doc_id, CAST(j // {rows} AS INTEGER) AS band, string_agg(printf('%08X', v), '' ORDER BY j) AS key FROM sig GROUP BY doc_id, j // {rows})"""
 
@@ -236,9 +247,9 @@ SELECT doc_id, CAST(k // 3 AS INTEGER) AS chunk, string_agg(line, chr(10) ORDER
         "exact_dup": "SELECT source AS shard_id, doc_id, sha1(text) AS digest FROM documents QUALIFY row_number() OVER (PARTITION BY sha1(text) ORDER BY source DESC, doc_id) > 1",
         "dup_stats_by_source": "SELECT shard_id, count(*) AS n_duplicates FROM (SELECT source AS shard_id FROM documents QUALIFY row_number() OVER (PARTITION BY sha1(text) ORDER BY source DESC, doc_id) > 1) GROUP BY shard_id",
         "minhash_min_k": f"{minhash(128)} SELECT doc_id, CAST(j AS INTEGER) AS perm, v AS min_hash FROM sig",
-        "minhash_bands_all": f"""{minhash(128)}, sizes(threshold, bands, rows) AS (VALUES (0.7::DOUBLE, 14, 9), (0.8, 9, 13), (0.9, 5, 25), (1.0, 1, 128))
+        "minhash_bands_all": f"""{minhash(128)}, sizes(threshold, bands, rows) AS (VALUES {", ".join(f"({t}::DOUBLE, {b}, {r})" for t, (b, r) in BANDS.items())})
 SELECT doc_id, threshold, CAST(j // rows AS INTEGER) AS band, string_agg(printf('%08X', v), '' ORDER BY j) AS key FROM sig, sizes WHERE j < bands * rows GROUP BY doc_id, threshold, j // rows""",
-        "lsh_parameters": f"""WITH thresholds(threshold) AS (VALUES {", ".join(f"({t}::DOUBLE)" for t in dedup.THRESHOLDS)}),
+        "lsh_parameters": f"""WITH thresholds(threshold) AS (VALUES {", ".join(f"({t}::DOUBLE)" for t in BANDS)}),
   shapes AS (SELECT b, r FROM (SELECT unnest(range(1, 129)) AS b), (SELECT unnest(range(1, 129)) AS r) WHERE b * r <= 128),
   steps AS (SELECT (i + 0.5) / 4000 AS x FROM (SELECT unnest(range(0, 4000)) AS i)),
   areas AS (SELECT threshold, b, r, avg(CASE WHEN x < threshold THEN 1 - pow(1 - pow(x, r), b) ELSE pow(1 - pow(x, r), b) END) AS error FROM thresholds, shapes, steps GROUP BY ALL)

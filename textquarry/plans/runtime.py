@@ -77,17 +77,25 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{session_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    shared_tables(spark).append(path)
     return spark.read.schema(df.schema).parquet(path).select(*[quoted(c) for c in df.columns])
 
 
-def clear_shared(spark: SparkSession) -> None:
-    """Delete every table that this session has written so far; results that still read one can't be used any more."""
+def shared_tables(spark: SparkSession) -> list[str]:
+    """Paths of the tables that this session has written so far and not dropped."""
     sc = spark.sparkContext
-    at = sc._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
-    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
-    for held in fs.listStatus(at):
-        if held.isDirectory():
-            fs.delete(held.getPath(), True)
+    if not hasattr(sc, "_textquarry_tables"):
+        sc._textquarry_tables = []
+    return sc._textquarry_tables
+
+
+def drop_shared(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``shared_tables``; results that still read one can't be used any more."""
+    sc, held = spark.sparkContext, shared_tables(spark)
+    for path in paths:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+    held[:] = [p for p in held if p not in set(paths)]
 
 
 def quoted(name: str) -> str:
