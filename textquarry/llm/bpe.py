@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that goes with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK_BYTES = 2 << 20
+CHUNKS_TOGETHER = 6
 #: Words that the table holds at most, the most used ones of the corpus; about 40 bytes each in every worker.
 TABLE_WORDS = 1 << 19
 
@@ -54,6 +57,7 @@ class Vocabulary:
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     pairs[a * self.size + b] = rank
+        self._pairs = pairs
         keys = np.array(sorted(pairs), np.int64)
         values = np.array([pairs[k] for k in keys.tolist()], np.int64)
         bits = max(4, int(len(keys) * 4).bit_length())
@@ -75,6 +79,8 @@ class Vocabulary:
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 where it makes none."""
         keys = left.astype(np.int64) * self.size + right
+        if len(keys) <= 24:  # most merges of rare words: whole-array steps would cost more than the work
+            return np.array([self._pairs.get(k, -1) for k in keys.tolist()], np.int64)
         at = self._slot(keys)
         out = np.full(len(keys), -1, np.int64)
         open_ = np.arange(len(keys))
@@ -259,7 +265,8 @@ class Cut:
             hashes.append(word_hashes(part, at, np.append(at[1:], len(part)) if len(at) else at))
             places.append(at + offsets[a])
         self.starts = np.concatenate(places)
-        self.word, self.hashes = pd.factorize(np.concatenate(hashes))
+        word, self.hashes = pd.factorize(np.concatenate(hashes))
+        self.word = word.astype(np.int32)
         first = np.empty(len(self.hashes), np.int64)
         first[self.word[::-1]] = np.arange(len(self.word))[::-1]
         self.first = self.starts[first]
@@ -287,34 +294,45 @@ class WordTable:
         return np.where(self.hashes[at] == hashes, at, -1)
 
 
-def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN, table: WordTable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token ids of all texts, end to end, the n+1 offsets by text, and the decoded bytes; a null text has none."""
-    cut = Cut(text, pattern)
-    x, word = cut.data, cut.word
-    known = table.find(cut.hashes) if table is not None else np.full(len(cut.hashes), -1)
-    new, old = np.flatnonzero(known < 0), np.flatnonzero(known >= 0)
-    ids, bounds = replay(*cut.words(new), vocabulary)
-    counts = np.empty(len(known), np.int64)
-    counts[new] = np.diff(bounds)
-    if len(old):
-        held = known[old]
-        counts[old] = table.counts[held]
-        own = table.ids[gather(table.starts[held], counts[old])]
-        places = np.empty(len(known), np.int64)
-        places[new], places[old] = bounds[:-1], len(ids) + np.cumsum(counts[old]) - counts[old]
-        ids = np.concatenate([ids, own])
-    else:
-        places = bounds[:-1]
-    many = counts[word]
-    flat = ids[gather(places[word], many)]
-    cuts = np.concatenate([[0], np.cumsum(many)])
-    flat_cuts = cuts[np.searchsorted(cut.starts, cut.offsets)]
-    back = vocabulary.decode(flat)
-    if len(back) != len(x) or (back != x).any():  # two words with one hash: replay every word by itself
-        flat, bounds = replay(x, np.append(cut.starts, len(x)), vocabulary)
-        flat_cuts = bounds[np.searchsorted(cut.starts, cut.offsets)]
+def encode_all(texts: list[pa.Array], vocabulary: Vocabulary, pattern: str = PATTERN, table: WordTable | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each array of texts their token ids, end to end, the n+1 offsets by text, and the decoded bytes; a null text has none.
+
+    The words that the table has not, of all arrays, are replayed together.
+    """
+    cuts_of = [Cut(text, pattern) for text in texts]
+    known = [table.find(cut.hashes) if table is not None else np.full(len(cut.hashes), -1) for cut in cuts_of]
+    fresh = [cut.words(np.flatnonzero(at < 0)) for cut, at in zip(cuts_of, known)]
+    sizes = [np.diff(offsets) for _, offsets in fresh]
+    new_ids, new_bounds = replay(np.concatenate([x for x, _ in fresh]), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), vocabulary) if fresh else (None, None)
+    first = 0
+    for cut, at, own_sizes in zip(cuts_of, known, sizes):
+        x, word = cut.data, cut.word
+        new, old = np.flatnonzero(at < 0), np.flatnonzero(at >= 0)
+        bounds = new_bounds[first : first + len(own_sizes) + 1]
+        first += len(own_sizes)
+        ids = new_ids[bounds[0] : bounds[-1]]
+        counts, places = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        counts[new], places[new] = np.diff(bounds), bounds[:-1] - bounds[0]
+        if len(old):
+            held = at[old]
+            counts[old] = table.counts[held]
+            places[old] = len(ids) + np.cumsum(counts[old]) - counts[old]
+            ids = np.concatenate([ids, table.ids[gather(table.starts[held], counts[old])]])
+        many = counts[word]
+        flat = ids[gather(places[word], many)]
+        cuts = np.concatenate([[0], np.cumsum(many)])
+        flat_cuts = cuts[np.searchsorted(cut.starts, cut.offsets)]
         back = vocabulary.decode(flat)
-    return flat, flat_cuts, back
+        if len(back) != len(x) or (back != x).any():  # two words with one hash: replay every word by itself
+            flat, bounds = replay(x, np.append(cut.starts, len(x)), vocabulary)
+            flat_cuts = bounds[np.searchsorted(cut.starts, cut.offsets)]
+            back = vocabulary.decode(flat)
+        yield flat, flat_cuts, back
+
+
+def encode(text: pa.Array, vocabulary: Vocabulary, pattern: str = PATTERN, table: WordTable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``encode_all`` of one array."""
+    return next(encode_all([text], vocabulary, pattern, table))
 
 
 def word_counts(docs: DataFrame, pattern: str = PATTERN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -389,11 +407,18 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
     held = sc.broadcast(load_vocabulary(path))
     known = sc.broadcast(word_table(docs, held, pattern, table_words, chunk_bytes))
 
+    def encoded(tables, vocabulary):
+        """Chunks with their ids; the words of several that the table has not share one replay."""
+        more = True
+        while more:
+            some = list(islice(tables, CHUNKS_TOGETHER))
+            more = len(some) == CHUNKS_TOGETHER
+            yield from zip(some, encode_all([x["text"].combine_chunks() for x in some], vocabulary, pattern, known.value))
+
     def run(batches):
         vocabulary = held.value
-        for table in chunks(batches, chunk_bytes):
+        for table, (flat, cuts, back) in encoded(chunks(batches, chunk_bytes), vocabulary):
             text = table["text"].combine_chunks()
-            flat, cuts, back = encode(text, vocabulary, pattern, known.value)
             raw, offsets = text_bytes(text)
             sums = np.concatenate([[0], np.cumsum(vocabulary.lengths[flat])])[cuts]
             ok = np.diff(sums) == np.diff(offsets)
@@ -414,7 +439,6 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
                 good = pa.array(ok[at:end], pa.bool_(), mask=null[at:end])
                 yield pa.RecordBatch.from_arrays([table["doc_id"].slice(at, end - at).combine_chunks(), count, ids, good], ["doc_id", "n_tokens", "token_ids", "decoded_ok"])
                 at = end
-            del table, text, flat, cuts, back, raw, ids
             release()
 
     return spread(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).mapInArrow(run, ENCODED)
