@@ -179,6 +179,7 @@ def oracle_sql() -> dict[str, str]:
         "token_listing": f"WITH {PATHS} SELECT doc_id, path, substr(path, 1, 7) AS snapshot_id, substr(path, 9, 4) AS shard_id, regexp_extract(path, '([a-z]+_[a-z]+)\\.json', 1) AS lang_bucket FROM paths WHERE path LIKE '2023-11/%'",
         "snapshot_extract": f"WITH {PATHS} SELECT doc_id, substr(path, 1, 7) AS snapshot_id, path AS uri_id FROM paths",
         "bucket_code": "SELECT doc_id, CAST(CASE doc_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 END AS DOUBLE) AS score FROM documents",
+        "jsonl_round_trip": "SELECT doc_id, sha1(text) AS text_hash, lang AS language, n_chars AS length FROM documents",
         "partition_by_shard": "SELECT source AS shard_id, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY source",
         "text_normalize": f"WITH {BASE} SELECT doc_id, norm FROM docs",
         "norm_words": f"WITH {BASE} SELECT doc_id, CAST(len(nw) AS BIGINT) AS n, array_to_string(nw, '|') AS words FROM docs",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from textquarry.functions import text as X
 from textquarry.functions.lexicons import BAD_WORDS, CATEGORIES, DOMAIN_CATEGORIES
 from textquarry.operators import dedup, importance, sampling, signals
 from textquarry.oracles import oracle_sql as oracle_sql
-from textquarry.plans.runtime import spread, write_shared
+from textquarry.plans.runtime import session_dir, spread, write_shared
 from textquarry.sources import corpus
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -81,9 +82,25 @@ def bucket_code(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", X.bucket_code(name).alias("score"))
 
 
+def _sink(spark, name: str) -> str:
+    return f"{session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def jsonl_round_trip(spark, sf_dir):
+    """Crawl records written as gzipped JSON lines, a folder for each shard, and read back."""
+    rows = docs(spark, sf_dir).select(F.col("text").alias("raw_content"), F.col("lang").alias("language"), F.col("n_chars").alias("length"), F.col("doc_id").cast("string").alias("digest"), F.col("source").alias("shard"))
+    corpus.write_jsonl(rows, path := _sink(spark, "records"), "shard")
+    back = corpus.read_jsonl(spark, f"{path}/*")
+    return back.select(F.col("digest").cast("bigint").alias("doc_id"), F.sha1("raw_content").alias("text_hash"), "language", "length")
+
+
 @query
 def partition_by_shard(spark, sf_dir):
-    return docs(spark, sf_dir).groupBy(F.col("source").alias("shard_id")).agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
+    """The table written as Parquet, a folder for each shard, and counted by folder."""
+    rows = docs(spark, sf_dir).select("doc_id", "n_chars", F.col("source").alias("shard_id"))
+    corpus.write_parquet(rows, path := _sink(spark, "shards"), "shard_id")
+    return corpus.read_parquet(spark, [path], rows.schema).groupBy("shard_id").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
 
 
 def _norm() -> Column:
