@@ -170,11 +170,19 @@ def with_verdict(docs: DataFrame, model=None, column: str = "_verdict") -> DataF
 
 
 def identify(docs: DataFrame, model=None) -> DataFrame:
-    """One row a document: doc_id, lang, langs, shares, n_grams, rejected."""
+    """One row a document: doc_id, lang, langs, shares, n_grams, rejected.
+
+    Null, empty and letterless texts are ``und``, share 1.0, rejected; so is every text where no row is labelled. Very long
+    texts are read whole, repeated rows get the same verdict each, ties of shares keep the order of the names. Null ids
+    stay null. An empty table gives no rows. Columns but doc_id, text and lang play no part, whatever their names.
+    """
     return with_verdict(docs.select("doc_id", "text", "lang"), model).select("doc_id", "_verdict.*")
 
 
 def keep_identified(docs: DataFrame, model=None) -> DataFrame:
-    """The documents with a recognised language, all columns unchanged."""
+    """The documents with a recognised language (see ``identify``), all columns unchanged.
+
+    Null, empty and letterless texts go. The working column takes a name that the table has not.
+    """
     verdict = unused_name(docs, "_verdict")
     return with_verdict(docs, model, verdict).where(~F.col(verdict)["rejected"]).drop(verdict)
