@@ -197,7 +197,7 @@ def near_edges(docs: DataFrame, threshold: float = THRESHOLD, few: int = FEW_FAI
     whatever its size, and the pairs stay in proportion to its members.
     """
     small_batches(docs.sparkSession)
-    sketch = write_shared(spread(docs.select("_rid", "text")).select("_rid", _sketch(framed()).alias("s")).select("_rid", "s.*").where("words > 0"), "sketch")
+    sketch = write_shared(spread(docs.select("_rid", "text")).select("_rid", _sketch(framed()).alias("s")).select("_rid", "s.*"), "sketch").where("words > 0")  # a filter before would sketch every text twice
     same = sketch.groupBy("same").agg(F.min("_rid").alias("dst"), F.count("*").alias("n")).where("n > 1")
     copies = write_shared(join_checked(sketch.select("_rid", "same"), same.select("same", "dst"), "same", "inner", 48).where("_rid <> dst").select(F.col("_rid").alias("src"), "dst"), "copies")
     distinct = join_checked(sketch, copies.select(F.col("src").alias("_rid")), "_rid", "left_anti", 16)
