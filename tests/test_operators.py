@@ -119,8 +119,9 @@ def test_grams_against_brute_force(spark):
     assert {(r["doc_id"], r["bucket"]): r["cnt"] for r in found.collect()} == counts
     scored = importance.importance(df, table)
     assert {r["doc_id"]: r["importance"] for r in scored.collect()} == pytest.approx(sums)
-    for x in (found, scored):
-        assert "Exchange" not in x._jdf.queryExecution().executedPlan().toString()
+    for x in (found, scored, importance.linear_score(df, table.withColumnRenamed("lr", "weight"))):
+        plan = x._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
     parts = importance.ngram_model(df.withColumn("half", F.when(F.col("doc_id") > 3, "b").otherwise("a")), by="half").groupBy("bucket").agg(F.sum("cnt").alias("n"))
     assert {r["bucket"]: r["n"] for r in parts.collect()} == {r["bucket"]: r["cnt"] for r in importance.ngram_model(df).collect()}
 

@@ -146,7 +146,8 @@ def ratio_table(ratios: DataFrame, columns: list[str], buckets: int = BUCKETS) -
 def importance(docs: DataFrame, ratios: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id, importance: sum of the log ratios of a document's n-grams, for documents that have any."""
     sums = gram_sums(F.col("w"), ratio_table(ratios, ["lr"], buckets))
-    return _words(docs, doc_id, text).select("doc_id", sums[0].alias("importance")).where("importance IS NOT NULL")
+    # the outer form keeps Spark from adding up once more to filter
+    return _words(docs, doc_id, text).select("doc_id", F.explode_outer(sums).alias("importance")).where("importance IS NOT NULL")
 
 
 def log_gamma(x: Column) -> Column:
@@ -171,8 +172,9 @@ def length_correction(n: Column, target_rate: Column, source_rate: Column) -> Co
 
 def linear_score(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id, score of a frozen linear model: the logistic function of the mean weight of a document's n-grams."""
-    mean = gram_sums(F.col("w"), ratio_table(weights, ["weight"], buckets), mean=True)[0]
-    return _words(docs, doc_id, text).select("doc_id", (1 / (1 + F.exp(-mean))).alias("score")).where("score IS NOT NULL")
+    mean = gram_sums(F.col("w"), ratio_table(weights, ["weight"], buckets), mean=True)
+    rows = _words(docs, doc_id, text).select("doc_id", F.explode_outer(mean).alias("mean")).where("mean IS NOT NULL")
+    return rows.select("doc_id", (1 / (1 + F.exp(-F.col("mean")))).alias("score"))
 
 
 def train_classifier(samples: DataFrame, text: str = "text", label: str = "label", buckets: int = 1 << 14):

@@ -380,8 +380,8 @@ def lsh_parameters(spark, sf_dir):
 @query
 def minhash_min_k(spark, sf_dir):
     """All slots of every signature."""
-    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s")).where("s IS NOT NULL")
-    return rows.select("doc_id", F.posexplode("s").alias("perm", "min_hash"))
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s"))
+    return rows.select("doc_id", F.posexplode_outer("s").alias("perm", "min_hash")).where("perm IS NOT NULL")
 
 
 def _banded(spark, sf_dir) -> DataFrame:
@@ -397,9 +397,9 @@ def minhash_bands(spark, sf_dir):
 @query
 def minhash_bands_all(spark, sf_dir):
     """Band keys at all four thresholds."""
-    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s")).where("s IS NOT NULL")
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s"))
     each = F.array(*[F.struct(F.lit(t).alias("threshold"), dedup.bands(F.col("s"), t).alias("keys")) for t in dedup.THRESHOLDS])
-    return rows.select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.threshold", F.posexplode("t.keys").alias("band", "key"))
+    return rows.select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.threshold", F.posexplode_outer("t.keys").alias("band", "key")).where("band IS NOT NULL")
 
 
 @query
