@@ -291,7 +291,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED, sh
         owners = windows.groupBy("seed", "window").agg(F.min("_rid").alias("owner"), F.max("_rid").alias("last")).where("owner < last").drop("last")
         again = windows.join(owners, ["seed", "window"]).where("owner < _rid")
         again = again.groupBy("seed", "same", "owner").agg(F.array_sort(F.collect_list("at")).alias("places")).select("seed", "same", "owner", _joined("places").alias("r"))
-        matched = matched.unionByName(again.select("seed", "same", F.explode("r").alias("r"), "owner").select("seed", "same", "r.low", "r.n", "owner"))
+        matched = matched.unionByName(again.select("seed", "same", F.explode_outer("r").alias("r"), "owner").where("r IS NOT NULL").select("seed", "same", "r.low", "r.n", "owner"))
     matched = matched.groupBy("seed", "same").agg(F.collect_list(F.struct("low", "n", "owner")).alias("runs"))
     runs_of = groups.select("seed", "same", "n", F.col("_rid").alias("first")).join(matched, ["seed", "same"], "left")
     runs_of = write_shared(runs_of.select("seed", "same", _owner_runs("n", "first", "runs").alias("runs")), "runs")
