@@ -256,6 +256,11 @@ def quality_signals(spark, sf_dir):
     return signals.annotate(rows, "doc_id", "source", corpus=signals.passthrough(rows, {"ccnet_length": "n_chars", "ccnet_nlines": "_nl"}))
 
 
+def _rounded(c: Column, digits: int) -> Column:
+    """The double scaled up, rounded half away from zero and scaled down, as DuckDB does it; F.round rounds its decimal spelling, which takes other ties up."""
+    return F.round(c * F.lit(10.0**digits)) / F.lit(10.0**digits)
+
+
 @query
 def quality_signals_long(spark, sf_dir):
     """Every number of the annotated records: doc_id, signal, start_pos, end_pos, score."""
@@ -264,7 +269,7 @@ def quality_signals_long(spark, sf_dir):
     whole = lambda c: F.array(F.struct(F.lit(0).alias("start"), F.length("_text").alias("end"), c.cast("double").alias("score")))
     each = F.array(*[F.struct(F.lit(n).alias("signal"), (whole(signals.DOC_SIGNALS[n]()) if n in signals.DOC_SIGNALS else F.col(n).cast(signals.SPAN)).alias("spans")) for n in names])
     found = rows.select("doc_id", F.explode(each).alias("s")).select("doc_id", "s.signal", F.explode("s.spans").alias("x"))
-    return found.select("doc_id", "signal", F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), (F.round("x.score", 6) + F.lit(0.0)).alias("score"))
+    return found.select("doc_id", "signal", F.col("x.start").cast("bigint").alias("start_pos"), F.col("x.end").cast("bigint").alias("end_pos"), (_rounded(F.col("x.score"), 6) + F.lit(0.0)).alias("score"))
 
 
 @query
