@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -169,6 +170,39 @@ def test_bpe_table(spark):
     assert bpe.encode_decode(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece, clash", [(1, False), (5, False), (40, False), (5, True)])
+def test_bpe_pieces(monkeypatch, piece, clash):
+    monkeypatch.setattr(bpe, "PIECE", piece)
+    if clash:  # all words of one hash
+        monkeypatch.setattr(bpe, "word_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
+    known, vocabulary = reference_encoding_cached(), bpe.load_vocabulary()
+    texts = [*TEXTS, "the quick brown fox " * 40]
+    for flat, cuts, back in bpe.encode_all([pa.array(texts), pa.array(texts[::-1])], vocabulary):
+        got = [flat[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
+        assert sorted(got) == sorted(known.encode_ordinary(t) for t in texts)
+        assert bytes(back) in ("".join(texts).encode(), "".join(texts[::-1]).encode())
+
+
+def test_bpe_memory_of_chunks():
+    draw = random.Random(11)
+    often = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 8))) for _ in range(5000)]
+
+    def chunk():
+        words = [draw.choice(often) if draw.random() < 0.97 else "".join(draw.choices("etaoinshrdlu", k=9)) for _ in range(350_000)]
+        return pa.array([" ".join(words[k : k + 500]) for k in range(0, len(words), 500)])
+
+    vocabulary, chunks = bpe.load_vocabulary(), [chunk() for _ in range(bpe.CHUNKS_TOGETHER)]
+    size = sum(len(bpe.text_bytes(c)[0]) for c in chunks)
+    bpe.encode(chunks[0].slice(0, 1), vocabulary)  # the classes of the code points
+    tracemalloc.start()
+    try:
+        assert all(bytes(back) == bytes(bpe.text_bytes(c)[0]) for c, (_, _, back) in zip(chunks, bpe.encode_all(chunks, vocabulary)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * size
+
+
 # --- pages
 
 

@@ -33,12 +33,20 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK_BYTES = 2 << 20
 CHUNKS_TOGETHER = 6
+#: Tokens or words that are handled at once where places take many times the room of what they lead to.
+PIECE = 1 << 16
 #: Words that the table holds at most, the most used ones of the corpus; about 40 bytes each in every worker.
 TABLE_WORDS = 1 << 19
 
 ENCODED = "doc_id bigint, n_tokens bigint, token_ids array<int>, decoded_ok boolean"
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs ``at`` of ``values``, end to end, put together a piece at a time: their places take 24 bytes a value."""
+    parts = [at[k : k + PIECE] for k in range(0, len(at), PIECE)]
+    return np.concatenate([values[:0], *(values[gather(starts[x], lengths[x])] for x in parts)])
+
+
 class Vocabulary:
     """Tokens by rank, the ranks of all mergeable pairs, and the bytes of every token in one array."""
 
@@ -78,11 +86,13 @@ class Vocabulary:
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 where it makes none."""
+        if len(left) > PIECE:
+            return np.concatenate([self.pair_ranks(left[k : k + PIECE], right[k : k + PIECE]) for k in range(0, len(left), PIECE)])
         keys = left.astype(np.int64) * self.size + right
         if len(keys) <= 24:  # most merges of rare words: whole-array steps would cost more than the work
-            return np.array([self._pairs.get(k, -1) for k in keys.tolist()], np.int64)
+            return np.array([self._pairs.get(k, -1) for k in keys.tolist()], np.int32)
         at = self._slot(keys)
-        out = np.full(len(keys), -1, np.int64)
+        out = np.full(len(keys), -1, np.int32)
         open_ = np.arange(len(keys))
         while len(open_):
             held = self._keys[at]
@@ -94,7 +104,7 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the tokens, end to end."""
-        return self.bytes[gather(self.starts[ids], self.lengths[ids])]
+        return gathered(self.bytes, self.starts, self.lengths, ids)
 
 
 @lru_cache(maxsize=2)
@@ -112,6 +122,7 @@ def replay(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> tup
     size = n + words + 1
     sym = np.full(size, -1, np.int32)
     sym[place] = vocabulary.byte_ids[data]
+    del place
     nxt, prv = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
     index: dict[int, list[np.ndarray]] = {}
     queue: list[int] = []
@@ -258,12 +269,13 @@ class Cut:
     def __init__(self, text: pa.Array, pattern: str = PATTERN):
         self.data, self.offsets = x, offsets = text_bytes(text)
         # equal words share one replay; words are told apart by a 64-bit hash of their bytes
-        places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        kind = np.int32 if len(x) < 1 << 31 else np.int64  # several chunks with all their places are held together
+        places, hashes = [np.zeros(0, kind)], [np.zeros(0, np.uint64)]
         for a, b in runs(offsets):  # these steps hold several numbers a byte, the others only a few a word
             part, own = x[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             at = pre_tokens(part, own) if pattern == PATTERN else _cut_by_pattern(text.slice(a, b - a).to_pylist(), pattern)
             hashes.append(word_hashes(part, at, np.append(at[1:], len(part)) if len(at) else at))
-            places.append(at + offsets[a])
+            places.append((at + offsets[a]).astype(kind))
         self.starts = np.concatenate(places)
         word, self.hashes = pd.factorize(np.concatenate(hashes))
         self.word = word.astype(np.int32)
@@ -299,14 +311,19 @@ def encode_all(texts: list[pa.Array], vocabulary: Vocabulary, pattern: str = PAT
 
     The words that the table has not, of all arrays, are replayed together.
     """
-    cuts_of = [Cut(text, pattern) for text in texts]
-    known = [table.find(cut.hashes) if table is not None else np.full(len(cut.hashes), -1) for cut in cuts_of]
-    fresh = [cut.words(np.flatnonzero(at < 0)) for cut, at in zip(cuts_of, known)]
+    held, fresh = [], []
+    for text in texts:
+        cut = Cut(text, pattern)
+        at = table.find(cut.hashes) if table is not None else np.full(len(cut.hashes), -1)
+        fresh.append(cut.words(np.flatnonzero(at < 0)))
+        held.append((cut.data, np.searchsorted(cut.starts, cut.offsets), cut.word, at))
+        del cut
+        release()
     sizes = [np.diff(offsets) for _, offsets in fresh]
     new_ids, new_bounds = replay(np.concatenate([x for x, _ in fresh]), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), vocabulary) if fresh else (None, None)
+    release()
     first = 0
-    for cut, at, own_sizes in zip(cuts_of, known, sizes):
-        x, word = cut.data, cut.word
+    for text, (x, word_cuts, word, at), own_sizes in zip(texts, held, sizes):
         new, old = np.flatnonzero(at < 0), np.flatnonzero(at >= 0)
         bounds = new_bounds[first : first + len(own_sizes) + 1]
         first += len(own_sizes)
@@ -314,18 +331,18 @@ def encode_all(texts: list[pa.Array], vocabulary: Vocabulary, pattern: str = PAT
         counts, places = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
         counts[new], places[new] = np.diff(bounds), bounds[:-1] - bounds[0]
         if len(old):
-            held = at[old]
-            counts[old] = table.counts[held]
+            there = at[old]
+            counts[old] = table.counts[there]
             places[old] = len(ids) + np.cumsum(counts[old]) - counts[old]
-            ids = np.concatenate([ids, table.ids[gather(table.starts[held], counts[old])]])
-        many = counts[word]
-        flat = ids[gather(places[word], many)]
-        cuts = np.concatenate([[0], np.cumsum(many)])
-        flat_cuts = cuts[np.searchsorted(cut.starts, cut.offsets)]
+            ids = np.concatenate([ids, table.ids[gather(table.starts[there], counts[old])]])
+        flat = gathered(ids, places, counts, word)
+        cuts = np.concatenate([[0], np.cumsum(counts[word])])
+        flat_cuts = cuts[word_cuts]
+        del cuts
         back = vocabulary.decode(flat)
         if len(back) != len(x) or (back != x).any():  # two words with one hash: replay every word by itself
-            flat, bounds = replay(x, np.append(cut.starts, len(x)), vocabulary)
-            flat_cuts = bounds[np.searchsorted(cut.starts, cut.offsets)]
+            flat, bounds = replay(x, np.append(Cut(text, pattern).starts, len(x)), vocabulary)
+            flat_cuts = bounds[word_cuts]
             back = vocabulary.decode(flat)
         yield flat, flat_cuts, back
 
@@ -411,16 +428,18 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
         """Chunks with their ids; the words of several that the table has not share one replay."""
         more = True
         while more:
-            some = list(islice(tables, CHUNKS_TOGETHER))
+            # only these copies are held, not the larger batches that the chunks are slices of
+            some = [(table["doc_id"].combine_chunks(), table["text"].combine_chunks()) for table in islice(tables, CHUNKS_TOGETHER)]
             more = len(some) == CHUNKS_TOGETHER
-            yield from zip(some, encode_all([x["text"].combine_chunks() for x in some], vocabulary, pattern, known.value))
+            yield from zip(some, encode_all([text for _, text in some], vocabulary, pattern, known.value))
 
     def run(batches):
         vocabulary = held.value
-        for table, (flat, cuts, back) in encoded(chunks(batches, chunk_bytes), vocabulary):
-            text = table["text"].combine_chunks()
+        for (doc_ids, text), (flat, cuts, back) in encoded(chunks(batches, chunk_bytes), vocabulary):
             raw, offsets = text_bytes(text)
-            sums = np.concatenate([[0], np.cumsum(vocabulary.lengths[flat])])[cuts]
+            sums = np.zeros(len(flat) + 1, np.int64)
+            np.cumsum(vocabulary.lengths[flat], out=sums[1:])
+            sums = sums[cuts]
             ok = np.diff(sums) == np.diff(offsets)
             if ok.all() and len(back) == len(raw):
                 wrong = np.flatnonzero(back != raw)
@@ -437,7 +456,7 @@ def encode_decode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTER
                     ids = pa.array([None if x else y for x, y in zip(null[at:end], ids.to_pylist())], pa.list_(pa.int32()))
                 count = pa.array(np.diff(cuts[at : end + 1]), pa.int64(), mask=null[at:end])
                 good = pa.array(ok[at:end], pa.bool_(), mask=null[at:end])
-                yield pa.RecordBatch.from_arrays([table["doc_id"].slice(at, end - at).combine_chunks(), count, ids, good], ["doc_id", "n_tokens", "token_ids", "decoded_ok"])
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(at, end - at), count, ids, good], ["doc_id", "n_tokens", "token_ids", "decoded_ok"])
                 at = end
             release()
 
