@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textquarry.functions import text as X
-
-#: Texts are handled in runs of about so many bytes.
-RUN_BYTES = 1 << 20
+from textquarry.functions.batches import bytes_of as _bytes
+from textquarry.functions.batches import filled as _filled
+from textquarry.functions.batches import release
+from textquarry.functions.batches import runs as _runs
+from textquarry.functions.batches import strings as _strings
+from textquarry.functions.batches import unsigned
 
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
 LINES = ("javascript", "terminal", "words", "uppercase", "numeric", "bullet")
@@ -39,39 +42,14 @@ def _points() -> np.ndarray:
     return out
 
 
-def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column without nulls, and its n+1 offsets."""
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
-    offsets = np.frombuffer(column.buffers()[1], kind, len(column) + 1, column.offset * kind().itemsize).astype(np.int64)
-    data = column.buffers()[2]
-    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
-def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-
-
 def _score(x: np.ndarray) -> np.ndarray:
     return np.floor(x * 1e8 + 0.5) / 1e8
 
 
-def _runs(offsets: np.ndarray):
-    at, n = 0, len(offsets) - 1
-    while at < n:
-        end = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + RUN_BYTES, "right")) - 1))
-        yield at, end
-        at = end
-
-
-def _filled(column: pa.Array) -> pa.Array:
-    return column.fill_null("") if column.null_count else column
-
-
 # --- words
 
 
-def _tokens(data: np.ndarray, offsets: np.ndarray):
+def raw_tokens(data: np.ndarray, offsets: np.ndarray):
     """Document, flags and content of every raw word."""
     point = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
     flag = _points()[point]
@@ -94,11 +72,26 @@ def _tokens(data: np.ndarray, offsets: np.ndarray):
     return doc, np.bitwise_or.reduceat(flag, starts), _strings(data[solid], np.concatenate([[0], np.cumsum(size)]))
 
 
-def _listed(lists: dict[str, set], names: list[str], words: list[str]) -> np.ndarray:
+def raw_counts(text: Column) -> Column:
+    """Number of raw words of a text; 0 for a null one."""
+
+    @F.arrow_udf(T.IntegerType())
+    def run(column: pa.Array) -> pa.Array:
+        data, offsets = _bytes(_filled(column))
+        parts = [np.zeros(0, np.int64)]
+        for a, b in _runs(offsets):
+            parts.append(np.bincount(raw_tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[0], minlength=b - a))
+        release()
+        return pa.array(np.concatenate(parts).astype(np.int32))
+
+    return run(text)
+
+
+def _listed(lists: dict[str, set], names: list[str], words: pa.Array) -> np.ndarray:
     """Whether each word is in each language's list; the last row is for languages without one."""
     out = np.zeros((len(names) + 1, len(words)), bool)
     for k, name in enumerate(names):
-        out[k] = [w in lists[name] for w in words]
+        out[k] = pc.is_in(words, value_set=pa.array(sorted(lists[name]), words.type)).to_numpy(zero_copy_only=False)
     return out
 
 
@@ -111,7 +104,7 @@ def word_rows(text: pa.Array, norm: pa.Array, lang: pa.Array, stop: dict[str, se
         n = b - a
         out = np.zeros((n, len(WORDS)), np.int64)
         add = lambda rows, n=n: np.bincount(rows, minlength=n)
-        doc, flag, tokens = _tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        doc, flag, tokens = raw_tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         out[:, 0] = add(doc)
         out[:, 1] = add(doc[(flag & _LATIN) == 0])
         out[:, 2] = add(doc[((flag & _UPPER) > 0) & ((flag & _LOWER) == 0)])
@@ -119,14 +112,14 @@ def word_rows(text: pa.Array, norm: pa.Array, lang: pa.Array, stop: dict[str, se
         ids = code.indices.to_numpy().astype(np.int64)
         names = sorted(stop)
         which = np.array([names.index(x) if x in stop else len(names) for x in langs[a:b]], np.int64)
-        hit = _listed(stop, names, code.dictionary.to_pylist())[which[doc], ids] if len(ids) else np.zeros(0, bool)
+        hit = _listed(stop, names, code.dictionary)[which[doc], ids] if len(ids) else np.zeros(0, bool)
         out[:, 3] = np.where(which < len(names), add(doc[hit]), -1)
 
         split = pc.split_pattern(norm.slice(a, n), " ")
         size = pc.list_value_length(split).to_numpy().astype(np.int64)
         code = pc.list_flatten(split).dictionary_encode()
-        ids, doc, words = code.indices.to_numpy().astype(np.int64), np.repeat(np.arange(n), size), code.dictionary.to_pylist()
-        real = np.array([w != "" for w in words], bool)[ids] if len(ids) else np.zeros(0, bool)  # an empty text splits into one empty word
+        ids, doc, words = code.indices.to_numpy().astype(np.int64), np.repeat(np.arange(n), size), code.dictionary
+        real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[ids] if len(ids) else np.zeros(0, bool)  # an empty text splits into one empty word
         ids, doc = ids[real], doc[real]
         out[:, 4] = add(doc)
         out[:, 5] = add(np.unique(doc * max(1, len(words)) + ids) // max(1, len(words)))
@@ -141,7 +134,7 @@ def word_rows(text: pa.Array, norm: pa.Array, lang: pa.Array, stop: dict[str, se
             for at in np.flatnonzero(heads).tolist():
                 d = doc[at]
                 for k in sizes[names[which[d]]]:
-                    if at + k <= len(doc) and doc[at + k - 1] == d and " ".join([words[i] for i in ids[at : at + k]]) in long[names[which[d]]]:
+                    if at + k <= len(doc) and doc[at + k - 1] == d and " ".join([words[i].as_py() for i in ids[at : at + k].tolist()]) in long[names[which[d]]]:
                         out[d, 6] += 1
         parts.append(out)
     return np.concatenate(parts)
@@ -157,6 +150,7 @@ def word_measures(text: Column, norm: Column, lang: Column, stop: dict[str, list
     @F.arrow_udf(WORD_RESULT)
     def run(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
         rows = word_rows(a, b, c, stops, bads).astype(np.int32)
+        release()
         return pa.StructArray.from_arrays([pa.array(rows[:, k], pa.int32(), mask=rows[:, k] < 0) for k in range(len(WORDS))], names=list(WORDS))
 
     return run(text, norm, lang)
@@ -179,14 +173,14 @@ def _line_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def line_rows(text: pa.Array, flat: pa.Array):
-    """Runs of documents: their number of lines, ends in characters, lines that end with an ellipsis, and the scores of each line."""
+    """``flat``: the texts as ``X.plain_lower`` makes them. Runs of documents: their number of lines, ends in characters, lines that end with an ellipsis, and the scores of each line."""
     text, flat = _filled(text), _filled(flat)
     data, offsets = _bytes(text)
     other, bounds = _bytes(flat)
     space = X.SPACE
     for a, b in _runs(offsets):
         x, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        y, cuts = other[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+        y, cuts = unsigned(other[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
         starts, doc = _line_starts(x, own)
         ends = np.append(starts[1:], len(x))
         real = ends > starts  # the last line of a text that ends with a line feed, or of an empty one, is none
@@ -242,6 +236,7 @@ def line_measures(text: Column) -> Column:
         n, end, size = np.concatenate(n), np.concatenate(end), np.concatenate(size)
         cuts, start, stop = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(end - size), pa.array(end)
         spans = [pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays([start, stop, pa.array(np.concatenate(scores[k]))], names=["start", "end", "score"])) for k in LINES]
+        release()
         return pa.StructArray.from_arrays([*spans, pa.array(n.astype(np.int32)), pa.array(np.concatenate(dots).astype(np.int32))], names=[*LINES, "n", "ellipsis"])
 
-    return run(text, F.lower(F.translate(text, X.PUNCTUATION, "")))
+    return run(text, X.plain_lower(text))

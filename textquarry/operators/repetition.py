@@ -10,14 +10,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textquarry.functions.batches import release
 from textquarry.functions.text import lengths_of
 
 TOP = (2, 3, 4)
 DUPE = (5, 6, 7, 8, 9, 10)
 FIELDS = [*(f"top_{n}gram" for n in TOP), *(f"dupe_{n}grams" for n in DUPE), "entropy"]
 RESULT = T.StructType([T.StructField(f, T.DoubleType()) for f in FIELDS])
-#: Words handled at a time.
-RUN_WORDS = 1 << 20
+#: Words handled at a time; each takes some 200 bytes while it is.
+RUN_WORDS = 1 << 17
 
 
 def _measure(words: pa.Array, cuts: np.ndarray) -> np.ndarray:
@@ -100,6 +101,8 @@ def repetitions(norm: Column) -> Column:
 
     @F.arrow_udf(RESULT)
     def run(column: pa.Array) -> pa.Array:
-        return measure_batch(column)
+        out = measure_batch(column)
+        release()
+        return out
 
     return run(norm)
