@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textquarry.functions.batches import release
 from textquarry.operators.components import connected_components
 from textquarry.plans.runtime import join_checked, write_shared
 
@@ -19,6 +20,8 @@ NGRAM = 13
 SEED = 42
 PRIME = (1 << 61) - 1
 MASK = (1 << 32) - 1
+#: Hashes permuted at a time.
+TURN = 384
 THRESHOLDS = (0.7, 0.8, 0.9, 1.0)
 
 
@@ -95,30 +98,71 @@ def _gram_hashes(text: bytes, n: int) -> np.ndarray:
     starts, ends = [0, *(spaces + 1).tolist()], [*spaces.tolist(), len(text)]
     sha1 = hashlib.sha1
     grams = {text[a:b] for a, b in zip(starts, ends[n - 1 :])}
-    first = b"".join([sha1(g).digest()[:4] for g in grams])
-    return np.frombuffer(first, "<u4").astype(np.uint64)
+    digests = b"".join([sha1(g).digest() for g in grams])
+    return np.frombuffer(digests, "<u4")[::5].astype(np.uint64)
 
 
-def signature_of(hashes: np.ndarray, n: int = PERMUTATIONS) -> np.ndarray:
+def _permuted(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The lower 32 bits of x * a + b, taken modulo 2^64 and then modulo 2^61 - 1."""
+    prime, top = np.uint64(PRIME), np.uint64(61)
+    x = x * a + b
+    x = (x & prime) + (x >> top)
+    return (x - np.where(x >= prime, prime, np.uint64(0))) & np.uint64(MASK)
+
+
+@lru_cache(maxsize=1)
+def _halves(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The permutations, and the lower halves of their multipliers and of their offsets plus 8, as columns."""
     a, b = permutations(n)
-    prime, mask, top = np.uint64(PRIME), np.uint64(MASK), np.uint64(61)
-    out = np.full(n, MASK, np.uint64)
-    for k in range(0, len(hashes), 1024):  # a long text takes several turns, each within the processor's cache
-        x = hashes[k : k + 1024, None] * a + b
-        x = (x & prime) + (x >> top)  # modulo 2^61 - 1, of numbers below 2^64
-        x -= np.where(x >= prime, prime, np.uint64(0))
-        out = np.minimum(out, (x & mask).min(0))
-    return out.astype(np.uint32)
+    return a, b, a.astype(np.uint32)[:, None], (b + np.uint64(8)).astype(np.uint32)[:, None]
+
+
+@lru_cache(maxsize=1)
+def _scratch(n: int) -> np.ndarray:
+    return np.empty(n * TURN, np.uint32)
+
+
+def signatures_of(parts: list[np.ndarray], n: int = PERMUTATIONS) -> np.ndarray:
+    """The smallest permuted hash of each of ``n`` permutations, a row for each array of hashes, none of them empty.
+
+    Reduced by 2^61 - 1, the lower half of x * a + b is the plain 32-bit product and sum plus 0 to 8. So the hash with the
+    smallest sum has the smallest half too, unless another sum is within 8 of it or one is about to wrap (``v``, which is 8
+    more, is below 8 then); in these rare cases all hashes are permuted in full.
+    """
+    a, b, factor, shift = _halves(n)
+    each, first, chosen, whole = np.arange(n), [], [], {}
+    for hashes in parts:
+        first.append(len(chosen))
+        for k in range(0, len(hashes), TURN):  # a long text takes several turns, each within the processor's cache
+            x = hashes[k : k + TURN]
+            v = _scratch(n)[: n * len(x)].reshape(n, -1)
+            np.multiply(x.astype(np.uint32), factor, out=v)
+            np.add(v, shift, out=v)
+            at = v.argmin(1)
+            low = v[each, at]
+            v[each, at] = MASK
+            if low.min() < 8 or (v.min(1) - low).min() <= 8:
+                whole[len(chosen)] = _permuted(x[:, None], a, b).min(0)
+            chosen.append(x[at])
+    if not parts:
+        return np.zeros((0, n), np.uint32)
+    found = _permuted(np.stack(chosen), a, b)
+    for k, row in whole.items():
+        found[k] = row
+    return np.minimum.reduceat(found, first).astype(np.uint32)
 
 
 def _signed(column: pa.Array, n: int, ngram: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the texts that have one, a row each, and which texts those are."""
-    rows, some = [np.zeros((0, n), np.uint32)], np.zeros(len(column), bool)
+    rows, held, some = [np.zeros((0, n), np.uint32)], [], np.zeros(len(column), bool)
     for k, value in enumerate(column):
         h = _gram_hashes(value.as_buffer().to_pybytes() if value.is_valid else b"", ngram)
         if len(h):
             some[k] = True
-            rows.append(signature_of(h, n)[None])
+            held.append(h)
+        if len(held) == 256 or (held and k == len(column) - 1):
+            rows.append(signatures_of(held, n))
+            held = []
     return np.concatenate(rows), some
 
 
@@ -142,18 +186,28 @@ def bands(signature: Column, threshold: float, n: int = PERMUTATIONS) -> Column:
     return F.when(signature.isNotNull(), keys)
 
 
-def band_columns(norm: Column, thresholds: tuple[float, ...] = THRESHOLDS, n: int = PERMUTATIONS, ngram: int = NGRAM) -> dict[str, Column]:
-    """array<binary> columns ``signature_sim<threshold>``, the form that clustering reads: the bytes of ``bands``, cut in one pass."""
+#: The two capital hex digits of every byte.
+_HEX = np.frombuffer("".join(f"{k:02X}" for k in range(256)).encode(), np.uint16)
+
+
+def band_columns(norm: Column, thresholds: tuple[float, ...] = THRESHOLDS, n: int = PERMUTATIONS, ngram: int = NGRAM, spelled: bool = False) -> dict[str, Column]:
+    """array<binary> columns ``signature_sim<threshold>``, the form that clustering reads: the bytes of ``bands``, cut in one pass.
+
+    ``spelled``: array<string>, in hex, as ``bands`` has them.
+    """
     shapes = [optimal_bands(t, n) for t in thresholds]
+    kind, each = (T.StringType(), 8) if spelled else (T.BinaryType(), 4)
 
-    @F.arrow_udf(T.StructType([T.StructField(f"b{k}", T.ArrayType(T.BinaryType())) for k in range(len(shapes))]))
+    @F.arrow_udf(T.StructType([T.StructField(f"b{k}", T.ArrayType(kind)) for k in range(len(shapes))]))
     def run(column: pa.Array) -> pa.Array:
         rows, some = _signed(column, n, ngram)
         big, columns = rows.astype(">u4"), []
         for count, size in shapes:
             data = np.ascontiguousarray(big[:, : count * size])
-            keys = pa.Array.from_buffers(pa.binary(), len(big) * count, [None, pa.py_buffer((np.arange(len(big) * count + 1) * size * 4).astype(np.int32)), pa.py_buffer(data)])
+            data = _HEX[data.view(np.uint8)] if spelled else data
+            keys = pa.Array.from_buffers(pa.string() if spelled else pa.binary(), len(big) * count, [None, pa.py_buffer((np.arange(len(big) * count + 1) * size * each).astype(np.int32)), pa.py_buffer(data)])
             columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some)]).astype(np.int32) * count), keys, mask=pa.array(~some)))
+        release()
         return pa.StructArray.from_arrays(columns, names=[f"b{k}" for k in range(len(shapes))])
 
     found = run(norm)
