@@ -73,7 +73,7 @@ def with_importance(rows: DataFrame, models: DataFrame, rates: DataFrame, source
     if not pairs:
         return rows, []
     tables = np.stack([ln(share(held[p])) - ln(share(held[p[0], source])) for p in pairs])
-    sums = importance.gram_sums(X.raw_words(F.coalesce(F.col(text), F.lit(""))), tables)
+    sums = importance.gram_sums(F.col(text), tables)
     n = F.length(text) if unit == "chars" else F.size(X.raw_words(F.col(text)))
     rows = rows.withColumns({"_sums": sums, "_size": n})
     found = {}
