@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from textquarry.functions import text as X
 from textquarry.functions.lexicons import BAD_WORDS, CATEGORIES, DOMAIN_CATEGORIES
-from textquarry.operators import dedup, importance, sampling, signals
+from textquarry.operators import dedup, grams, importance, sampling, signals
 from textquarry.oracles import oracle_sql as oracle_sql
-from textquarry.plans.runtime import session_dir, spread, write_shared
+from textquarry.plans.runtime import session_dir, small_batches, spread, write_shared
 from textquarry.sources import corpus
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -36,6 +36,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spread_docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The documents' columns, over all cores even where their file is one row group."""
+    small_batches(spark)
     return spread(docs(spark, sf_dir).select(*columns))
 
 
@@ -133,7 +134,7 @@ def explode_words(spark, sf_dir):
 
 
 def _gram_counts(n: int) -> Query:
-    return lambda spark, sf_dir: _words(spark, sf_dir).select(F.explode(X.ngrams(F.col("w"), n)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    return lambda spark, sf_dir: grams.gram_counts(spread_docs(spark, sf_dir, "text"), n)
 
 
 _QUERIES |= {"ngrams_2": _gram_counts(2), "ngrams_3": _gram_counts(3)}
@@ -232,8 +233,8 @@ def curly_brackets_in_pages(spark, sf_dir):
 def badword_semi_join(spark, sf_dir):
     phrases = spark.createDataFrame([(k, p) for k, v in BAD_WORDS.items() for p in v], "lang string, phrase string")
     words = _words(spark, sf_dir)
-    grams = words.select("doc_id", "lang", F.explode(F.concat("w", X.ngrams(F.col("w"), 2))).alias("phrase"))
-    hits = grams.join(F.broadcast(phrases), ["lang", "phrase"], "left_semi").groupBy("doc_id").agg(F.count("*").alias("hits"))
+    found = words.select("doc_id", "lang", F.explode(F.concat("w", X.ngrams(F.col("w"), 2))).alias("phrase"))
+    hits = found.join(F.broadcast(phrases), ["lang", "phrase"], "left_semi").groupBy("doc_id").agg(F.count("*").alias("hits"))
     return words.select("doc_id").join(hits, "doc_id", "left").select("doc_id", F.coalesce("hits", F.lit(0).cast("bigint")).alias("hits"))
 
 
@@ -303,32 +304,34 @@ def dsir_lambda(spark, sf_dir):
     return importance.mean_words(docs(spark, sf_dir)).select(F.round("lambda", 6).alias("lambda"))
 
 
-def _corpora(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    rows = spread_docs(spark, sf_dir, "doc_id", "text")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return rows.join(good, "doc_id", "left_semi"), rows
+def _counts(spark, sf_dir, sizes: bool = False) -> DataFrame:
+    """part, bucket, cnt: one pass counts the target, part ``good``, and the rest."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit("good").alias("part")).distinct()
+    rows = spread_docs(spark, sf_dir, "doc_id", "text").join(good, "doc_id", "left")
+    return write_shared(importance.ngram_model(rows, by="part", sizes=sizes), "counts")
 
 
-def _importance(spark, sf_dir) -> DataFrame:
-    rows = spread_docs(spark, sf_dir, "doc_id", "text")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit("good").alias("part")).distinct()
-    # one pass counts the target and the rest; the source model is both
-    counts = write_shared(importance.ngram_model(rows.join(good, "doc_id", "left"), by="part"), "counts")
+def _importance(spark, sf_dir, counts: DataFrame) -> DataFrame:
+    # the source model is both parts
     target, source = counts.where("part = 'good'").select("bucket", "cnt"), counts.groupBy("bucket").agg(F.sum("cnt").alias("cnt"))
-    return importance.importance(rows, importance.log_ratios(target, source))
+    return importance.importance(spread_docs(spark, sf_dir, "doc_id", "text"), importance.log_ratios(target, source))
 
 
 @query
 def importance_weight(spark, sf_dir):
-    return _importance(spark, sf_dir).select("doc_id", F.round("importance", 4).alias("importance"))
+    return _importance(spark, sf_dir, _counts(spark, sf_dir)).select("doc_id", F.round("importance", 4).alias("importance"))
 
 
 @query
 def importance_length_correction(spark, sf_dir):
-    target, rest = _corpora(spark, sf_dir)
-    rates = [importance.mean_words(x).first()["lambda"] for x in (target, rest)]
-    correction = importance.length_correction(F.col("n_chars"), F.lit(rates[0]), F.lit(rates[1]))
-    return docs(spark, sf_dir).join(_importance(spark, sf_dir), "doc_id").select("doc_id", F.round(F.col("importance") + correction, 4).alias("importance"))
+    counts = _counts(spark, sf_dir, sizes=True)
+    n, texts = F.col("bucket"), F.lit(importance.BUCKETS)
+    total = lambda k, part: F.sum(F.when((n == texts + k) & part, F.col("cnt")))
+    good = F.coalesce(F.col("part") == "good", F.lit(False))
+    sizes = counts.where(n >= texts).agg(*[(total(1, p) / total(0, p)).alias(name) for name, p in (("target", good), ("rest", F.lit(True)))]).first()
+    correction = importance.length_correction(F.col("n_chars"), F.lit(sizes["target"]), F.lit(sizes["rest"]))
+    weights = _importance(spark, sf_dir, counts.where(n < texts))
+    return docs(spark, sf_dir).join(weights, "doc_id").select("doc_id", F.round(F.col("importance") + correction, 4).alias("importance"))
 
 
 @query
@@ -389,21 +392,26 @@ def minhash_min_k(spark, sf_dir):
     return rows.select("doc_id", F.posexplode_outer("s").alias("perm", "min_hash")).where("perm IS NOT NULL")
 
 
+def _keyed(spark, sf_dir, thresholds: tuple[float, ...], spelled: bool) -> DataFrame:
+    """doc_id and the band keys at each threshold, t0, t1, ..."""
+    columns = dedup.band_columns(_norm(), thresholds, spelled=spelled).values()
+    return spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", *[c.alias(f"t{k}") for k, c in enumerate(columns)])
+
+
 def _banded(spark, sf_dir) -> DataFrame:
-    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s"))
-    return write_shared(rows.select("doc_id", dedup.bands(F.col("s"), CLUSTER_THRESHOLD).alias("keys")), "bands")
+    return write_shared(_keyed(spark, sf_dir, (CLUSTER_THRESHOLD,), False).select("doc_id", F.col("t0").alias("keys")), "bands")
 
 
 @query
 def minhash_bands(spark, sf_dir):
-    return _banded(spark, sf_dir).where("keys IS NOT NULL").select("doc_id", F.posexplode("keys").alias("band", "key"))
+    return _keyed(spark, sf_dir, (CLUSTER_THRESHOLD,), True).select("doc_id", F.posexplode_outer("t0").alias("band", "key")).where("band IS NOT NULL")
 
 
 @query
 def minhash_bands_all(spark, sf_dir):
     """Band keys at all four thresholds."""
-    rows = spread_docs(spark, sf_dir, "doc_id", "text").select("doc_id", dedup.signatures(_norm()).alias("s"))
-    each = F.array(*[F.struct(F.lit(t).alias("threshold"), dedup.bands(F.col("s"), t).alias("keys")) for t in dedup.THRESHOLDS])
+    rows = _keyed(spark, sf_dir, dedup.THRESHOLDS, True)
+    each = F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"t{k}").alias("keys")) for k, t in enumerate(dedup.THRESHOLDS)])
     return rows.select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.threshold", F.posexplode_outer("t.keys").alias("band", "key")).where("band IS NOT NULL")
 
 
